@@ -103,7 +103,7 @@ def _steps(spark: SparkSession, folder: str) -> dict[str, str]:
 
 def _silver_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
-        "device_id", "mrn", "name", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("at"), "heartrate"
+        "device_id", "mrn", "name", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("read_at"), "heartrate"
     )
 
 
@@ -139,7 +139,8 @@ def replaced(spark: SparkSession, folder: str) -> DataFrame:
     replay = _replay(spark, folder)
     table, work = new_table_name("replaced"), new_folder(spark, "replaced")
     while replay.deliver() is not None:
-        raw = medallion.raw_files(spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS).drop("source_file")
+        arrived = medallion.raw_files(spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS, bytes_per_batch=None)
+        raw = arrived.drop("source_file")
         ingest.load_replacing(raw, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
     return spark.table(table).select("event_id", "user_id", "event_type", "value")
 
@@ -183,7 +184,7 @@ QUERIES = {
 
 _SILVER = """
     SELECT event_type AS device_id, CAST(user_id AS VARCHAR) AS mrn, c_name AS name,
-           CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS at,
+           CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS read_at,
            value - 20 AS heartrate
     FROM events JOIN customer ON c_custkey = user_id WHERE value - 20 > 0"""
 
@@ -198,8 +199,8 @@ ORACLES = {
     "str_silver": _SILVER,
     "str_silver_continuous": _SILVER,
     "str_gold": f"""
-        SELECT mrn, name, CAST(at AS DATE) AS day, round(AVG(heartrate), 6) AS avg_heartrate
-        FROM ({_SILVER}) AS s GROUP BY mrn, name, CAST(at AS DATE)""",
+        SELECT mrn, name, CAST(read_at AS DATE) AS day, round(AVG(heartrate), 6) AS avg_heartrate
+        FROM ({_SILVER}) AS s GROUP BY mrn, name, CAST(read_at AS DATE)""",
     "ing_replace": f"""
         SELECT event_id, user_id, event_type, value FROM events
         WHERE {_PERIOD} = (SELECT MAX({_PERIOD}) FROM events)""",

@@ -24,7 +24,7 @@ def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def load_replacing(
     stream: DataFrame, table: str, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Each micro-batch becomes the whole table."""
+    """Each micro-batch becomes the whole table, so the stream must not limit its batches."""
     writer = (
         stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -15,7 +15,7 @@ from strandline.streaming.control import with_trigger
 from strandline.streaming.publish import complete_publisher
 
 # One micro-batch takes in at most this much, so that a lost batch is cheap to repeat.
-BATCH_BYTES = "1t"
+BATCH_BYTES = 1 << 40
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -27,17 +27,21 @@ def raw_files(
     hints: dict[str, str],
     fmt: str = "json",
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = BATCH_BYTES,
 ) -> DataFrame:
-    """New files of a landing folder as a stream; columns are strings unless hinted."""
+    """New files of a landing folder as a stream; columns are strings unless hinted.
+
+    Without either limit a run-once query takes in all that has arrived as one batch.
+    """
     reader = (
         spark.readStream.format(fmt)
         .schema(hinted_schema(columns))
         .option("recursiveFileLookup", True)
     )
-    if files_per_batch is None:
-        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
-    else:
+    if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    elif bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     stream = reader.load(landing)
     return apply_hints(stream.select("*", F.col("_metadata.file_path").alias("source_file")), hints)
 
