@@ -2,26 +2,30 @@
 
 from strandline.functions.columns import (
     apply_hints,
+    cents,
     clean_identifier,
     day_of,
     epoch_to_timestamp,
     exact_mean,
     exact_sum,
     local_part,
-    money,
     next_file_number,
     two_digits,
+    user_identifier,
+    wide_sum,
 )
 
 __all__ = [
     "apply_hints",
+    "cents",
     "clean_identifier",
     "day_of",
     "epoch_to_timestamp",
     "exact_mean",
     "exact_sum",
     "local_part",
-    "money",
     "next_file_number",
     "two_digits",
+    "user_identifier",
+    "wide_sum",
 ]

@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.session import settings
 
-TARGET_BYTES = 512 * 1024 * 1024
+TARGET_BYTES = 128 * 1024 * 1024
 
 
 def file_stats(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -81,18 +82,6 @@ def _ordinal(df: DataFrame, column: str) -> Column:
     raise TypeError(f"cannot cluster on {column}: {kind.simpleString()}")
 
 
-def _bucket(value: Column, bounds: Sequence[float]) -> Column:
-    """How many of the sorted bounds are at or below the value: a binary search of comparisons."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(value < F.lit(bounds[mid]), search(low, mid)).otherwise(search(mid + 1, high))
-
-    return search(0, len(bounds))
-
-
 def interleave(buckets: Sequence[Column], bits: int) -> Column:
     """The bits of all bucket numbers, taken in turn."""
     out = F.lit(0).cast("bigint")
@@ -116,12 +105,27 @@ def with_clustering_order(df: DataFrame, columns: Sequence[str], bits: int, name
     limits = df.agg(
         *[F.percentile_approx(_ordinal(df, c), shares, 20 * 2**bits).alias(c) for c in columns]
     ).first()
-    buckets = {}
-    for i, c in enumerate(columns):
-        bounds = sorted(set(limits[c] or []))
-        buckets[f"_bucket{i}"] = F.when(F.col(c).isNull(), 0).otherwise(_bucket(_ordinal(df, c), bounds))
-    placed = df.withColumns(buckets)  # columns of their own, so that each is computed once
-    return placed.withColumn(name, interleave([F.col(b) for b in buckets], bits)).drop(*buckets)
+    splits = {}
+    for c in columns:
+        bounds = sorted({float(x) for x in limits[c] or [] if math.isfinite(x)})
+        if bounds:  # a column without values has nothing to order by
+            splits[c] = [-math.inf, *bounds, math.inf]
+    if not splits:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    values = [f"_value{i}" for i in range(len(splits))]
+    buckets = [f"_bucket{i}" for i in range(len(splits))]
+    lowest = F.lit(-math.inf)
+    numbered = df.withColumns(
+        {v: F.coalesce(_ordinal(df, c).cast("double"), lowest) for v, c in zip(values, splits)}
+    )
+    # The library's binary search; the same search spelled out as nested conditions makes the
+    # generated code of a wide row too long to be compiled.
+    search = Bucketizer(
+        splitsArray=list(splits.values()), inputCols=values, outputCols=buckets, handleInvalid="keep"
+    )
+    last = F.lit(2**bits - 1)
+    placed = [F.least(F.col(b).cast("int"), last) for b in buckets]
+    return search.transform(numbered).withColumn(name, interleave(placed, bits)).drop(*values, *buckets)
 
 
 def cluster(

@@ -27,6 +27,7 @@ LOG_SCHEMA = (
     "floor boolean, source_path string, source_version bigint, stream string, batch bigint"
 )
 MINIMUM_RETENTION = timedelta(days=7)
+LISTED_VERSIONS = 256
 
 
 class SchemaMismatch(ValueError):
@@ -137,12 +138,20 @@ class VersionedTable:
         )
 
     def changes(self, after: int, upto: int, schema: T.StructType) -> DataFrame:
-        """Changes of the versions after ``after`` up to and including ``upto``."""
+        """Changes of the versions after ``after`` up to and including ``upto``.
+
+        A short range names its folders, so that the planner sees the size of these commits
+        only and can broadcast them where they are small.
+        """
         fields = T.StructType(
             [T.StructField(f.name, f.dataType) for f in schema.fields]
             + [T.StructField(cl.OP, T.StringType()), T.StructField(cl.VERSION, T.LongType())]
         )
-        rows = self.spark.read.schema(fields).parquet(f"{self.path}/rows")
+        reader = self.spark.read.schema(fields).option("basePath", f"{self.path}/rows")
+        paths = [f"{self.path}/rows"]
+        if upto - after <= LISTED_VERSIONS:
+            paths = [f"{self.path}/rows/_version={v}" for v in range(after + 1, upto + 1)]
+        rows = reader.parquet(*paths)
         return rows.where((F.col(cl.VERSION) > after) & (F.col(cl.VERSION) <= upto))
 
     def _base(self, snapshot: Snapshot, schema: T.StructType) -> DataFrame:

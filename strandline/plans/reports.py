@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions import exact_mean, money
+from strandline.functions import cents, exact_mean, wide_sum
 
 
 def mean_by_key(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
@@ -20,11 +20,11 @@ def mean_by_key(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
 def sum_by_dimension(
     facts: DataFrame, foreign_key: str, amount: str, dimension: DataFrame, key: str, group: str, name: str
 ) -> DataFrame:
-    per_key = facts.groupBy(foreign_key).agg(F.sum(money(amount)).alias("_sum"))
+    per_key = facts.groupBy(foreign_key).agg(F.sum(cents(amount)).alias("_sum"))
     return (
         per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
         .groupBy(group)
-        .agg(F.sum("_sum").cast("double").alias(name))
+        .agg((wide_sum("_sum").cast("double") / 100).alias(name))
     )
 
 
@@ -40,12 +40,12 @@ def count_and_sum_by_dimension(
 ) -> DataFrame:
     """``COUNT(foreign_key)`` and ``SUM(amount)`` per group of the joined dimension."""
     per_key = facts.groupBy(foreign_key).agg(
-        F.count(foreign_key).alias("_count"), F.sum(money(amount)).alias("_sum")
+        F.count(foreign_key).alias("_count"), F.sum(cents(amount)).alias("_sum")
     )
     return (
         per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
         .groupBy(group)
-        .agg(F.sum("_count").alias(count_name), F.sum("_sum").cast("double").alias(sum_name))
+        .agg(F.sum("_count").alias(count_name), (wide_sum("_sum").cast("double") / 100).alias(sum_name))
     )
 
 

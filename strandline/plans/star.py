@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions import money
+from strandline.functions import cents, wide_sum
 
 
 def product_profit(
@@ -19,9 +19,10 @@ def product_profit(
 ) -> DataFrame:
     """Sum of price less discount less supply cost, for parts whose name matches.
 
-    Everything known per (part, supplier) is joined first, so the large table is joined
-    once on the pair and once with the orders. Whether a side is broadcast is left to its
-    size at run time, and so is splitting a hot key.
+    Everything known per (part, supplier) is joined first, and the large table is cut down
+    to the wanted parts before its other columns meet anything: at the scan where the parts
+    fit a broadcast, in one shuffle where they do not. What is left is joined once on the
+    pair and once with the orders. Broadcasts are chosen by size, hot keys split by Spark.
     """
     wanted = part.where(F.col("p_name").like(name_like)).select("p_partkey")
     suppliers = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
@@ -32,21 +33,22 @@ def product_profit(
         .join(suppliers, F.col("ps_suppkey") == F.col("s_suppkey"))
         .select("ps_partkey", "ps_suppkey", "ps_supplycost", "nation")
     )
-    lines = lineitem.join(
+    wanted_lines = lineitem.join(wanted, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    lines = wanted_lines.join(
         supplied,
         (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey")),
     ).select(
         "l_orderkey",
         "nation",
         (
-            money("l_extendedprice") * (1 - money("l_discount")) - money("ps_supplycost") * money("l_quantity")
-        ).alias("amount"),
+            cents("l_extendedprice") * (100 - cents("l_discount")) - cents("ps_supplycost") * cents("l_quantity")
+        ).alias("amount"),  # in ten-thousandths
     )
     dated = orders.select("o_orderkey", F.year("o_orderdate").alias("o_year"))
     return (
         lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("nation", "o_year")
-        .agg(F.sum("amount").cast("double").alias("sum_profit"))
+        .agg((wide_sum("amount").cast("double") / 10_000).alias("sum_profit"))
         .orderBy("nation", F.col("o_year").asc())
     )
 
@@ -71,10 +73,14 @@ ORDER BY nation, o_year ASC
 def derived_partsupp(lineitem: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """Part and supplier pairs that were sold, with a cost computed from the keys.
 
-    ``parts`` (a frame with ``p_partkey``) limits the pairs before they are made distinct.
+    ``parts`` (a frame with ``p_partkey``) limits the pairs. Repeated pairs are dropped before
+    any shuffle, so a part with a large share of the lines does not gather in one task; where
+    the parts fit a broadcast, Spark moves the limit down to the scan by itself.
     """
-    pairs = lineitem.select(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey"))
+    pairs = lineitem.select(
+        F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")
+    ).distinct()
     if parts is not None:
         pairs = pairs.join(parts, F.col("ps_partkey") == F.col("p_partkey"), "left_semi")
     cost = (500 + (7 * F.col("ps_partkey") + 13 * F.col("ps_suppkey")) % 1000) / 10
-    return pairs.distinct().withColumn("ps_supplycost", cost)
+    return pairs.withColumn("ps_supplycost", cost)

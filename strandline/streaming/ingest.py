@@ -52,9 +52,10 @@ def load_merging(
     later = f"struct({new}) >= struct({old})"
     clauses = [when_matched_update(later), when_not_matched_insert()]
 
+    keys = table.snapshot().keys
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = VersionedTable(batch.sparkSession, table.path)
-        keys = target.snapshot().keys
         version = target.merge(newest_per_key(batch, keys, order), clauses, stream=name, batch=batch_id)
         if version and version % fold_every == 0:
             target.fold(version)

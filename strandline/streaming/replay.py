@@ -32,11 +32,7 @@ class ArrivalReplay:
 
     def next_number(self) -> int:
         """One more than the highest number delivered so far, by a listing of the landing folder."""
-        listing = (
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", True).schema(
-                "path string, modificationTime timestamp, length bigint, content binary"
-            )
-        )
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
         try:
             files = listing.load(self.landing).select("path")
         except AnalysisException as e:
@@ -47,8 +43,9 @@ class ArrivalReplay:
         return files.agg(next_file_number(folder)).first()[0]
 
     def last_number(self) -> int:
-        periods = self.spark.read.schema("_period int").json(self.staged)
-        return periods.agg(F.max("_period")).first()[0] or 0
+        """The highest staged period, by a listing: no file is opened."""
+        listing = self.spark.read.format("binaryFile").load(self.staged)
+        return listing.agg(F.max("_period")).first()[0]
 
     def deliver(self) -> int | None:
         """Deliver the next period; None when there are no more. Lines are copied unparsed."""
