@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions import apply_hints
+from strandline.sources.tables import quoted
 
 
 def read_csv(
@@ -64,8 +65,7 @@ def read_hinted(
 
 def read_by_path(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     """``SELECT * FROM format.`path```: files addressed as a table."""
-    quoted = path.replace("`", "``")
-    return spark.sql(f"SELECT * FROM {fmt}.`{quoted}`")
+    return spark.sql(f"SELECT * FROM {fmt}.{quoted(path, dotted=False)}")
 
 
 def count_rows(spark: SparkSession, fmt: str, path: str) -> int:

@@ -9,6 +9,12 @@ def sql_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def quoted(name: str, dotted: bool = True) -> str:
+    """A name in backticks, part by part unless it is one part with dots in it."""
+    parts = name.split(".") if dotted else [name]
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
 def csv_table(spark: SparkSession, name: str, path: str, infer: bool = False) -> DataFrame:
     """Register CSV files with a header as a table; nothing is copied."""
     spark.sql(

@@ -95,9 +95,9 @@ def append_to_table(
 def rewrite_table(
     aggregate: DataFrame, table: str, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep a table equal to a streaming aggregate.
+    """Keep ``table`` equal to a streaming aggregate.
 
-    The table is rewritten with every batch and cannot itself be read as a stream.
+    It is rewritten with every batch and cannot itself be read as a stream.
     State is kept in RocksDB, so it may outgrow the executors' memory.
     """
     spark = aggregate.sparkSession

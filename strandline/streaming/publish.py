@@ -1,37 +1,31 @@
-"""Replacing a whole table from a micro-batch."""
+"""Replacing a whole result from a micro-batch."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from strandline.sources import external_table
-from strandline.sources.tables import sql_literal
+from strandline.sources.tables import quoted
 
 
-def publish(df: DataFrame, table: str, slot: str) -> None:
-    """Write a new copy, then point the table at it: readers see the old rows or the new ones."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(slot)
-    _point_at(spark, table, slot)
-
+def publish(df: DataFrame, name: str, slot: str) -> None:
+    """Write a new copy, then point ``name`` at it: readers see the old rows or the new ones.
 
-def _point_at(spark: SparkSession, table: str, slot: str) -> None:
-    if not spark.catalog.tableExists(table):
-        external_table(spark, table, slot)
-        return
-    spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION {sql_literal(slot)}", args={"name": table})
-    spark.catalog.refreshTable(table)
+    ``name`` is a catalog view over the files. Unlike a table whose location is altered, no
+    session keeps an old file list for it.
+    """
+    df.write.mode("overwrite").parquet(slot)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS SELECT * FROM parquet.{quoted(slot, False)}")
 
 
-def complete_publisher(table: str, path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that replaces ``table`` with each batch.
+def complete_publisher(name: str, path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that replaces what ``name`` shows with each batch.
 
-    Two folders take turns, so a repeated batch never writes where the table points.
+    Two folders take turns, so a repeated batch never writes where readers look.
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, table, f"{path}/slot={batch_id % 2}")
+        publish(batch, name, f"{path}/slot={batch_id % 2}")
 
     return replace

@@ -1,0 +1,244 @@
+"""Row changes and versions: the script of the lesson, properties, and what must fail."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import as_set
+from pyspark.sql import functions as F
+
+from strandline.operators import changelog as cl
+from strandline.operators.changelog import Clause, when_matched_update, when_not_matched_insert
+from strandline.operators.versioned import KeyViolation, SchemaMismatch, VersionedTable, VersionNotReadable
+from strandline.queries.versions import CLAUSES
+from strandline.session import new_folder
+
+STUDENTS = "id int, name string, value double"
+
+
+def at(n: int) -> datetime:
+    return datetime(2024, 3, n)
+
+
+def rounded(df):
+    return {(r.id, r.name, round(r.value, 6)) for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def students(spark):
+    """Versions 0 to 7 of the lesson's table."""
+    rows = lambda *values: spark.createDataFrame(list(values), STUDENTS)
+    table = VersionedTable.create(spark, new_folder(spark, "students"), rows(), ["id"], at(1))
+    table.insert(rows((1, "Yve", 1.0)), at=at(2))
+    table.insert(rows((2, "Omar", 2.5)), at=at(3))
+    table.insert(rows((3, "Elia", 3.3)), at=at(4))
+    table.insert(rows((4, "Ted", 4.7), (5, "Tiffany", 5.5), (6, "Vini", 6.3)), at=at(5))
+    table.update("name LIKE 'T%'", {"value": "value + 1"}, at=at(6))
+    table.delete("value > 6", at=at(7))
+    updates = spark.sql(
+        """SELECT * FROM VALUES (2, 'Omar', 15.2, 'update'), (3, '', null, 'delete'), (7, 'Blue', 7.7, 'insert'),
+                                (11, 'Diya', 8.8, 'update') AS u(id, name, value, type)"""
+    )
+    table.merge(updates, CLAUSES, at=at(8))
+    return table
+
+
+SEVEN = {(1, "Yve", 1.0), (2, "Omar", 15.2), (4, "Ted", 5.7), (7, "Blue", 7.7)}
+GOLDEN = {
+    0: set(),
+    1: {(1, "Yve", 1.0)},
+    3: {(1, "Yve", 1.0), (2, "Omar", 2.5), (3, "Elia", 3.3)},
+    4: {(1, "Yve", 1.0), (2, "Omar", 2.5), (3, "Elia", 3.3), (4, "Ted", 4.7), (5, "Tiffany", 5.5), (6, "Vini", 6.3)},
+    5: {(1, "Yve", 1.0), (2, "Omar", 2.5), (3, "Elia", 3.3), (4, "Ted", 5.7), (5, "Tiffany", 6.5), (6, "Vini", 6.3)},
+    6: {(1, "Yve", 1.0), (2, "Omar", 2.5), (3, "Elia", 3.3), (4, "Ted", 5.7)},
+    7: SEVEN,
+}
+
+
+@pytest.mark.parametrize("version", list(GOLDEN))
+def test_states_of_the_script(students, version):
+    assert rounded(students.read(version=version)) == GOLDEN[version]
+    assert rounded(students.read(as_of=at(version + 1) + timedelta(hours=3))) == GOLDEN[version]
+
+
+def test_history_of_the_script(students):
+    rows = {tuple(r)[:2] + tuple(r)[3:] for r in students.history().where("_version <= 7").collect()}
+    assert rows == {
+        (0, "CREATE", 0, 0, 0), (1, "INSERT", 1, 0, 0), (2, "INSERT", 1, 0, 0), (3, "INSERT", 1, 0, 0),
+        (4, "INSERT", 3, 0, 0), (5, "UPDATE", 0, 2, 0), (6, "DELETE", 0, 0, 2), (7, "MERGE", 1, 1, 1),
+    }
+
+
+def test_commit_rows_of_the_merge(students):
+    assert as_set(students.commit_rows(7), "id", "_op") == {(2, "U"), (3, "D"), (7, "I")}
+
+
+def test_enforcement_evolution_and_restore(spark, students):
+    copy = students.clone(new_folder(spark, "students-copy"), version=7, at=at(8))
+    wide = spark.createDataFrame([(11, "Tom", 4.0, "XYZ")], STUDENTS + ", col4 string")
+    before = copy.snapshot().head
+    with pytest.raises(SchemaMismatch):
+        copy.insert(wide)
+    assert copy.snapshot().head == before  # nothing was written
+    evolved = copy.insert(wide, evolve=True)
+    assert rounded(copy.read().drop("col4")) == SEVEN | {(11, "Tom", 4.0)}
+    assert as_set(copy.read().where("col4 IS NOT NULL"), "id", "col4") == {(11, "XYZ")}
+    copy.restore(before)
+    assert copy.read().columns == ["id", "name", "value"]
+    assert rounded(copy.read()) == SEVEN
+    assert "col4" in copy.read(version=evolved).columns
+    with pytest.raises(SchemaMismatch):  # the old files hold text in that column
+        copy.insert(spark.createDataFrame([(12, "Una", 1.0, 5)], STUDENTS + ", col4 int"), evolve=True)
+    assert rounded(students.read()) == SEVEN  # the source of the clone never changed
+
+
+def test_wrong_type_is_refused(spark, students):
+    with pytest.raises(SchemaMismatch):
+        students.insert(spark.createDataFrame([("x", "Tom", 4.0)], "id string, name string, value double"))
+    with pytest.raises(SchemaMismatch):
+        students.insert(spark.createDataFrame([("Tom",)], "name string"))
+    with pytest.raises(SchemaMismatch):
+        students.update("id = 1", {"id": "9"})
+
+
+def test_missing_columns_become_null_and_numbers_widen(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.createDataFrame([], STUDENTS), ["id"])
+    table.insert(spark.createDataFrame([(1, 3)], "id int, value int"))
+    assert as_set(table.read()) == {(1, None, 3.0)}
+
+
+def test_two_source_rows_for_one_target_row_are_refused(spark, students):
+    twice = spark.createDataFrame([(1, "a", 1.0, "update"), (1, "b", 2.0, "update")], STUDENTS + ", type string")
+    with pytest.raises(KeyViolation):
+        students.merge(twice, CLAUSES)
+    assert rounded(students.read()) == SEVEN  # the rejected rows are in no version
+    table = students.clone(new_folder(spark, "copy"), version=7)
+    one_fires = spark.createDataFrame([(1, "a", 9.0, "update"), (1, "b", 2.0, "other")], STUDENTS + ", type string")
+    table.merge(one_fires, CLAUSES)
+    assert (1, "a", 9.0) in rounded(table.read())
+
+
+def test_null_and_repeated_keys_are_refused(spark, folder):
+    with pytest.raises(KeyViolation):
+        VersionedTable.create(spark, folder, spark.createDataFrame([(None, "a", 1.0)], STUDENTS), ["id"])
+    table = VersionedTable.create(spark, folder + "-2", spark.createDataFrame([(1, "a", 1.0)], STUDENTS), ["id"])
+    with pytest.raises(KeyViolation):
+        table.insert(spark.createDataFrame([(2, "a", 1.0), (2, "b", 1.0)], STUDENTS))
+    assert table.snapshot().head == 0
+
+
+def test_null_predicates_leave_rows_alone(spark, folder):
+    rows = spark.createDataFrame([(1, None, None), (2, "Ted", 7.0)], STUDENTS)
+    table = VersionedTable.create(spark, folder, rows, ["id"])
+    table.update("name LIKE 'T%'", {"value": F.col("value") + 1})
+    table.delete("value > 7.5")
+    assert as_set(table.read()) == {(1, None, None)}
+
+
+def test_merge_takes_the_first_clause_that_holds(spark):
+    target = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], STUDENTS)
+    source = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0), (4, None)], "id int, v double")
+    clauses = [
+        Clause(True, "update", "s.v > 15", {"value": "s.v + t.value"}),
+        Clause(True, "delete"),
+        when_not_matched_insert("s.v > 0", {"name": "'new'", "value": "s.v"}),
+    ]
+    changes = cl.merged(target, source, ["id"], clauses)
+    assert as_set(changes) == {(1, None, None, "D"), (2, "b", 22.0, "U"), (3, "new", 30.0, "I")}
+
+
+def test_retention(spark, students):
+    table = students.clone(new_folder(spark, "retained"), version=4, at=at(1))
+    table.update("id = 1", {"value": "2.0"}, at=at(2))
+    table.update("id = 1", {"value": "3.0"}, at=at(3))
+    table.delete("id = 2", at=at(4))
+    states = {v: rounded(table.read(version=v)) for v in range(4)}
+    with pytest.raises(ValueError):
+        table.retain(keep=timedelta(0), now=at(4))
+    assert table.retain(now=at(4) + timedelta(hours=1), keep=timedelta(days=1), allow_short=True) == 2
+    for v in (0, 1):
+        with pytest.raises(VersionNotReadable):
+            table.read(version=v)
+    with pytest.raises(VersionNotReadable):
+        table.restore(1)
+    for v in (2, 3):
+        assert rounded(table.read(version=v)) == states[v]
+    table.update("id = 3", {"value": "0.0"}, at=at(5))
+    table.restore(2, at=at(6))
+    assert rounded(table.read()) == states[2]
+    for wrong in (99, -1):
+        with pytest.raises(VersionNotReadable):
+            table.read(version=wrong)
+
+
+def test_a_lost_commit_is_ignored_and_replaced(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.createDataFrame([(1, "a", 1.0)], STUDENTS), ["id"])
+    lost = cl.inserted(spark.createDataFrame([(5, "lost", 0.0)], STUDENTS))
+    lost.write.parquet(f"{folder}/rows/_version=1")  # its log row was never written
+    assert as_set(table.read(), "id") == {(1,)}
+    table.insert(spark.createDataFrame([(2, "b", 2.0)], STUDENTS))
+    assert as_set(table.read(), "id") == {(1,), (2,)}
+
+
+def test_fold_changes_no_version(spark, students):
+    table = students.clone(new_folder(spark, "folded"), version=6)
+    table.delete("id = 1")
+    table.insert(spark.createDataFrame([(1, "again", 0.5)], STUDENTS))
+    before = {v: rounded(table.read(version=v)) for v in range(3)}
+    assert table.fold(1) == 1
+    assert table.snapshot().base == 1
+    assert {v: rounded(table.read(version=v)) for v in range(3)} == before
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_commits_against_a_dictionary(spark, seed):
+    """Two key columns, random commits; every version must equal a plain Python model."""
+    rng = random.Random(seed)
+    schema = "k int, g string, v double"
+    start = [(k, g, float(rng.randint(0, 9))) for k in range(12) for g in "ab" if rng.random() < 0.6]
+    table = VersionedTable.create(
+        spark, new_folder(spark, "random"), spark.createDataFrame(start, schema), ["k", "g"]
+    )
+    model = {(k, g): v for k, g, v in start}
+    states = [dict(model)]
+    for _ in range(5):
+        action = rng.choice(["update", "delete", "merge", "restore"])
+        n = rng.randint(0, 9)
+        if action == "update":
+            table.update(f"v > {n}", {"v": "v - 3"})
+            model = {k: v - 3 if v > n else v for k, v in model.items()}
+        elif action == "delete":
+            table.delete(f"v = {n}")
+            model = {k: v for k, v in model.items() if v != n}
+        elif action == "restore":
+            back = rng.randrange(len(states))
+            table.restore(back)
+            model = dict(states[back])
+        else:
+            feed = [(k, g, float(rng.randint(0, 9))) for k in range(15) for g in "ab" if rng.random() < 0.4]
+            table.merge(
+                spark.createDataFrame(feed, schema), [when_matched_update("s.v <> 5"), when_not_matched_insert()]
+            )
+            for k, g, v in feed:
+                if (k, g) not in model or v != 5:
+                    model[(k, g)] = v
+        states.append(dict(model))
+    for version, state in enumerate(states):
+        found = {(r.k, r.g): r.v for r in table.read(version=version).collect()}
+        assert found == state, version
+
+
+def test_plans_prune_and_do_not_shuffle_the_base(spark, folder):
+    rows = spark.range(2000).select("id", F.lit("x").alias("name"), F.col("id").cast("double").alias("value"))
+    table = VersionedTable.create(spark, folder, rows, ["id"])
+    table.update("id < 5", {"value": "0.0"})
+    query = table.read().where("id = 3 AND value = 0").select("value")
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    base, changed_keys, changed_rows = (line for line in plan.splitlines() if "FileScan" in line)
+    assert "EqualTo(value,0.0)" in base and "EqualTo(id,3)" in base
+    assert "ReadSchema: struct<id:bigint,value:double>" in base
+    assert "ReadSchema: struct<id:bigint>" in changed_keys
+    assert "EqualTo(id,3)" in changed_keys and "EqualTo(id,3)" in changed_rows
+    assert "BroadcastHashJoin [id" in plan and "SortMergeJoin" not in plan
