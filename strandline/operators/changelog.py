@@ -20,22 +20,32 @@ OP = "_op"
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
 
-def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest change of each key, with its ``_op``."""
+def latest_changes(changes: DataFrame, keys: Sequence[str], commits: int | None = None) -> DataFrame:
+    """The newest change of each key, with its ``_op``.
+
+    The changes of a single commit are that already, as ``commits=1`` says.
+    """
     rest = [c for c in changes.columns if c not in keys and c != VERSION]
+    if commits == 1:
+        return changes.select(*keys, *rest)
     newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(VERSION)).alias("_newest"))
     return newest.select(*keys, "_newest.*")
 
 
-def as_of(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The table after ``changes``.
+def _changed_keys(changes: DataFrame, keys: Sequence[str], commits: int | None) -> DataFrame:
+    found = changes.select(*keys)
+    return found if commits == 1 else found.distinct()
+
+
+def as_of(base: DataFrame, changes: DataFrame, keys: Sequence[str], commits: int | None = None) -> DataFrame:
+    """The table after ``changes`` (made by so many ``commits``, where known).
 
     The base is only anti-joined with the changed keys: while these are few, Spark
     broadcasts them and the base is read without a shuffle. Filters on any column
     reach the scan of the base, filters on keys reach both scans.
     """
-    untouched = base.join(changes.select(*keys).distinct(), list(keys), "left_anti")
-    current = latest_changes(changes, keys).where(F.col(OP) != DELETE)
+    untouched = base.join(_changed_keys(changes, keys, commits), list(keys), "left_anti")
+    current = latest_changes(changes, keys, commits).where(F.col(OP) != DELETE)
     return untouched.select(*base.columns).unionByName(current.select(*base.columns))
 
 
@@ -145,17 +155,19 @@ def merged(state: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Se
     )
 
 
-def restored(changes_since: DataFrame, then: DataFrame, keys: Sequence[str]) -> DataFrame:
+def restored(
+    changes_since: DataFrame, then: DataFrame, keys: Sequence[str], commits: int | None = None
+) -> DataFrame:
     """Changes that bring the table back to the state ``then``.
 
     ``changes_since`` are the changes after that state; no other key can differ, so the
     work grows with them and not with the table.
     """
     values = [c for c in then.columns if c not in keys]
-    now = latest_changes(changes_since, keys).select(
+    now = latest_changes(changes_since, keys, commits).select(
         *keys, F.col(OP).alias("_now_op"), F.struct(*values).alias("_now")
     )
-    was = then.join(changes_since.select(*keys).distinct(), list(keys), "left_semi").select(
+    was = then.join(_changed_keys(changes_since, keys, commits), list(keys), "left_semi").select(
         *keys, F.struct(*values).alias("_was")
     )
     both = now.join(was, list(keys), "left")

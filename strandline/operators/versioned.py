@@ -168,7 +168,7 @@ class VersionedTable:
         if snapshot.version == snapshot.base:
             return base
         changes = self.changes(snapshot.base, snapshot.version, snapshot.schema)
-        return cl.as_of(base, changes, snapshot.keys)
+        return cl.as_of(base, changes, snapshot.keys, snapshot.version - snapshot.base)
 
     def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
         return self._state(self.snapshot(version, as_of))
@@ -241,6 +241,9 @@ class VersionedTable:
         if worst.n is not None and worst.n > 1:
             raise KeyViolation(f"one commit changes a key of {list(keys)} {worst.n} times")
 
+    # A change may touch a few rows of every file of a large table. The rebalance hint gathers
+    # what is written into files of the size Spark aims for, instead of one sliver per task.
+
     def _commit(
         self,
         head: Snapshot,
@@ -313,11 +316,13 @@ class VersionedTable:
         unknown = [c for c in assignments if c not in head.schema.names]
         if unknown or any(c in head.keys for c in assignments):
             raise SchemaMismatch(f"cannot assign {unknown or head.keys}")
-        return self._commit(head, cl.updated(self._state(head), predicate, assignments), "UPDATE", at)
+        rows = cl.updated(self._state(head), predicate, assignments)
+        return self._commit(head, rows.hint("rebalance"), "UPDATE", at)
 
     def delete(self, predicate: Column | str, at: datetime | None = None) -> int:
         head = self.snapshot()
-        return self._commit(head, cl.deleted(self._state(head), predicate, head.keys), "DELETE", at)
+        rows = cl.deleted(self._state(head), predicate, head.keys)
+        return self._commit(head, rows.hint("rebalance"), "DELETE", at)
 
     def merge(
         self,
@@ -331,7 +336,7 @@ class VersionedTable:
         head = self.snapshot()
         if stream is not None and self._seen(stream, batch):
             return head.head
-        rows = cl.merged(self._state(head), source, head.keys, clauses)
+        rows = cl.merged(self._state(head), source, head.keys, clauses).hint("rebalance")
         return self._commit(head, rows, "MERGE", at, check_keys=True, stream=stream, batch=batch)
 
     def _seen(self, stream: str, batch: int) -> bool:
@@ -343,8 +348,8 @@ class VersionedTable:
         then = self.snapshot(version)
         head = self.snapshot()
         changes = self.changes(version, head.head, then.schema)
-        rows = cl.restored(changes, self._state(then), head.keys)
-        return self._commit(head, rows, "RESTORE", at, then.schema)
+        rows = cl.restored(changes, self._state(then), head.keys, head.head - version)
+        return self._commit(head, rows.hint("rebalance"), "RESTORE", at, then.schema)
 
     def fold(self, version: int | None = None, floor: bool = False) -> int:
         """Write the whole table at a version as a new base, so that reads need not go further back."""

@@ -45,7 +45,7 @@ class ArrivalReplay:
     def last_number(self) -> int:
         """The highest staged period, by a listing: no file is opened."""
         listing = self.spark.read.format("binaryFile").load(self.staged)
-        return listing.agg(F.max("_period")).first()[0]
+        return listing.agg(F.max(F.col("_period").cast("int"))).first()[0]
 
     def deliver(self) -> int | None:
         """Deliver the next period; None when there are no more. Lines are copied unparsed."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 import duckdb
 
@@ -14,7 +15,9 @@ from strandline.tables import TABLES
 def oracle(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+        path = f"{folder}/{t}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

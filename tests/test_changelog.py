@@ -15,6 +15,7 @@ from strandline.operators.versioned import KeyViolation, SchemaMismatch, Version
 from strandline.queries.versions import CLAUSES
 from strandline.session import new_folder
 
+# The rows, the change feed and the states after each statement are given.
 STUDENTS = "id int, name string, value double"
 
 
@@ -242,3 +243,20 @@ def test_plans_prune_and_do_not_shuffle_the_base(spark, folder):
     assert "ReadSchema: struct<id:bigint>" in changed_keys
     assert "EqualTo(id,3)" in changed_keys and "EqualTo(id,3)" in changed_rows
     assert "BroadcastHashJoin [id" in plan and "SortMergeJoin" not in plan
+
+
+def test_long_ranges_are_read_through_the_partition_filter(spark, students, monkeypatch):
+    monkeypatch.setattr("strandline.operators.versioned.LISTED_VERSIONS", 0)
+    for version in (3, 6, 7):
+        assert rounded(students.read(version=version)) == GOLDEN[version]
+
+
+def test_changes_are_gathered_into_few_files(spark, folder):
+    rows = spark.range(0, 4000, 1, 40).select("id", F.lit(0).alias("n"))
+    table = VersionedTable.create(spark, folder, rows, ["id"])
+    table.update("id % 100 = 0", {"n": "1"})
+    table.delete("id % 100 = 1")
+    for version in (1, 2):
+        files = spark.read.parquet(f"{folder}/rows/_version={version}").select("_metadata.file_path").distinct()
+        assert files.count() == 1
+    assert table.read().where("n = 1").count() == 40 and table.read().count() == 3960
