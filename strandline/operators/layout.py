@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.session import settings
+from strandline.tables import dataset_bytes
 
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -41,12 +42,6 @@ def folded_stats(stats: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def dataset_bytes(spark: SparkSession, path: str) -> int:
-    """Total size from a listing; the ``content`` column is not selected, so no file is opened."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return listing.agg(F.sum("length")).first()[0] or 0
-
-
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Rewrite a dataset into files of about ``target_bytes``, without a shuffle.
 

@@ -181,17 +181,22 @@ class VersionedTable:
         return self.changes(version - 1, version, snapshot.schema).drop(cl.VERSION)
 
     def history(self) -> DataFrame:
-        """One row per commit: operation, time and changed rows."""
+        """One row per commit: operation, time and changed rows. The rows of a clone's source count as none."""
         snapshot = self.snapshot()
-        commits = self.log().where(F.col("kind") == "commit")
-        described = commits.select("_version", "operation", "committed")
-        if snapshot.head == 0:
-            none = F.lit(0).cast("bigint")
-            return described.select(
-                "*", none.alias("inserted"), none.alias("updated"), none.alias("deleted")
+        commits = self.log().where(F.col("kind") == "commit").select("_version", "operation", "committed")
+        counts = None
+        if snapshot.head > 0:
+            counts = cl.change_counts(self.changes(0, snapshot.head, snapshot.schema))
+        if snapshot.source_path is None:
+            none = F.first(F.lit(0).cast("bigint"))
+            loaded = self.spark.read.schema(snapshot.schema).parquet(self._base_path(0)).agg(
+                none.alias(cl.VERSION), F.count(F.lit(1)).alias("inserted"),
+                none.alias("updated"), none.alias("deleted"),
             )
-        counts = cl.change_counts(self.changes(0, snapshot.head, snapshot.schema))
-        return described.join(counts, "_version", "left").na.fill(0, ["inserted", "updated", "deleted"])
+            counts = loaded if counts is None else counts.unionByName(loaded)
+        if counts is None:
+            counts = self.spark.createDataFrame([], "_version bigint, inserted bigint, updated bigint, deleted bigint")
+        return commits.join(counts, "_version", "left").na.fill(0, ["inserted", "updated", "deleted"])
 
     # -- writing ---------------------------------------------------------------------
 

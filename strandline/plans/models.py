@@ -31,11 +31,16 @@ class Model:
 def run_models(
     spark: SparkSession,
     models: Sequence[Model],
-    sources: Mapping[str, DataFrame] | None = None,
+    sources: Mapping[str, DataFrame | str] | None = None,
     default_kind: str = "view",
 ) -> dict[str, DataFrame]:
-    """Build every model after those it reads. Returns the frames by model name."""
-    sources = dict(sources or {})
+    """Build every model after those it reads. Returns the frames by model name.
+
+    A declared source is a frame or the path of a parquet dataset.
+    """
+    sources = {
+        name: spark.read.parquet(s) if isinstance(s, str) else s for name, s in (sources or {}).items()
+    }
     by_name = {m.name: m for m in models}
     unknown = {r for m in models for r in m.reads} - by_name.keys() - sources.keys()
     if unknown:

@@ -14,6 +14,7 @@ from strandline.functions import cents, exact_mean, wide_sum
 
 
 def mean_by_key(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """Mean amount of money per key, sorted by key."""
     return df.select(key, amount).groupBy(key).agg(exact_mean(amount).alias(name)).orderBy(key)
 
 
@@ -58,9 +59,11 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def select_where(spark: SparkSession, query: str, **parameters: object) -> DataFrame:
+def select_where(
+    spark: SparkSession, query: str, defaults: dict[str, object] | None = None, **parameters: object
+) -> DataFrame:
     """SQL with named parameters (``:year``); values never become part of the text."""
-    return spark.sql(query, args=parameters)
+    return spark.sql(query, args={**(defaults or {}), **parameters})
 
 
 def table_by_name(spark: SparkSession, name: str) -> DataFrame:

@@ -159,6 +159,7 @@ def named_parameter(spark: SparkSession, folder: str) -> DataFrame:
     return reports.select_where(
         spark,
         "SELECT :year AS year_text, o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = int(:year)",
+        defaults={"year": "2014"},
         year="1996",
     )
 

@@ -135,6 +135,14 @@ def gold(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def gold_range(spark: SparkSession, folder: str) -> DataFrame:
+    """A plain read of the published means, limited to a span of days given as text."""
+    daily = spark.table(_steps(spark, folder)["gold"])
+    return daily.where(F.col("date").between("2024-01-10", "2024-01-20")).select(
+        "mrn", F.col("date").cast("date").alias("day"), F.round("avg_heartrate", 6).alias("avg_heartrate")
+    )
+
+
 def replaced(spark: SparkSession, folder: str) -> DataFrame:
     replay = _replay(spark, folder)
     table, work = new_table_name("replaced"), new_folder(spark, "replaced")
@@ -177,6 +185,7 @@ QUERIES = {
     "str_silver": silver,
     "str_silver_continuous": silver_continuous,
     "str_gold": gold,
+    "str_gold_range": gold_range,
     "ing_replace": replaced,
     "ing_merge": merged,
     "ing_replay": replayed,
@@ -201,6 +210,10 @@ ORACLES = {
     "str_gold": f"""
         SELECT mrn, name, CAST(read_at AS DATE) AS day, round(AVG(heartrate), 6) AS avg_heartrate
         FROM ({_SILVER}) AS s GROUP BY mrn, name, CAST(read_at AS DATE)""",
+    "str_gold_range": f"""
+        SELECT mrn, CAST(read_at AS DATE) AS day, round(AVG(heartrate), 6) AS avg_heartrate
+        FROM ({_SILVER}) AS s GROUP BY mrn, name, CAST(read_at AS DATE)
+        HAVING CAST(read_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "ing_replace": f"""
         SELECT event_id, user_id, event_type, value FROM events
         WHERE {_PERIOD} = (SELECT MAX({_PERIOD}) FROM events)""",

@@ -180,7 +180,8 @@ ORACLES = {
           SELECT s.c_mktsegment AS segment, s.c_acctbal AS feed_bal, t.c_custkey IS NOT NULL AS present
           FROM customer AS s LEFT JOIN v3 AS t ON s.c_custkey = t.c_custkey)
         SELECT CAST(0 AS BIGINT) AS _version, 'CREATE' AS operation, DATE '2024-01-01' AS committed,
-               CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted
+               (SELECT COUNT(*) FROM customer WHERE c_mktsegment <> 'MACHINERY') AS inserted,
+               CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted
         UNION ALL SELECT 1, 'INSERT', DATE '2024-01-02',
                (SELECT COUNT(*) FROM customer WHERE c_mktsegment = 'MACHINERY'), 0, 0
         UNION ALL SELECT 2, 'UPDATE', DATE '2024-01-03', 0, (SELECT COUNT(*) FROM customer WHERE c_name LIKE '%5'), 0

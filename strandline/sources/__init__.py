@@ -10,11 +10,12 @@ from strandline.sources.files import (
     read_hinted,
 )
 from strandline.sources.jdbc import read_jdbc, write_jdbc
-from strandline.sources.tables import csv_table, external_table, inline_rows
+from strandline.sources.tables import csv_table, describe_table, external_table, inline_rows
 
 __all__ = [
     "count_rows",
     "csv_table",
+    "describe_table",
     "external_table",
     "hinted_schema",
     "inline_rows",

@@ -38,3 +38,8 @@ def inline_rows(spark: SparkSession, view: str, columns: Sequence[str], values:
     """A temp view over literal rows: ``values`` is the text after VALUES."""
     spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} ({', '.join(columns)}) AS VALUES {values}")
     return spark.table(view)
+
+
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """Columns, location and other details of a table."""
+    return spark.sql("DESCRIBE EXTENDED IDENTIFIER(:name)", args={"name": name})

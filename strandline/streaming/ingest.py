@@ -46,6 +46,9 @@ def load_merging(
 
     ``name`` identifies the stream: a batch that was committed under it is not applied
     again. Every ``fold_every`` commits the table gets a new base, so reads stay cheap.
+
+    The newest rows of a batch are written down before the merge, which reads its source
+    twice and picks its joins by the source's size.
     """
     new = ", ".join(f"s.{c}" for c in order)
     old = ", ".join(f"t.{c}" for c in order)
@@ -55,8 +58,12 @@ def load_merging(
     keys = table.snapshot().keys
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = VersionedTable(batch.sparkSession, table.path)
-        version = target.merge(newest_per_key(batch, keys, order), clauses, stream=name, batch=batch_id)
+        spark = batch.sparkSession
+        staged = f"{table.path}/staged/slot={batch_id % 2}"
+        newest_per_key(batch, keys, order).write.mode("overwrite").parquet(staged)
+        source = spark.read.schema(batch.schema).parquet(staged)
+        target = VersionedTable(spark, table.path)
+        version = target.merge(source, clauses, stream=name, batch=batch_id)
         if version and version % fold_every == 0:
             target.fold(version)
 

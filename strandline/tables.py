@@ -1,8 +1,11 @@
-"""The given tables."""
+"""The given tables, and how large they are."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -17,3 +20,34 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def register_views(spark: SparkSession, folder: str, names: list[str] | None = None) -> None:
     for name in names or TABLES:
         read_table(spark, folder, name).createOrReplaceTempView(name)
+
+
+def dataset_bytes(spark: SparkSession, path: str) -> int:
+    """Total size from a listing; the ``content`` column is not selected, so no file is opened."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listing.agg(F.sum("length")).first()[0] or 0
+
+
+# A shuffle partition should hold about this much of the data read.
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+_known_bytes: dict[tuple[str, str], int] = {}
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> int:
+    """Let shuffles start with enough partitions for the tables of a folder.
+
+    AQE can merge partitions that turn out small, but not add any, so the session's count is
+    raised where the data needs it and never lowered. Returns the count in effect.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _known_bytes:
+        _known_bytes[key] = dataset_bytes(spark, folder)
+    needed = math.ceil(_known_bytes[key] / PARTITION_BYTES)
+    configured = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if min(needed, MOST_PARTITIONS) > int(configured):
+        spark.conf.set(INITIAL_PARTITIONS, str(min(needed, MOST_PARTITIONS)))
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or configured)

@@ -92,6 +92,15 @@ def test_parameters_are_values(spark):
     text = "x' OR '1'='1"
     assert reports.select_where(spark, "SELECT id FROM numbers_here WHERE string(id) = :v", v=text).count() == 0
     assert reports.table_by_name(spark, "numbers_here").count() == 3
+    query = "SELECT :year AS y"
+    assert reports.select_where(spark, query, {"year": "2014"}).first().y == "2014"
+    assert reports.select_where(spark, query, {"year": "2014"}, year="2015").first().y == "2015"
+
+
+def test_a_declared_source_may_be_a_path(spark, data):
+    model = Model(new_table_name("m"), ["sample.nation"], lambda n: n.where("n_nationkey < 3"))
+    built = run_models(spark, [model], {"sample.nation": f"{data}/nation.parquet"})
+    assert built[model.name].count() == 3
 
 
 def physical(df) -> str:

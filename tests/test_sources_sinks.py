@@ -7,7 +7,7 @@ from conftest import as_set
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from strandline import session, sinks, sources
+from strandline import session, sinks, sources, tables
 from strandline.session import new_table_name
 
 
@@ -95,6 +95,8 @@ def test_replace_copy_and_database(spark, folder):
     assert sinks.copy_dataset(spark, f"{folder}/loaded", f"{folder}/copy") == 4
     external = sources.external_table(spark, new_table_name("ext"), f"{folder}/copy")
     assert as_set(external, "id") == {(0,), (1,), (2,), (3,)}
+    details = {r.col_name: r.data_type for r in sources.describe_table(spark, f"{name}").collect()}
+    assert details["id"] == "bigint" and details["Location"].endswith("/loaded")
     sinks.reset_database(spark, database, f"{folder}/db2")
     assert not spark.catalog.tableExists(name)
 
@@ -146,3 +148,18 @@ def test_database_reads_are_split_by_range(bounds, split):
 def test_all_null_rows_are_added(spark):
     df = sinks.append_null_rows(spark.createDataFrame([(1, "a")], "i int, s string"), 3)
     assert df.count() == 4 and df.where(F.col("i").isNull() & F.col("s").isNull()).count() == 3
+
+
+def test_shuffles_grow_with_the_data_and_never_shrink(spark, folder, monkeypatch):
+    spark.range(20000).write.parquet(folder)
+    total = tables.dataset_bytes(spark, folder)
+    assert total > 0
+    before = tables.size_shuffles(spark, folder)
+    assert before == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(tables, "PARTITION_BYTES", total / 50)
+    try:
+        assert tables.size_shuffles(spark, folder) == 50
+        monkeypatch.setattr(tables, "PARTITION_BYTES", total)
+        assert tables.size_shuffles(spark, folder) == 50
+    finally:
+        spark.conf.unset(tables.INITIAL_PARTITIONS)
