@@ -1,7 +1,7 @@
 """A keyed table with versions, kept as plain parquet folders.
 
 ``rows/_version=N``   the changes of commit N
-``base/_base=N``      the whole table at version N (the first load, and later folds)
+``base/_base=N``      the whole table at version N (first load, replacement, or a later fold)
 ``log/_version=N``    one row describing commit N or the base at N; written last
 
 A commit is visible once its log row is written. What a lost job left behind belongs to no
@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ from strandline.operators import changelog as cl
 
 LOG_SCHEMA = (
     "_version bigint, kind string, operation string, committed timestamp, columns string, keys string, "
-    "floor boolean, source_path string, source_version bigint, stream string, batch bigint"
+    "whole boolean, floor boolean, source_path string, source_version bigint, stream string, batch bigint"
 )
 MINIMUM_RETENTION = timedelta(days=7)
 LISTED_VERSIONS = 256
@@ -38,6 +39,10 @@ class KeyViolation(ValueError):
     """A key is NULL, or one commit would change a key twice."""
 
 
+class TableExists(ValueError):
+    """There is a table at this path already."""
+
+
 class VersionNotReadable(ValueError):
     """The version does not exist, or retention has passed it."""
 
@@ -74,18 +79,27 @@ class VersionedTable:
     ) -> VersionedTable:
         """Version 0: the first load, possibly without rows."""
         table = cls(spark, path)
-        rows.write.mode("overwrite").parquet(table._base_path(0))
-        if check_keys:
-            table._check_keys(spark.read.schema(rows.schema).parquet(table._base_path(0)), keys)
-        table._log(0, "commit", "CREATE", at, rows.schema, keys, floor=True)
+        table._refuse_existing()
+        table._write_base(0, rows, keys, check_keys)
+        table._log(0, "commit", "CREATE", at, rows.schema, keys, whole=True, floor=True)
         return table
 
+    def _refuse_existing(self) -> None:
+        try:
+            self.snapshot()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        raise TableExists(self.path)
+
     def clone(self, path: str, version: int | None = None, at: datetime | None = None) -> VersionedTable:
         """A new table that starts from a version of this one without copying its rows."""
         snapshot = self.snapshot(version)
         copy = VersionedTable(self.spark, path)
+        copy._refuse_existing()
         copy._log(
-            0, "commit", "CLONE", at, snapshot.schema, snapshot.keys, floor=True,
+            0, "commit", "CLONE", at, snapshot.schema, snapshot.keys, whole=True, floor=True,
             source_path=self.path, source_version=snapshot.version,
         )
         return copy
@@ -112,11 +126,10 @@ class VersionedTable:
             if version is None:
                 raise VersionNotReadable(f"no version at {as_of}")
         upto = F.lit(True) if version is None else F.col("_version") <= version
-        is_base = (F.col("kind") == "fold") | (F.col("_version") == 0)
         found = log.agg(
             F.max(F.when(is_commit, F.col("_version"))).alias("head"),
             F.max(F.when(F.col("floor"), F.col("_version"))).alias("floor"),
-            F.max(F.when(is_base & upto, F.col("_version"))).alias("base"),
+            F.max(F.when(F.col("whole") & upto, F.col("_version"))).alias("base"),
             F.max_by("columns", F.when(is_commit & upto, F.col("_version"))).alias("columns"),
             F.max("keys").alias("key_names"),
             F.max("source_path").alias("source_path"),
@@ -176,27 +189,34 @@ class VersionedTable:
     def commit_rows(self, version: int) -> DataFrame:
         """The changes of one commit, as written."""
         snapshot = self.snapshot(version)
-        if version == 0:
+        if self._whole_commits().where(F.col(cl.VERSION) == version).first() is not None:
             return cl.inserted(self._state(snapshot))
         return self.changes(version - 1, version, snapshot.schema).drop(cl.VERSION)
 
+    def _whole_commits(self) -> DataFrame:
+        """Versions whose commit was the whole table rather than changes to it."""
+        return self.log().where((F.col("kind") == "commit") & F.col("whole")).select(cl.VERSION)
+
     def history(self) -> DataFrame:
         """One row per commit: operation, time and changed rows. The rows of a clone's source count as none."""
         snapshot = self.snapshot()
-        commits = self.log().where(F.col("kind") == "commit").select("_version", "operation", "committed")
-        counts = None
+        none = F.lit(0).cast("bigint")
+        counts = []
         if snapshot.head > 0:
-            counts = cl.change_counts(self.changes(0, snapshot.head, snapshot.schema))
+            counts.append(cl.change_counts(self.changes(0, snapshot.head, snapshot.schema)))
         if snapshot.source_path is None:
-            none = F.first(F.lit(0).cast("bigint"))
-            loaded = self.spark.read.schema(snapshot.schema).parquet(self._base_path(0)).agg(
-                none.alias(cl.VERSION), F.count(F.lit(1)).alias("inserted"),
-                none.alias("updated"), none.alias("deleted"),
+            bases = self.spark.read.schema("_base bigint").parquet(f"{self.path}/base")
+            sizes = bases.groupBy(F.col("_base").alias(cl.VERSION)).agg(F.count(F.lit(1)).alias("inserted"))
+            counts.append(
+                sizes.join(self._whole_commits(), cl.VERSION, "left_semi").select(
+                    "*", none.alias("updated"), none.alias("deleted")
+                )
             )
-            counts = loaded if counts is None else counts.unionByName(loaded)
-        if counts is None:
-            counts = self.spark.createDataFrame([], "_version bigint, inserted bigint, updated bigint, deleted bigint")
-        return commits.join(counts, "_version", "left").na.fill(0, ["inserted", "updated", "deleted"])
+        out = self.log().where(F.col("kind") == "commit").select(cl.VERSION, "operation", "committed")
+        if not counts:
+            return out.select("*", none.alias("inserted"), none.alias("updated"), none.alias("deleted"))
+        both = counts[0] if len(counts) == 1 else counts[0].unionByName(counts[1])
+        return out.join(both, cl.VERSION, "left").na.fill(0, ["inserted", "updated", "deleted"])
 
     # -- writing ---------------------------------------------------------------------
 
@@ -208,6 +228,7 @@ class VersionedTable:
         at: datetime | None,
         schema: T.StructType,
         keys: Sequence[str],
+        whole: bool = False,
         floor: bool = False,
         source_path: str | None = None,
         source_version: int | None = None,
@@ -221,6 +242,7 @@ class VersionedTable:
             when.alias("committed"),
             F.lit(schema.json()).alias("columns"),
             F.lit(",".join(keys)).alias("keys"),
+            F.lit(whole).alias("whole"),
             F.lit(floor).alias("floor"),
             F.lit(source_path).cast("string").alias("source_path"),
             F.lit(source_version).cast("bigint").alias("source_version"),
@@ -249,6 +271,11 @@ class VersionedTable:
     # A change may touch a few rows of every file of a large table. The rebalance hint gathers
     # what is written into files of the size Spark aims for, instead of one sliver per task.
 
+    def _write_base(self, version: int, rows: DataFrame, keys: Sequence[str], check_keys: bool) -> None:
+        rows.write.mode("overwrite").parquet(self._base_path(version))
+        if check_keys:
+            self._check_keys(self.spark.read.schema(rows.schema).parquet(self._base_path(version)), keys)
+
     def _commit(
         self,
         head: Snapshot,
@@ -349,13 +376,36 @@ class VersionedTable:
         return newest is not None and batch <= newest
 
     def restore(self, version: int, at: datetime | None = None) -> int:
-        """Bring back a version as a new commit; the columns become that version's columns."""
+        """Bring back a version as a new commit; the columns become that version's columns.
+
+        Only keys changed since are looked at, unless the whole table was replaced since.
+        """
         then = self.snapshot(version)
         head = self.snapshot()
+        if self._whole_commits().where(F.col(cl.VERSION) > version).first() is not None:
+            return self._commit_whole(head, self._state(then), "RESTORE", at, check_keys=False)
         changes = self.changes(version, head.head, then.schema)
         rows = cl.restored(changes, self._state(then), head.keys, head.head - version)
         return self._commit(head, rows.hint("rebalance"), "RESTORE", at, then.schema)
 
+    def replace(self, rows: DataFrame, at: datetime | None = None, check_keys: bool = True) -> int:
+        """Put other rows, with columns of their own, in place of the whole table. Older versions stay."""
+        head = self.snapshot()
+        absent = [k for k in head.keys if k not in rows.columns]
+        if absent:
+            raise SchemaMismatch(f"key columns {absent} are missing")
+        return self._commit_whole(head, rows, "REPLACE", at, check_keys)
+
+    def _commit_whole(
+        self, head: Snapshot, rows: DataFrame, operation: str, at: datetime | None, check_keys: bool
+    ) -> int:
+        version = head.head + 1
+        self._write_base(version, rows, head.keys, check_keys)
+        no_changes = cl.inserted(rows).where(F.lit(False))
+        no_changes.write.mode("overwrite").parquet(f"{self.path}/rows/_version={version}")
+        self._log(version, "commit", operation, at, rows.schema, head.keys, whole=True)
+        return version
+
     def fold(self, version: int | None = None, floor: bool = False) -> int:
         """Write the whole table at a version as a new base, so that reads need not go further back."""
         snapshot = self.snapshot(version)
@@ -365,7 +415,7 @@ class VersionedTable:
             self._state(snapshot).write.mode("overwrite").parquet(self._base_path(snapshot.version))
         elif not floor:
             return snapshot.version
-        self._log(snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, floor=floor)
+        self._log(snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, whole=True, floor=floor)
         return snapshot.version
 
     def retain(

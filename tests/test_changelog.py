@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from strandline.operators import changelog as cl
 from strandline.operators.changelog import Clause, when_matched_update, when_not_matched_insert
-from strandline.operators.versioned import KeyViolation, SchemaMismatch, VersionedTable, VersionNotReadable
+from strandline.operators.versioned import (
+    KeyViolation,
+    SchemaMismatch,
+    TableExists,
+    VersionedTable,
+    VersionNotReadable,
+)
 from strandline.queries.versions import CLAUSES
 from strandline.session import new_folder
 
@@ -260,3 +266,23 @@ def test_changes_are_gathered_into_few_files(spark, folder):
         files = spark.read.parquet(f"{folder}/rows/_version={version}").select("_metadata.file_path").distinct()
         assert files.count() == 1
     assert table.read().where("n = 1").count() == 40 and table.read().count() == 3960
+
+
+def test_create_or_replace(spark, students, folder):
+    rows = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], STUDENTS)
+    table = VersionedTable.create(spark, folder, rows, ["id"])
+    with pytest.raises(TableExists):
+        VersionedTable.create(spark, folder, rows, ["id"])
+    with pytest.raises(TableExists):
+        students.clone(folder)
+    table.delete("id = 1")
+    assert table.replace(spark.createDataFrame([(2, True), (3, False)], "id int, flag boolean")) == 2
+    table.update("id = 3", {"flag": "true"})
+    assert as_set(table.read()) == {(2, True), (3, True)}
+    assert as_set(table.read(version=1)) == {(2, "b", 2.0)}
+    assert as_set(table.commit_rows(2)) == {(2, True, "I"), (3, False, "I")}
+    assert as_set(table.history(), "_version", "operation", "inserted", "updated", "deleted") == {
+        (0, "CREATE", 2, 0, 0), (1, "DELETE", 0, 0, 1), (2, "REPLACE", 2, 0, 0), (3, "UPDATE", 0, 1, 0)
+    }
+    table.restore(1)
+    assert as_set(table.read()) == {(2, "b", 2.0)}
