@@ -147,3 +147,29 @@ def test_facts_are_aggregated_before_they_are_shuffled(spark, data, name, key):
 )
 def test_filters_reach_the_scan(spark, data, name, filters):
     assert filters in physical(QUERIES[name](spark, data))
+
+
+def test_a_hot_key_is_split_not_gathered(spark):
+    """A third of the readings belong to one entity; without broadcasts AQE must split it."""
+    from strandline.streaming.medallion import silver
+
+    n = 90_000
+    readings = spark.range(0, n, 1, 8).select(
+        F.lit("d").alias("device_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("string").alias("mrn"),
+        F.col("id").cast("double").alias("time"),
+        F.abs(F.xxhash64("id")).cast("string").alias("heartrate"),
+    )
+    lookup = spark.range(n).select(F.col("id").cast("string").alias("mrn"), F.lit("n").alias("name"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    with settings(spark, small):
+        joined = silver(readings, lookup).select("mrn", "heartrate")
+        rows = joined.collect()
+        assert len(rows) == n and sum(r.mrn == "7" for r in rows) == n // 3 + 1
+        assert "SortMergeJoin(skew=true)" in physical(joined)
