@@ -160,6 +160,8 @@ class VersionedTable:
             [T.StructField(f.name, f.dataType) for f in schema.fields]
             + [T.StructField(cl.OP, T.StringType()), T.StructField(cl.VERSION, T.LongType())]
         )
+        if upto <= after:
+            return self.spark.createDataFrame([], fields)
         reader = self.spark.read.schema(fields).option("basePath", f"{self.path}/rows")
         paths = [f"{self.path}/rows"]
         if upto - after <= LISTED_VERSIONS:
@@ -268,9 +270,6 @@ class VersionedTable:
         if worst.n is not None and worst.n > 1:
             raise KeyViolation(f"one commit changes a key of {list(keys)} {worst.n} times")
 
-    # A change may touch a few rows of every file of a large table. The rebalance hint gathers
-    # what is written into files of the size Spark aims for, instead of one sliver per task.
-
     def _write_base(self, version: int, rows: DataFrame, keys: Sequence[str], check_keys: bool) -> None:
         rows.write.mode("overwrite").parquet(self._base_path(version))
         if check_keys:
@@ -341,6 +340,9 @@ class VersionedTable:
         fitted, schema = self._fitted(rows, head, evolve)
         return self._commit(head, cl.inserted(fitted), "INSERT", at, schema, check_keys)
 
+    # A change may touch a few rows of every file of a large table. The rebalance hint gathers
+    # what is written into files of the size Spark aims for, instead of one sliver per task.
+
     def update(
         self, predicate: Column | str, assignments: dict[str, Column | str], at: datetime | None = None
     ) -> int:
@@ -428,7 +430,14 @@ class VersionedTable:
         if keep < MINIMUM_RETENTION and not allow_short:
             raise ValueError(f"keeping less than {MINIMUM_RETENTION} needs allow_short=True")
         moment = (now or datetime.now()) - keep
-        return self.fold(self.snapshot(as_of=moment).version, floor=True)
+        is_old = (F.col("kind") == "commit") & (F.col("committed") <= F.lit(moment))
+        found = self.log().agg(
+            F.max(F.when(is_old, F.col("_version"))).alias("horizon"),
+            F.max(F.when(F.col("floor"), F.col("_version"))).alias("floor"),
+        ).first()
+        if found.horizon is None or found.horizon <= found.floor:
+            return found.floor
+        return self.fold(found.horizon, floor=True)
 
 
 def _fits(given: T.DataType, wanted: T.DataType) -> bool:

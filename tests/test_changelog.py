@@ -165,6 +165,7 @@ def test_retention(spark, students):
     with pytest.raises(ValueError):
         table.retain(keep=timedelta(0), now=at(4))
     assert table.retain(now=at(4) + timedelta(hours=1), keep=timedelta(days=1), allow_short=True) == 2
+    assert table.retain(now=at(3), keep=timedelta(days=30)) == 2  # nothing older to give up
     for v in (0, 1):
         with pytest.raises(VersionNotReadable):
             table.read(version=v)
@@ -211,7 +212,9 @@ def test_random_commits_against_a_dictionary(spark, seed):
     model = {(k, g): v for k, g, v in start}
     states = [dict(model)]
     for _ in range(5):
-        action = rng.choice(["update", "delete", "merge", "restore"])
+        action = rng.choice(["update", "delete", "merge", "restore", "replace"])
+        if rng.random() < 0.3:
+            table.fold()
         n = rng.randint(0, 9)
         if action == "update":
             table.update(f"v > {n}", {"v": "v - 3"})
@@ -219,6 +222,10 @@ def test_random_commits_against_a_dictionary(spark, seed):
         elif action == "delete":
             table.delete(f"v = {n}")
             model = {k: v for k, v in model.items() if v != n}
+        elif action == "replace":
+            rows = [(k, "a", float(n)) for k in range(n)]
+            table.replace(spark.createDataFrame(rows, schema))
+            model = {(k, g): v for k, g, v in rows}
         elif action == "restore":
             back = rng.randrange(len(states))
             table.restore(back)
@@ -285,4 +292,5 @@ def test_create_or_replace(spark, students, folder):
         (0, "CREATE", 2, 0, 0), (1, "DELETE", 0, 0, 1), (2, "REPLACE", 2, 0, 0), (3, "UPDATE", 0, 1, 0)
     }
     table.restore(1)
+    table.restore(table.snapshot().head)  # changes nothing
     assert as_set(table.read()) == {(2, "b", 2.0)}
