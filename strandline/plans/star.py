@@ -19,19 +19,17 @@ def product_profit(
 ) -> DataFrame:
     """Sum of price less discount less supply cost, for parts whose name matches.
 
-    Everything known per (part, supplier) is joined first, and the large table is cut down
+    What is known per (part, supplier) is joined first, and the large table is cut down
     to the wanted parts before its other columns meet anything: at the scan where the parts
     fit a broadcast, in one shuffle where they do not. What is left is joined once on the
-    pair and once with the orders. Broadcasts are chosen by size, hot keys split by Spark.
+    pair and once with the orders. Nations stay numbers until the sums are made. Broadcasts
+    are chosen by size, hot keys split by Spark.
     """
     wanted = part.where(F.col("p_name").like(name_like)).select("p_partkey")
-    suppliers = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("nation")
-    )
     supplied = (
         partsupp.join(wanted, F.col("ps_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("ps_suppkey") == F.col("s_suppkey"))
-        .select("ps_partkey", "ps_suppkey", "ps_supplycost", "nation")
+        .join(supplier, F.col("ps_suppkey") == F.col("s_suppkey"))
+        .select("ps_partkey", "ps_suppkey", "ps_supplycost", "s_nationkey")
     )
     wanted_lines = lineitem.join(wanted, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
     lines = wanted_lines.join(
@@ -39,16 +37,21 @@ def product_profit(
         (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey")),
     ).select(
         "l_orderkey",
-        "nation",
+        "s_nationkey",
         (
             cents("l_extendedprice") * (100 - cents("l_discount")) - cents("ps_supplycost") * cents("l_quantity")
         ).alias("amount"),  # in ten-thousandths
     )
     dated = orders.select("o_orderkey", F.year("o_orderdate").alias("o_year"))
-    return (
+    per_number = (
         lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("nation", "o_year")
-        .agg((wide_sum("amount").cast("double") / 10_000).alias("sum_profit"))
+        .groupBy("s_nationkey", "o_year")
+        .agg(wide_sum("amount").alias("total"))
+    )
+    return (
+        per_number.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("n_name").alias("nation"), "o_year")
+        .agg((F.sum("total").cast("double") / 10_000).alias("sum_profit"))
         .orderBy("nation", F.col("o_year").asc())
     )
 

@@ -10,9 +10,7 @@ from strandline.operators import checks
 from strandline.session import new_folder, new_table_name
 from strandline.tables import read_table
 
-# name, width, type; the widths hold the keys and names of any scale of the given tables
-PART_LAYOUT = [("p_partkey", 14, "bigint"), ("p_brand", 12, "string"), ("p_name", 60, "string"),
-               ("p_size", 8, "int")]
+PART_FIELDS = {"p_partkey": "bigint", "p_brand": "string", "p_name": "string", "p_size": "int"}
 
 
 def _part(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,10 +56,14 @@ def delimited(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fixed_width(spark: SparkSession, folder: str) -> DataFrame:
+    """Written right-aligned in columns as wide as their longest value."""
     path = new_folder(spark, "part-fixed")
-    line = F.concat(*[F.lpad(F.col(c).cast("string"), width, " ") for c, width, _ in PART_LAYOUT])
-    _part(spark, folder).select(line.alias("value")).write.text(path)
-    return sources.read_fixed_width(spark, path, PART_LAYOUT)
+    part = _part(spark, folder)
+    longest = part.agg(*[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in PART_FIELDS]).first()
+    layout = [(c, longest[c] or 1, kind) for c, kind in PART_FIELDS.items()]
+    line = F.concat(*[F.lpad(F.col(c).cast("string"), width, " ") for c, width, _ in layout])
+    part.select(line.alias("value")).write.text(path)
+    return sources.read_fixed_width(spark, path, layout)
 
 
 def json_path(spark: SparkSession, folder: str) -> DataFrame:
