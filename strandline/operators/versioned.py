@@ -47,6 +47,11 @@ class VersionNotReadable(ValueError):
     """The version does not exist, or retention has passed it."""
 
 
+def _moment(at: datetime) -> Column:
+    """A point in time; without a zone of its own it is a wall time of the session's zone."""
+    return F.lit(at) if at.tzinfo else F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """What is needed to read one version."""
@@ -121,7 +126,7 @@ class VersionedTable:
         is_commit = F.col("kind") == "commit"
         if as_of is not None:
             version = (
-                log.where(is_commit & (F.col("committed") <= F.lit(as_of))).agg(F.max("_version")).first()[0]
+                log.where(is_commit & (F.col("committed") <= _moment(as_of))).agg(F.max("_version")).first()[0]
             )
             if version is None:
                 raise VersionNotReadable(f"no version at {as_of}")
@@ -237,7 +242,7 @@ class VersionedTable:
         stream: str | None = None,
         batch: int | None = None,
     ) -> None:
-        when = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+        when = F.current_timestamp() if at is None else _moment(at)
         row = self.spark.range(0, 1, 1, 1).select(
             F.lit(kind).alias("kind"),
             F.lit(operation).alias("operation"),
@@ -429,8 +434,8 @@ class VersionedTable:
         """
         if keep < MINIMUM_RETENTION and not allow_short:
             raise ValueError(f"keeping less than {MINIMUM_RETENTION} needs allow_short=True")
-        moment = (now or datetime.now()) - keep
-        is_old = (F.col("kind") == "commit") & (F.col("committed") <= F.lit(moment))
+        present = F.current_timestamp() if now is None else _moment(now)
+        is_old = (F.col("kind") == "commit") & (F.col("committed") <= present - F.lit(keep))
         found = self.log().agg(
             F.max(F.when(is_old, F.col("_version"))).alias("horizon"),
             F.max(F.when(F.col("floor"), F.col("_version"))).alias("floor"),

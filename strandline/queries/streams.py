@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline import sources
+from strandline.functions import epoch_to_timestamp
 from strandline.operators.versioned import VersionedTable
 from strandline.session import new_folder, new_table_name
 from strandline.streaming import ingest, medallion
@@ -56,7 +57,10 @@ def _bronze_table(spark: SparkSession, landing: str) -> str:
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.table(_bronze_table(spark, _landed(spark, folder)))
     return rows.where(F.col("receipt_time").isNotNull() & F.col("source_file").isNotNull()).select(
-        "device_id", "mrn", "time", F.col("heartrate").try_cast("double").alias("heartrate")
+        "device_id",
+        "mrn",
+        F.date_format(epoch_to_timestamp("time"), "yyyy-MM-dd HH:mm:ss").alias("read_at"),
+        F.col("heartrate").try_cast("double").alias("heartrate"),
     )
 
 
@@ -202,7 +206,7 @@ _PERIOD = "(CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 1
 ORACLES = {
     "str_bronze": """
         SELECT event_type AS device_id, CAST(user_id AS VARCHAR) AS mrn,
-               CASE WHEN event_type <> 'error' THEN epoch_us(ts) / 1000000.0::DOUBLE END AS time,
+               CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS read_at,
                value - 20 AS heartrate FROM events""",
     "str_incremental": f"SELECT {_PERIOD} AS arrival, COUNT(*) AS n FROM events GROUP BY 1",
     "str_silver": _SILVER,

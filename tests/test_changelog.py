@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
 from conftest import as_set
@@ -19,7 +20,7 @@ from strandline.operators.versioned import (
     VersionNotReadable,
 )
 from strandline.queries.versions import CLAUSES
-from strandline.session import new_folder
+from strandline.session import new_folder, settings
 
 # The rows, the change feed and the states after each statement are given.
 STUDENTS = "id int, name string, value double"
@@ -294,3 +295,21 @@ def test_create_or_replace(spark, students, folder):
     table.restore(1)
     table.restore(table.snapshot().head)  # changes nothing
     assert as_set(table.read()) == {(2, "b", 2.0)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/New_York"])
+def test_commit_times_are_wall_times_of_the_session(spark, folder, zone):
+    rows = spark.createDataFrame([(1, "a", 1.0)], STUDENTS)
+    with settings(spark, {"spark.sql.session.timeZone": zone}):
+        table = VersionedTable.create(spark, folder, rows, ["id"], at(1))
+        table.delete("id = 1", at=at(2))
+        table.delete("id = 2")  # now
+        shown = table.history().select("_version", F.col("committed").cast("date").cast("string")).collect()
+        assert {r[0]: r[1] for r in shown if r[0] < 2} == {0: "2024-03-01", 1: "2024-03-02"}
+        assert table.read(as_of=datetime(2024, 3, 1, 23, 59)).count() == 1
+        assert table.read(as_of=datetime(2024, 3, 2, 0, 0)).count() == 0
+        aware = datetime(2024, 3, 1, 0, 0, tzinfo=ZoneInfo(zone))
+        assert table.read(as_of=aware).count() == 1
+        with pytest.raises(VersionNotReadable):
+            table.read(as_of=aware - timedelta(seconds=1))
+        assert table.retain() == 1  # the commit of today is too young, the one before it is not
