@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import clean_identifier, day_of, epoch_to_timestamp, local_part, two_digits
 from strandline.plans import reports, star
-from strandline.plans.models import Model, run_models
+from strandline.plans.models import Model, check_models, run_models
 from strandline.session import new_table_name
 from strandline.sources import inline_rows
 from strandline.tables import TABLES, read_table, register_views
@@ -169,7 +169,7 @@ def table_parameter(spark: SparkSession, folder: str) -> DataFrame:
     return reports.table_by_name(spark, "supplier")
 
 
-def model_chain(spark: SparkSession, folder: str) -> DataFrame:
+def _model_pair(spark: SparkSession, folder: str) -> tuple[list[Model], dict[str, DataFrame]]:
     """A table model with a NULL key, and a view model that reads it with an equality filter."""
 
     def first(customer: DataFrame) -> DataFrame:
@@ -181,12 +181,24 @@ def model_chain(spark: SparkSession, folder: str) -> DataFrame:
         return rows.where((F.col("c_nationkey") == 1) & F.col("c_custkey").isNotNull())
 
     table = new_table_name("customer_keys")
+    declared = {"unique": ["c_custkey"], "not_null": ["c_custkey"]}
     models = [
-        Model("nation_one_customers", [table], second),
-        Model(table, ["sample.customer"], first, kind="table"),
+        Model("nation_one_customers", [table], second, **declared),
+        Model(table, ["sample.customer"], first, kind="table", **declared),
     ]
-    built = run_models(spark, models, {"sample.customer": read_table(spark, folder, "customer")})
-    return built["nation_one_customers"]
+    return models, run_models(spark, models, {"sample.customer": read_table(spark, folder, "customer")})
+
+
+def model_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return _model_pair(spark, folder)[1]["nation_one_customers"]
+
+
+def model_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks declared on both models; the NULL key of the first must be reported."""
+    models, built = _model_pair(spark, folder)
+    return check_models(models, built).withColumn(
+        "table_name", F.regexp_replace("table_name", "_[0-9a-f]{32}$", "")
+    )
 
 
 QUERIES = {
@@ -211,6 +223,7 @@ QUERIES = {
     "par_named": named_parameter,
     "par_identifier": table_parameter,
     "mdl_chain": model_chain,
+    "mdl_checks": model_checks,
 }
 
 _PROFIT = """
@@ -283,4 +296,16 @@ ORACLES = {
         WITH first_model AS (
           SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT NULL, 1)
         SELECT * FROM first_model WHERE c_nationkey = 1 AND c_custkey IS NOT NULL""",
+    "mdl_checks": """
+        WITH first_model AS (
+          SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT NULL, 1),
+        second_model AS (SELECT * FROM first_model WHERE c_nationkey = 1 AND c_custkey IS NOT NULL)
+        SELECT 'customer_keys' AS table_name, 'c_custkey' AS column_name, 'not_null' AS check_name,
+               COUNT(*) AS failures FROM first_model WHERE c_custkey IS NULL
+        UNION ALL SELECT 'nation_one_customers', 'c_custkey', 'not_null', COUNT(*)
+        FROM second_model WHERE c_custkey IS NULL
+        UNION ALL SELECT 'customer_keys', 'c_custkey', 'unique', COUNT(*) FROM (
+          SELECT c_custkey FROM first_model WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING COUNT(*) > 1) AS d
+        UNION ALL SELECT 'nation_one_customers', 'c_custkey', 'unique', COUNT(*) FROM (
+          SELECT c_custkey FROM second_model GROUP BY c_custkey HAVING COUNT(*) > 1) AS d""",
 }
