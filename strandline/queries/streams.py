@@ -114,7 +114,7 @@ def _silver_columns(rows: DataFrame) -> DataFrame:
 def silver(spark: SparkSession, folder: str) -> DataFrame:
     bronze_table = _bronze_table(spark, _landed(spark, folder))
     table, work = new_table_name("silver"), new_folder(spark, "silver")
-    rows = medallion.silver(spark.readStream.table(bronze_table), _lookup(spark, folder))
+    rows = medallion.silver(medallion.table_stream(spark, bronze_table), _lookup(spark, folder))
     medallion.append_to_table(rows, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
     return _silver_columns(spark.table(table))
 
@@ -123,7 +123,7 @@ def silver_continuous(spark: SparkSession, folder: str) -> DataFrame:
     """The same step with batches as fast as they come, stopped when all rows are through."""
     bronze_table = _bronze_table(spark, _landed(spark, folder))
     table, work = new_table_name("silver"), new_folder(spark, "silver")
-    rows = medallion.silver(spark.readStream.table(bronze_table), _lookup(spark, folder))
+    rows = medallion.silver(medallion.table_stream(spark, bronze_table), _lookup(spark, folder))
     query = medallion.append_to_table(rows, table, f"{work}/data", f"{work}/checkpoint", every="0 seconds")
     try:
         drain(query)

@@ -46,6 +46,14 @@ def raw_files(
     return apply_hints(stream.select("*", F.col("_metadata.file_path").alias("source_file")), hints)
 
 
+def table_stream(spark: SparkSession, table: str, bytes_per_batch: int | None = BATCH_BYTES) -> DataFrame:
+    """New rows of an append-only table as a stream."""
+    reader = spark.readStream
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.table(table)
+
+
 def bronze(raw: DataFrame) -> DataFrame:
     """Raw rows with their arrival time and file."""
     data = [c for c in raw.columns if c != "source_file"]
@@ -124,9 +132,10 @@ def run_once(
     append_to_table(
         incoming, tables["bronze"], f"{folder}/bronze", f"{folder}/_checkpoints/bronze"
     ).awaitTermination()
-    enriched = silver(spark.readStream.table(tables["bronze"]), lookup)
+    enriched = silver(table_stream(spark, tables["bronze"]), lookup)
     append_to_table(
         enriched, tables["silver"], f"{folder}/silver", f"{folder}/_checkpoints/silver"
     ).awaitTermination()
-    daily = gold(spark.readStream.table(tables["silver"]))
+    # one batch for all that is new, as each batch rewrites the result
+    daily = gold(table_stream(spark, tables["silver"], bytes_per_batch=None))
     rewrite_table(daily, tables["gold"], f"{folder}/gold", f"{folder}/_checkpoints/gold").awaitTermination()

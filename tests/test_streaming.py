@@ -146,3 +146,24 @@ def test_replay_delivers_in_order(spark, folder):
     assert replay.deliver_all() == 2
     everything = spark.read.option("recursiveFileLookup", True).json(f"{folder}/landing")
     assert sorted(r.id for r in everything.collect()) == list(range(30))
+
+
+def test_limited_batches_give_the_same_result(spark, folder, lookup):
+    table = new_table_name("readings")
+    rows = spark.range(0, 60, 1, 6).selectExpr(
+        "'d' AS device_id", "string(id % 3) AS mrn", "double(id) * 40000 AS time", "string(id) AS heartrate"
+    )
+    rows.write.option("path", f"{folder}/t").saveAsTable(table)
+    results, batches = [], []
+    for limit in (1, None):
+        silver, gold = new_table_name("silver"), new_table_name("gold")
+        work = f"{folder}/{limit}"
+        enriched = medallion.silver(medallion.table_stream(spark, table, limit), lookup)
+        query = medallion.append_to_table(enriched, silver, f"{work}/s", f"{work}/cs")
+        query.awaitTermination()
+        batches.append(len(query.recentProgress))
+        daily = medallion.gold(medallion.table_stream(spark, silver, limit))
+        medallion.rewrite_table(daily, gold, f"{work}/g", f"{work}/cg").awaitTermination()
+        results.append({(r.mrn, r.date): round(r.avg_heartrate, 9) for r in spark.table(gold).collect()})
+    assert batches[0] >= 6 > batches[1]
+    assert results[0] == results[1] and len(results[0]) > 10
