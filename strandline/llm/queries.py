@@ -2,16 +2,57 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
+from strandline.llm import licenses, pii, toxicity
+from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
+from strandline.llm.mixing import mix
 from strandline.llm.shared import read_documents
 from strandline.llm.sharding import shard
 
+
+def mixed(spark: SparkSession, folder: str) -> DataFrame:
+    out = mix(read_documents(spark, folder), repetition=2.0)
+    return out.select(
+        "doc_id",
+        "source",
+        *(out[f"__{c}"].alias(c if c != "tokens" else "n_tokens") for c in ("tokens", "weight", "epochs", "copies")),
+    )
+
+
 QUERIES = {
+    "op1_pii": lambda spark, folder: pii.digest(pii.find_pii(read_documents(spark, folder))),
+    "op2_decontamination": lambda spark, folder: find_leaks(
+        read_documents(spark, folder), read_documents(spark, folder, "benchmark")
+    ).drop("text_hash"),
     "op4_sharding": lambda spark, folder: shard(read_documents(spark, folder)),
     "op5_exact_dedup": lambda spark, folder: find_duplicates(read_documents(spark, folder)),
+    "op7_license_scans": lambda spark, folder: licenses.digest(licenses.scan_licenses(read_documents(spark, folder))),
+    "op8_mixing": mixed,
+    "op9_toxicity": lambda spark, folder: toxicity.digest(
+        toxicity.score_toxicity(read_documents(spark, folder), read_documents(spark, folder, "labels"))
+    ),
 }
 
 ORACLES = {
+    "op2_decontamination": r"""
+        WITH w AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+        ), s AS (
+            SELECT kind, id, text, list_filter(
+                string_split_regex(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+            FROM w WHERE text IS NOT NULL
+        ), g AS (
+            SELECT DISTINCT kind, id, unnest(
+                CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                     WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+            FROM s
+        ), q AS (SELECT id AS item_id, count(*) AS n_shingles FROM g WHERE kind = 'i' GROUP BY 1)
+        SELECT d.id AS doc_id, item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles AS containment
+        FROM g d JOIN g i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle JOIN q ON i.id = q.item_id
+        GROUP BY d.id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
+    """,
     "op5_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
