@@ -8,6 +8,7 @@ from strandline.llm import licenses, pii, toxicity
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
 from strandline.llm.mixing import mix
+from strandline.llm.near_dedup import Rule, near_duplicates
 from strandline.llm.shared import read_documents
 from strandline.llm.sharding import shard
 
@@ -28,6 +29,7 @@ QUERIES = {
     ).drop("text_hash"),
     "op4_sharding": lambda spark, folder: shard(read_documents(spark, folder)),
     "op5_exact_dedup": lambda spark, folder: find_duplicates(read_documents(spark, folder)),
+    "op6_minhash_near_dedup": lambda spark, folder: near_duplicates(read_documents(spark, folder), Rule(3, 85)).drop("text_hash"),
     "op7_license_scans": lambda spark, folder: licenses.digest(licenses.scan_licenses(read_documents(spark, folder))),
     "op8_mixing": mixed,
     "op9_toxicity": lambda spark, folder: toxicity.digest(
@@ -65,4 +67,26 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
     """,
+    "op6_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+                     WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+            FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s a JOIN s b USING (shingle) JOIN n na ON a.doc_id = na.doc_id JOIN n nb ON b.doc_id = nb.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+        ), c AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN c ON d.doc_id = c.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
+    """,
 }
