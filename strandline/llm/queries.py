@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import licenses, pii, toxicity
+from strandline.llm import licenses, pii, repeats, toxicity
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
 from strandline.llm.mixing import mix
@@ -35,6 +35,7 @@ QUERIES = {
     "op9_toxicity": lambda spark, folder: toxicity.digest(
         toxicity.score_toxicity(read_documents(spark, folder), read_documents(spark, folder, "labels"))
     ),
+    "op10_suffix_array_dedup": lambda spark, folder: repeats.digest(repeats.remove_repeats(read_documents(spark, folder))),
 }
 
 ORACLES = {
