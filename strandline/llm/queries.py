@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strandline.llm import licenses, pii, repeats, toxicity
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
+from strandline.llm.language_model import score_documents
 from strandline.llm.mixing import mix
 from strandline.llm.near_dedup import Rule, near_duplicates
 from strandline.llm.shared import read_documents
@@ -27,6 +28,7 @@ QUERIES = {
     "op2_decontamination": lambda spark, folder: find_leaks(
         read_documents(spark, folder), read_documents(spark, folder, "benchmark")
     ).drop("text_hash"),
+    "op3_lm_scoring": lambda spark, folder: score_documents(read_documents(spark, folder)),
     "op4_sharding": lambda spark, folder: shard(read_documents(spark, folder)),
     "op5_exact_dedup": lambda spark, folder: find_duplicates(read_documents(spark, folder)),
     "op6_minhash_near_dedup": lambda spark, folder: near_duplicates(read_documents(spark, folder), Rule(3, 85)).drop("text_hash"),
