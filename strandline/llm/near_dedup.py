@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.components import components
-from strandline.llm.shared import checked_broadcast, join_unique, settle, text_hash
+from strandline.llm.shared import checked_broadcast, join_unique, keep_rows, settle, text_hash
 
 SKETCH, SHORT, LISTS = 32, 16, 8
 HOT = 256  # sketches with a value from which its list is not taken as it is
@@ -308,8 +308,9 @@ def candidate_links(classes: DataFrame, rule: Rule) -> DataFrame:
 def near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     """Components of documents (doc_id, text) linked by Jaccard similarity of their word shingles.
 
-    One row per document: ``doc_id, text_hash, n_shingles, component_id, kept``. ``component_id`` is the
-    smallest doc_id reachable over links. Words stand between ASCII blanks, A-Z in lower case; a text of
+    One row per document: ``doc_id, text_hash, n_shingles, component, component_id, kept``.
+    ``component_id`` is the smallest doc_id reachable over links; ``component`` is a number that tells
+    components apart where doc_ids repeat, NULL where there is nothing to link. Words stand between ASCII blanks, A-Z in lower case; a text of
     fewer words than a shingle is one shingle; without words, or NULL, it has none and is linked with
     nothing. Equal texts are linked. Rows may repeat; a NULL doc_id counts only where its component has
     no other. Further columns are not looked at; an empty table gives no rows.
@@ -347,10 +348,34 @@ def near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     placed = classes.select("class", "digest", "least", "rows").join(roots, F.col("class") == F.col("node"), "left")
     placed = placed.withColumn("root", F.coalesce("root", "class"))
     least = placed.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    placed = placed.join(least, F.col("root") == F.col("r")).select(F.col("digest").alias("d"), "rows", "component_id")
+    placed = placed.join(least, F.col("root") == F.col("r")).select(
+        F.col("digest").alias("d"), "rows", F.col("root").alias("component"), "component_id"
+    )
     placed = settle(placed, "placed")
     linked = join_unique(filled, placed, {"digest": "d"}, "rows", filled.count())
-    alone = sketched.filter(F.col("digest").isNull()).withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id"]
+    alone = sketched.filter(F.col("digest").isNull())
+    alone = alone.withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", "component_id"]
     out = linked.select(*columns).unionByName(alone.select(*columns))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Rows of ``docs``, all columns, of which one stays of each component: the smallest doc_id.
+
+    Texts without words are linked with nothing and all stay. Of rows equal in doc_id and text one stays.
+    """
+    found = settle(near_duplicates(docs, rule), "near-duplicates").filter(F.col("component").isNotNull())
+    # The rows of a component that could stay are equal in doc_id; the smallest hash decides between texts.
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    stays = found.groupBy(F.col("component").alias("c")).agg(F.min(first).alias("first"), F.count("*").alias("rows"))
+    stays = settle(stays.filter("rows > 1"), "stays")
+    linked = settle(join_unique(found, stays, {"component": "c"}, "rows", found.count()), "linked")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    go = settle(linked.filter(~same).select("doc_id", "text_hash"), "go")
+    out = keep_rows(docs, go, drop=True)
+    repeats = linked.filter(same).groupBy("doc_id", "text_hash").agg(F.count("*").alias("times")).filter("times > 1")
+    repeats = settle(repeats.select("doc_id", "text_hash"), "repeated-rows")
+    if repeats.isEmpty():
+        return out
+    return keep_rows(out, repeats, drop=True).unionByName(keep_rows(out, repeats).dropDuplicates(["doc_id", "text"]))

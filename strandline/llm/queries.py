@@ -31,7 +31,7 @@ QUERIES = {
     "op3_lm_scoring": lambda spark, folder: score_documents(read_documents(spark, folder)),
     "op4_sharding": lambda spark, folder: shard(read_documents(spark, folder)),
     "op5_exact_dedup": lambda spark, folder: find_duplicates(read_documents(spark, folder)),
-    "op6_minhash_near_dedup": lambda spark, folder: near_duplicates(read_documents(spark, folder), Rule(3, 85)).drop("text_hash"),
+    "op6_minhash_near_dedup": lambda spark, folder: near_duplicates(read_documents(spark, folder), Rule(3, 85)).drop("text_hash", "component"),
     "op7_license_scans": lambda spark, folder: licenses.digest(licenses.scan_licenses(read_documents(spark, folder))),
     "op8_mixing": mixed,
     "op9_toxicity": lambda spark, folder: toxicity.digest(
