@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -103,7 +104,7 @@ class Model(NamedTuple):
     def gains(self, tokens: list[bytes], known: dict[bytes, float]) -> list[tuple[int, float]]:
         """Positions and log-odds of the tokens that have any; ``known`` remembers tokens."""
         odds = self.odds
-        for token in set(tokens) - known.keys():
+        for token in filterfalse(known.__contains__, set(tokens)):  # not a set difference, which would go through all of known
             known[token] = next((odds[f] for f in features_of(token) if f in odds), 0.0)
         return [(i, g) for i, t in enumerate(tokens) if (g := known[t])]
 
