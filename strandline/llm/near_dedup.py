@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -60,7 +61,7 @@ class Hasher:
         if len(self.known) > 400_000:
             self.known.clear()
         known = self.known
-        for w in set(tokens) - known.keys():
+        for w in filterfalse(known.__contains__, set(tokens)):
             known[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
         width = min(self.width, len(h))
