@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = usable.withColumn("mark", mark).filter(F.col("mark") < share)
     chosen = F.broadcast(chosen.limit(MOST_LABELLED).withColumnRenamed("doc_id", "id"))
     half = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2))
-    sample = docs.join(chosen, F.col("doc_id") == F.col("id"))
+    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id"))
     sample = settle(sample.select(F.col("text").cast("binary").alias("body"), "toxic", half.alias("half")), "labelled")
 
     counted = sample.filter("half = 0").select("body", "toxic").mapInArrow(count_features, "feature binary, clean long, toxic long")
