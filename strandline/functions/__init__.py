@@ -1,13 +1,12 @@
 """Column expressions. All of them are compositions of Spark built-ins."""
 
 from strandline.functions.columns import (
+    Total,
     apply_hints,
     cents,
     clean_identifier,
     day_of,
     epoch_to_timestamp,
-    exact_mean,
-    exact_sum,
     local_part,
     next_file_number,
     two_digits,
@@ -16,13 +15,12 @@ from strandline.functions.columns import (
 )
 
 __all__ = [
+    "Total",
     "apply_hints",
     "cents",
     "clean_identifier",
     "day_of",
     "epoch_to_timestamp",
-    "exact_mean",
-    "exact_sum",
     "local_part",
     "next_file_number",
     "two_digits",

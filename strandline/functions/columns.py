@@ -60,23 +60,46 @@ def next_file_number(name: Column | str) -> Column:
     return F.coalesce(F.max(number), F.lit(0)) + 1
 
 
-def cents(amount: Column | str) -> Column:
-    """Money as a whole number of hundredths, exact for any amount a double holds to the cent."""
-    return F.rint(_col(amount) * 100).cast("bigint")
-
-
-def exact_sum(amount: Column | str) -> Column:
-    """Sum of money that does not depend on the order of the rows, hence not on partitioning.
-
-    Adding whole numbers is as fast as adding doubles; casting each row to a decimal is not.
-    """
-    return F.sum(cents(amount)).cast("double") / 100
+# Amounts below this are told apart to the hundredth by a double.
+_LARGEST_AMOUNT = 9e13
 
 
-def exact_mean(amount: Column | str) -> Column:
-    return exact_sum(amount) / F.count(_col(amount))
+def cents(amount: Column | str) -> Column:
+    """An amount as a whole number of hundredths; NULL if it is none, as with finer fractions or NaN."""
+    amount = _col(amount)
+    whole = F.rint(amount * 100)
+    return F.when((F.abs(amount) < _LARGEST_AMOUNT) & (whole / 100 == amount), whole.cast("bigint"))
 
 
 def wide_sum(whole: Column | str) -> Column:
     """Sum of whole numbers whose total may not fit a bigint."""
     return F.sum(_col(whole).cast("decimal(20,0)"))
+
+
+class Total:
+    """A sum of amounts, possibly made in steps, that is exact wherever it can be and never rounds a row.
+
+    ``whole`` is the amount as a whole number of ``1 / unit``, NULL where it is none. As long as all amounts
+    of a group are whole, whole numbers are added, so the sum does not depend on the order of the
+    rows, hence not on partitioning. Otherwise, finer fractions or NaN among them, it is the plain sum.
+    """
+
+    def __init__(self, name: str):
+        self.whole, self.plain, self.odd = (f"_{name}_{part}" for part in ("whole", "plain", "odd"))
+
+    def start(self, amount: Column | str, whole: Column) -> list[Column]:
+        """Aggregates of the first step."""
+        amount = _col(amount)
+        return [
+            wide_sum(whole).alias(self.whole),
+            F.sum(amount).alias(self.plain),
+            F.count_if(amount.isNotNull() & whole.isNull()).alias(self.odd),
+        ]
+
+    def again(self) -> list[Column]:
+        """Aggregates of a further step over the outcome of the one before."""
+        return [F.sum(c).alias(c) for c in (self.whole, self.plain, self.odd)]
+
+    def value(self, unit: int = 100) -> Column:
+        """The sum, from the columns of the last step."""
+        return F.when(F.col(self.odd) == 0, F.col(self.whole).cast("double") / unit).otherwise(F.col(self.plain))

@@ -10,23 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions import cents, exact_mean, wide_sum
+from strandline.functions import Total, cents
 
 
 def mean_by_key(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
-    """Mean amount of money per key, sorted by key."""
-    return df.select(key, amount).groupBy(key).agg(exact_mean(amount).alias(name)).orderBy(key)
+    """Mean amount per key, sorted by key."""
+    total = Total("sum")
+    sums = df.groupBy(key).agg(*total.start(amount, cents(amount)), F.count(amount).alias("_count"))
+    return sums.select(key, F.try_divide(total.value(), F.col("_count")).alias(name)).orderBy(key)
 
 
 def sum_by_dimension(
     facts: DataFrame, foreign_key: str, amount: str, dimension: DataFrame, key: str, group: str, name: str
 ) -> DataFrame:
-    per_key = facts.groupBy(foreign_key).agg(F.sum(cents(amount)).alias("_sum"))
-    return (
-        per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
-        .groupBy(group)
-        .agg((wide_sum("_sum").cast("double") / 100).alias(name))
-    )
+    total = Total("sum")
+    per_key = facts.groupBy(foreign_key).agg(*total.start(amount, cents(amount)))
+    joined = per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
+    return joined.groupBy(group).agg(*total.again()).select(group, total.value().alias(name))
 
 
 def count_and_sum_by_dimension(
@@ -40,14 +40,11 @@ def count_and_sum_by_dimension(
     sum_name: str,
 ) -> DataFrame:
     """``COUNT(foreign_key)`` and ``SUM(amount)`` per group of the joined dimension."""
-    per_key = facts.groupBy(foreign_key).agg(
-        F.count(foreign_key).alias("_count"), F.sum(cents(amount)).alias("_sum")
-    )
-    return (
-        per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
-        .groupBy(group)
-        .agg(F.sum("_count").alias(count_name), (wide_sum("_sum").cast("double") / 100).alias(sum_name))
-    )
+    total = Total("sum")
+    per_key = facts.groupBy(foreign_key).agg(F.count(foreign_key).alias("_count"), *total.start(amount, cents(amount)))
+    joined = per_key.join(dimension.select(key, group), F.col(foreign_key) == F.col(key))
+    sums = joined.groupBy(group).agg(F.sum("_count").alias(count_name), *total.again())
+    return sums.select(group, count_name, total.value().alias(sum_name))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions import cents, wide_sum
+from strandline.functions import Total, cents
 
 
 def product_profit(
@@ -38,43 +38,63 @@ def product_profit(
     ).select(
         "l_orderkey",
         "s_nationkey",
+        (
+            F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("ps_supplycost") * F.col("l_quantity")
+        ).alias("amount"),
         (
             cents("l_extendedprice") * (100 - cents("l_discount")) - cents("ps_supplycost") * cents("l_quantity")
-        ).alias("amount"),  # in ten-thousandths
+        ).alias("whole"),  # in ten-thousandths
     )
     dated = orders.select("o_orderkey", F.year("o_orderdate").alias("o_year"))
+    total = Total("profit")
     per_number = (
         lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("s_nationkey", "o_year")
-        .agg(wide_sum("amount").alias("total"))
+        .agg(*total.start("amount", F.col("whole")))
     )
     return (
         per_number.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("nation"), "o_year")
-        .agg((F.sum("total").cast("double") / 10_000).alias("sum_profit"))
+        .agg(*total.again())
+        .select("nation", "o_year", total.value(10_000).alias("sum_profit"))
         .orderBy("nation", F.col("o_year").asc())
     )
 
 
-# The same result from SQL text over views of the table names. Tables listed with commas become
-# equi-joins through the conditions; amounts are whole ten-thousandths, as above.
-PRODUCT_PROFIT_SQL = """
-WITH margins AS (
-  SELECT n.n_name AS nation,
-         year(o.o_orderdate) AS o_year,
-         bigint(rint(l.l_extendedprice * 100)) * (100 - bigint(rint(l.l_discount * 100))) AS revenue,
-         bigint(rint(ps.ps_supplycost * 100)) * bigint(rint(l.l_quantity * 100)) AS cost
-  FROM lineitem l, part p, partsupp ps, orders o, supplier s, nation n
-  WHERE p.p_name LIKE :name_like
-    AND l.l_partkey = p.p_partkey
-    AND l.l_partkey = ps.ps_partkey AND l.l_suppkey = ps.ps_suppkey
-    AND l.l_orderkey = o.o_orderkey
-    AND l.l_suppkey = s.s_suppkey
-    AND s.s_nationkey = n.n_nationkey
-)
-SELECT nation, o_year, CAST(sum(CAST(revenue - cost AS DECIMAL(20,0))) AS DOUBLE) / 10000 AS sum_profit
-FROM margins
-GROUP BY nation, o_year
+def _hundredths(column: str) -> str:
+    return (
+        f"CASE WHEN abs({column}) < 9e13 AND rint({column} * 100) / 100 = {column} "
+        f"THEN bigint(rint({column} * 100)) END"
+    )
+
+
+# The plan above as SQL text over views of the table names: what each part costs and which nation it
+# comes from, what was earned with it per order, sums per nation number and year, names at the end.
+PRODUCT_PROFIT_SQL = f"""
+WITH chosen AS (SELECT p_partkey FROM part WHERE p_name LIKE :name_like),
+offers AS (
+  SELECT ps_partkey, ps_suppkey, s_nationkey, ps_supplycost, {_hundredths("ps_supplycost")} AS cost
+  FROM partsupp
+  LEFT SEMI JOIN chosen ON ps_partkey = p_partkey
+  JOIN supplier ON s_suppkey = ps_suppkey),
+sold AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice * (1 - l_discount) AS earned, l_quantity,
+         {_hundredths("l_extendedprice")} AS price, {_hundredths("l_discount")} AS discount,
+         {_hundredths("l_quantity")} AS quantity
+  FROM lineitem LEFT SEMI JOIN chosen ON l_partkey = p_partkey),
+gains AS (
+  SELECT l_orderkey, s_nationkey, earned - ps_supplycost * l_quantity AS gain,
+         price * (100 - discount) - cost * quantity AS whole
+  FROM sold JOIN offers ON l_partkey = ps_partkey AND l_suppkey = ps_suppkey),
+by_number AS (
+  SELECT s_nationkey, year(o_orderdate) AS o_year, sum(gain) AS plain,
+         sum(CAST(whole AS DECIMAL(20,0))) AS whole, count_if(gain IS NOT NULL AND whole IS NULL) AS odd
+  FROM gains JOIN orders ON o_orderkey = l_orderkey
+  GROUP BY s_nationkey, year(o_orderdate))
+SELECT n_name AS nation, o_year,
+       CASE WHEN sum(odd) = 0 THEN CAST(sum(whole) AS DOUBLE) / 10000 ELSE sum(plain) END AS sum_profit
+FROM by_number JOIN nation ON n_nationkey = s_nationkey
+GROUP BY n_name, o_year
 ORDER BY nation, o_year
 """
 

@@ -26,7 +26,8 @@ def product_profit(spark: SparkSession, folder: str) -> DataFrame:
 
 def product_profit_sql(spark: SparkSession, folder: str) -> DataFrame:
     register_views(spark, folder, ["part", "supplier", "lineitem", "orders", "nation"])
-    star.derived_partsupp(spark.table("lineitem")).createOrReplaceTempView("partsupp")
+    wanted = spark.table("part").where(F.col("p_name").like(PART_NAME)).select("p_partkey")
+    star.derived_partsupp(spark.table("lineitem"), wanted).createOrReplaceTempView("partsupp")
     return reports.select_where(spark, star.PRODUCT_PROFIT_SQL, name_like=PART_NAME)
 
 
@@ -88,15 +89,18 @@ def between_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def in_list_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """A declared source read through chained common table expressions."""
+    """A declared source and a chain of queries over it: the richest customers of some segments."""
 
     def chain(source: DataFrame) -> DataFrame:
         return source.sparkSession.sql(
             """
-            WITH source_rows AS (SELECT * FROM {source}),
-                 filtered AS (SELECT * FROM source_rows WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
-                 final AS (SELECT * FROM filtered)
-            SELECT * FROM final
+            WITH in_credit AS (SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal FROM {source} WHERE c_acctbal > 0),
+                 served AS (SELECT * FROM in_credit WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+                 most AS (SELECT c_nationkey, c_mktsegment, max(c_acctbal) AS top_balance, count(*) AS customers
+                          FROM served GROUP BY c_nationkey, c_mktsegment)
+            SELECT c_custkey, s.c_nationkey, s.c_mktsegment, c_acctbal, customers
+            FROM served s JOIN most m ON s.c_nationkey = m.c_nationkey AND s.c_mktsegment = m.c_mktsegment
+              AND c_acctbal = top_balance
             """,
             source=source,
         )
@@ -270,7 +274,12 @@ ORACLES = {
     "flt_between": """
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_date FROM orders
         WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-17' AND TIMESTAMP '1997-01-31'""",
-    "flt_in_cte": "SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')",
+    "flt_in_cte": """
+        SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal, customers FROM (
+          SELECT *, rank() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_acctbal DESC) AS place,
+                 count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS customers
+          FROM customer WHERE c_acctbal > 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY')) AS c
+        WHERE place = 1""",
     "set_union_all": "SELECT c_custkey AS id FROM customer UNION ALL SELECT NULL AS id",
     "src_values": """
         SELECT c_custkey, c_nationkey, label, CAST(amount AS DOUBLE) AS amount, kind
