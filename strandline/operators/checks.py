@@ -76,8 +76,9 @@ def profile(
 ) -> DataFrame:
     """Count, NULLs, range, mean and approximate distinct values of each column, in one pass.
 
-    ``by`` (such as a day) gives one profile per group. Numbers are profiled as doubles,
-    everything else as text. ``distinct=False`` leaves the sketch out.
+    ``by`` (such as a day) gives one profile per group. Ranges of numbers are given as numbers, those of
+    integers and decimals exactly (``decimal(38, 10)``, NULL where a double is no such number) beside the
+    double; everything else as text. ``distinct=False`` leaves the sketch out.
     """
     columns = list(columns or df.columns)
     measures = [F.count(F.lit(1)).alias("rows")]
@@ -95,6 +96,10 @@ def profile(
         def as_number(name: str, numeric: bool = numeric) -> Column:
             return F.col(name).cast("double") if numeric else F.lit(None).cast("double")
 
+        def as_exact(name: str, kind: T.DataType = df.schema[c].dataType) -> Column:
+            whole = isinstance(kind, (T.IntegralType, T.DecimalType))
+            return F.col(name).cast("decimal(38,10)") if whole else F.lit(None).cast("decimal(38,10)")
+
         def as_text(name: str, numeric: bool = numeric) -> Column:
             return F.lit(None).cast("string") if numeric else F.col(name).cast("string")
 
@@ -104,7 +109,9 @@ def profile(
             F.col(f"null{i}").alias("nulls"),
             as_number(f"low{i}").alias("min_number"),
             as_number(f"high{i}").alias("max_number"),
-            (F.col(f"mean{i}") if numeric else F.lit(None).cast("double")).alias("mean"),
+            as_exact(f"low{i}").alias("min_exact"),
+            as_exact(f"high{i}").alias("max_exact"),
+            (F.col(f"mean{i}").cast("double") if numeric else F.lit(None).cast("double")).alias("mean"),
             as_text(f"low{i}").alias("min_text"),
             as_text(f"high{i}").alias("max_text"),
         ]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.session import settings
-from strandline.tables import dataset_bytes
+from strandline.tables import dataset_bytes, sized_shuffles
 
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -42,41 +42,45 @@ def folded_stats(stats: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def partition_columns(spark: SparkSession, source: str) -> list[str]:
+    """The columns a dataset's folders are named after, outermost first; from the path of one file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    first = files.where(F.col("path").endswith(".parquet")).select("path").first()
+    known = spark.read.parquet(source).columns
+    folders = [] if first is None else first.path.split("/")[:-1]
+    names = [unquote(f.partition("=")[0]) for f in folders if "=" in f]
+    return [n for n in names if n in known]
+
+
+def write_like(rows: DataFrame, target: str, partitions: Sequence[str]) -> None:
+    """Write rows under the given partition columns, each partition in files of the size Spark aims for."""
+    if not partitions:
+        rows.write.parquet(target)
+        return
+    gathered = rows.hint("rebalance", *partitions)  # splits large partitions, which a plain shuffle would not
+    gathered.write.partitionBy(*partitions).parquet(target)
+
+
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Rewrite a dataset into files of about ``target_bytes``, without a shuffle.
+    """Rewrite a dataset into files of about ``target_bytes``; a partitioned one stays partitioned.
 
-    The scan itself packs small files into read tasks of the wanted size, and each task
-    writes one file.
+    Without partition columns there is no shuffle: the scan itself packs small files into read tasks
+    of the wanted size, and each task writes one file. With them, rows are gathered by partition.
     """
+    partitions = partition_columns(spark, source)
     packing = {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
     }
     with settings(spark, packing):
         rows = spark.read.parquet(source)
-        rows.write.parquet(target)
+        with sized_shuffles(rows):
+            write_like(rows, target, partitions)
     return spark.read.schema(rows.schema).parquet(target)
 
 
-def _ordinal(df: DataFrame, column: str) -> Column:
-    """A number in the column's order, for the types that can be clustered on."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, T.StringType):  # first seven bytes, read as a number
-        head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c)
-    if isinstance(kind, T.NumericType):
-        return c
-    raise TypeError(f"cannot cluster on {column}: {kind.simpleString()}")
-
-
 def interleave(buckets: Sequence[Column], bits: int) -> Column:
     """The bits of all bucket numbers, taken in turn."""
     out = F.lit(0).cast("bigint")
@@ -88,39 +92,53 @@ def interleave(buckets: Sequence[Column], bits: int) -> Column:
     return out
 
 
-def with_clustering_order(df: DataFrame, columns: Sequence[str], bits: int, name: str = "_order") -> DataFrame:
-    """The frame plus a sort key that keeps rows near each other in all columns close together.
+# Cell limits come from a sample of about this many rows; they only decide how even the files are.
+SAMPLE_ROWS = 100_000
+MOST_BITS = 12
 
-    Buckets hold equal shares of the rows; their limits come from one pass that returns at
-    most ``2**bits`` numbers per column.
-    """
+
+def cell_limits(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
+    """For each column ``2**bits - 1`` values that cut a sample into equal shares, in the column's own order."""
+    for c in columns:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+            raise TypeError(f"cannot cluster on {c}: {kind.simpleString()}")
+    rows = df.select(*columns)
+    share = min(1.0, SAMPLE_ROWS / max(rows.count(), 1))
+    sample = (rows if share == 1.0 else rows.sample(share, seed=11)).limit(2 * SAMPLE_ROWS).collect()
+    cells = 2**bits
+    out = {}
+    for c in columns:
+        values = [r[c] for r in sample if r[c] is not None and r[c] == r[c]]  # NaN, the largest, needs no limit
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        values.sort(key=(lambda v: v.encode()) if text else None)  # text is ordered by its bytes
+        out[c] = [values[len(values) * i // cells] for i in range(1, cells)] if values else []
+    return out
+
+
+def cell(df: DataFrame, column: str, limits: Sequence, bits: int) -> Column:
+    """How many limits a value has reached: a binary search, one step per bit. NULL is in the first cell."""
+    kind = df.schema[column].dataType
+    bounds = F.array(*(F.lit(v).cast(kind) for v in limits))
+    value = F.col(column)
+
+    def step(low: Column, jump: Column) -> Column:
+        return F.when(value >= F.get(bounds, low + jump - 1), low + jump).otherwise(low)
+
+    jumps = F.array(*(F.lit(1 << k) for k in reversed(range(bits))))
+    return F.aggregate(jumps, F.lit(0), step)
+
+
+def with_clustering_order(df: DataFrame, columns: Sequence[str], bits: int, name: str = "_order") -> DataFrame:
+    """The frame plus a sort key that keeps rows near each other in all columns close together."""
     if bits * len(columns) > 62:
         raise ValueError("too many bits for one sort key")
-    shares = [i / 2**bits for i in range(1, 2**bits)]
-    limits = df.agg(
-        *[F.percentile_approx(_ordinal(df, c), shares, 20 * 2**bits).alias(c) for c in columns]
-    ).first()
-    splits = {}
-    for c in columns:
-        bounds = sorted({float(x) for x in limits[c] or [] if math.isfinite(x)})
-        if bounds:  # a column without values has nothing to order by
-            splits[c] = [-math.inf, *bounds, math.inf]
-    if not splits:
+    limits = {c: v for c, v in cell_limits(df, columns, bits).items() if v}  # a column without values orders nothing
+    if not limits:
         return df.withColumn(name, F.lit(0).cast("bigint"))
-    values = [f"_value{i}" for i in range(len(splits))]
-    buckets = [f"_bucket{i}" for i in range(len(splits))]
-    lowest = F.lit(-math.inf)
-    numbered = df.withColumns(
-        {v: F.coalesce(_ordinal(df, c).cast("double"), lowest) for v, c in zip(values, splits)}
-    )
-    # The library's binary search; the same search spelled out as nested conditions makes the
-    # generated code of a wide row too long to be compiled.
-    search = Bucketizer(
-        splitsArray=list(splits.values()), inputCols=values, outputCols=buckets, handleInvalid="keep"
-    )
-    last = F.lit(2**bits - 1)
-    placed = [F.least(F.col(b).cast("int"), last) for b in buckets]
-    return search.transform(numbered).withColumn(name, interleave(placed, bits)).drop(*values, *buckets)
+    cells = {f"_cell{i}": cell(df, c, v, bits) for i, (c, v) in enumerate(limits.items())}
+    placed = df.withColumns(cells)
+    return placed.withColumn(name, interleave([F.col(c) for c in cells], bits)).drop(*cells)
 
 
 def cluster(
@@ -130,20 +148,28 @@ def cluster(
     columns: Sequence[str],
     target_bytes: int = TARGET_BYTES,
     files: int | None = None,
-    bits: int = 6,
+    bits: int | None = None,
 ) -> DataFrame:
     """Rewrite a dataset so that filters on any of the columns touch few files.
 
-    The range shuffle has a second, random column: a value shared by a large part of the
-    rows is spread over as many files as it needs.
+    One column is simply sorted by. Several are cut into cells, ``bits`` halvings of each column, as
+    many as the files need, and sorted by the interleaved cell numbers and by the values inside a cell.
+    The range shuffle has a last, random column: a value shared by a large part of the rows is spread
+    over as many files as it needs. A partitioned dataset stays partitioned: its files are dealt out
+    among the partitions and sorted inside each.
     """
+    partitions = partition_columns(spark, source)
     rows = spark.read.parquet(source)
     n = files or max(1, math.ceil(dataset_bytes(spark, source) / target_bytes))
-    ordered = with_clustering_order(rows, columns, bits).withColumn("_spread", F.rand(7))
-    (
-        ordered.repartitionByRange(n, "_order", "_spread")
-        .sortWithinPartitions("_order")
-        .drop("_order", "_spread")
-        .write.parquet(target)
+    ordered = rows.withColumn("_spread", F.rand(7))
+    order = [*partitions]
+    if len(columns) > 1:
+        halvings = bits or min(MOST_BITS, max(1, math.ceil(math.log2(n))))
+        ordered = with_clustering_order(rows, columns, halvings).withColumn("_spread", F.rand(7))
+        order.append("_order")
+    order += [c for c in columns if c not in partitions]
+    writer = (
+        ordered.repartitionByRange(n, *order, "_spread").sortWithinPartitions(*order).drop("_order", "_spread").write
     )
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

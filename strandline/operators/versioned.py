@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.operators import changelog as cl
+from strandline.operators import layout
+from strandline.operators.layout import TARGET_BYTES
+from strandline.session import new_folder
+from strandline.tables import dataset_bytes, sized_shuffles
 
 LOG_SCHEMA = (
     "_version bigint, kind string, operation string, committed timestamp, columns string, keys string, "
     "whole boolean, floor boolean, source_path string, source_version bigint, stream string, batch bigint"
 )
 MINIMUM_RETENTION = timedelta(days=7)
-LISTED_VERSIONS = 256
 
 
 class SchemaMismatch(ValueError):
@@ -158,8 +161,9 @@ class VersionedTable:
     def changes(self, after: int, upto: int, schema: T.StructType) -> DataFrame:
         """Changes of the versions after ``after`` up to and including ``upto``.
 
-        A short range names its folders, so that the planner sees the size of these commits
-        only and can broadcast them where they are small.
+        The folders are named one by one, however many there are: the planner sees the size of these
+        commits only, and a commit whose folder is missing is an error, never a gap. Folds keep
+        the range that a read of the newest version needs short.
         """
         fields = T.StructType(
             [T.StructField(f.name, f.dataType) for f in schema.fields]
@@ -167,12 +171,8 @@ class VersionedTable:
         )
         if upto <= after:
             return self.spark.createDataFrame([], fields)
-        reader = self.spark.read.schema(fields).option("basePath", f"{self.path}/rows")
-        paths = [f"{self.path}/rows"]
-        if upto - after <= LISTED_VERSIONS:
-            paths = [f"{self.path}/rows/_version={v}" for v in range(after + 1, upto + 1)]
-        rows = reader.parquet(*paths)
-        return rows.where((F.col(cl.VERSION) > after) & (F.col(cl.VERSION) <= upto))
+        paths = [f"{self.path}/rows/_version={v}" for v in range(after + 1, upto + 1)]
+        return self.spark.read.schema(fields).option("basePath", f"{self.path}/rows").parquet(*paths)
 
     def _base(self, snapshot: Snapshot, schema: T.StructType) -> DataFrame:
         if snapshot.base == 0 and snapshot.source_path is not None:
@@ -211,13 +211,13 @@ class VersionedTable:
         counts = []
         if snapshot.head > 0:
             counts.append(cl.change_counts(self.changes(0, snapshot.head, snapshot.schema)))
-        if snapshot.source_path is None:
+        own = F.col(cl.VERSION) > (-1 if snapshot.source_path is None else 0)  # version 0 of a clone has no rows here
+        written = self._whole_commits().where(own)
+        if not written.isEmpty():
             bases = self.spark.read.schema("_base bigint").parquet(f"{self.path}/base")
             sizes = bases.groupBy(F.col("_base").alias(cl.VERSION)).agg(F.count(F.lit(1)).alias("inserted"))
             counts.append(
-                sizes.join(self._whole_commits(), cl.VERSION, "left_semi").select(
-                    "*", none.alias("updated"), none.alias("deleted")
-                )
+                sizes.join(written, cl.VERSION, "left_semi").select("*", none.alias("updated"), none.alias("deleted"))
             )
         out = self.log().where(F.col("kind") == "commit").select(cl.VERSION, "operation", "committed")
         if not counts:
@@ -276,7 +276,8 @@ class VersionedTable:
             raise KeyViolation(f"one commit changes a key of {list(keys)} {worst.n} times")
 
     def _write_base(self, version: int, rows: DataFrame, keys: Sequence[str], check_keys: bool) -> None:
-        rows.write.mode("overwrite").parquet(self._base_path(version))
+        with sized_shuffles(rows):
+            rows.write.mode("overwrite").parquet(self._base_path(version))
         if check_keys:
             self._check_keys(self.spark.read.schema(rows.schema).parquet(self._base_path(version)), keys)
 
@@ -293,7 +294,8 @@ class VersionedTable:
     ) -> int:
         version = head.head + 1
         folder = f"{self.path}/rows/_version={version}"
-        rows.write.mode("overwrite").parquet(folder)
+        with sized_shuffles(rows):
+            rows.write.mode("overwrite").parquet(folder)
         if check_keys:
             self._check_keys(self.spark.read.schema(rows.schema).parquet(folder), head.keys)
         self._log(
@@ -340,9 +342,18 @@ class VersionedTable:
     def insert(
         self, rows: DataFrame, evolve: bool = False, at: datetime | None = None, check_keys: bool = True
     ) -> int:
-        """Append rows. With ``evolve`` new columns are added; older rows get NULL in them."""
+        """Append rows. With ``evolve`` new columns are added; older rows get NULL in them.
+
+        Keys that are in the table already are refused, as are keys that occur twice; ``check_keys=False``
+        leaves both checks to the caller.
+        """
         head = self.snapshot()
         fitted, schema = self._fitted(rows, head, evolve)
+        if check_keys:
+            known = self._state(head).select(*head.keys)
+            again = known.join(fitted.select(*head.keys), list(head.keys), "left_semi").first()
+            if again is not None:
+                raise KeyViolation(f"{again.asDict()} is in the table already")
         return self._commit(head, cl.inserted(fitted), "INSERT", at, schema, check_keys)
 
     # A change may touch a few rows of every file of a large table. The rebalance hint gathers
@@ -370,13 +381,24 @@ class VersionedTable:
         at: datetime | None = None,
         stream: str | None = None,
         batch: int | None = None,
+        evolve: bool = False,
+        control: Sequence[str] = (),
     ) -> int:
-        """All clauses in one commit. A micro-batch that was committed before changes nothing."""
+        """All clauses in one commit. A micro-batch that was committed before changes nothing.
+
+        With ``evolve`` source columns that the table lacks are added to it, but for the ``control``
+        columns, which only conditions use; rows that the merge does not touch get NULL in them.
+        """
         head = self.snapshot()
         if stream is not None and self._seen(stream, batch):
             return head.head
-        rows = cl.merged(self._state(head), source, head.keys, clauses).hint("rebalance")
-        return self._commit(head, rows, "MERGE", at, check_keys=True, stream=stream, batch=batch)
+        state, schema = self._state(head), head.schema
+        if evolve:
+            schema = self._fitted(source.drop(*control), head, evolve)[1]
+            added = schema.fields[len(head.schema.fields) :]
+            state = state.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in added))
+        rows = cl.merged(state, source, head.keys, clauses).hint("rebalance")
+        return self._commit(head, rows, "MERGE", at, schema, check_keys=True, stream=stream, batch=batch)
 
     def _seen(self, stream: str, batch: int) -> bool:
         newest = self.log().where(F.col("stream") == stream).agg(F.max("batch")).first()[0]
@@ -419,12 +441,66 @@ class VersionedTable:
         if snapshot.version == 0:  # already a base, and already the floor
             return 0
         if snapshot.version != snapshot.base:
-            self._state(snapshot).write.mode("overwrite").parquet(self._base_path(snapshot.version))
+            state = self._state(snapshot)
+            with sized_shuffles(state):
+                state.write.mode("overwrite").parquet(self._base_path(snapshot.version))
         elif not floor:
             return snapshot.version
         self._log(snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, whole=True, floor=floor)
         return snapshot.version
 
+    def fold_if_changed(self, share: float = 0.5) -> int | None:
+        """Fold once the changes since the base take up this share of the base's bytes; the version, or None."""
+        snapshot = self.snapshot()
+        if snapshot.version == snapshot.base:
+            return None
+        base = 0
+        if snapshot.base or snapshot.source_path is None:
+            base = dataset_bytes(self.spark, self._base_path(snapshot.base))
+        changed = [f"{self.path}/rows/_version={v}" for v in range(snapshot.base + 1, snapshot.version + 1)]
+        return self.fold() if dataset_bytes(self.spark, *changed) >= share * base else None
+
+    def compact(self, target_bytes: int = TARGET_BYTES, cluster_by: Sequence[str] = ()) -> int:
+        """Fold the newest version into files of a wanted size, clustered by columns if any are named.
+
+        Rows and versions stay as they are; reads that go on from the new base skip files by the
+        clustered columns, and reads of older versions still use the older base.
+        """
+        snapshot = self.snapshot()
+        target = self._base_path(snapshot.version)
+        if snapshot.version == snapshot.base:
+            # The base in use must not be overwritten while it is read: an empty commit makes room for a new one.
+            self._commit(snapshot, cl.inserted(self._state(snapshot)).where(F.lit(False)), "OPTIMIZE", None)
+            snapshot = self.snapshot()
+            target = self._base_path(snapshot.version)
+        work = new_folder(self.spark, "compact")
+        state = self._state(snapshot)
+        with sized_shuffles(state):
+            state.write.parquet(work)
+        if cluster_by:
+            layout.cluster(self.spark, work, target, cluster_by, target_bytes)
+        else:
+            layout.compact(self.spark, work, target, target_bytes)
+        self._log(snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, whole=True)
+        return snapshot.version
+
+    def details(self) -> DataFrame:
+        """One row: columns, keys, version, and the files and bytes that a read of the newest version opens."""
+        snapshot = self.snapshot()
+        paths = [f"{self.path}/rows/_version={v}" for v in range(snapshot.base + 1, snapshot.version + 1)]
+        if snapshot.base or snapshot.source_path is None:
+            paths.append(self._base_path(snapshot.base))
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", "length")
+        files = files.where(F.col("path").endswith(".parquet"))
+        return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(
+            F.lit(self.path).alias("location"),
+            F.lit(snapshot.schema.simpleString()).alias("columns"),
+            F.lit(",".join(snapshot.keys)).alias("keys"),
+            F.lit(snapshot.version).cast("bigint").alias("version"),
+            "files",
+            "bytes",
+        )
+
     def retain(
         self, keep: timedelta = MINIMUM_RETENTION, now: datetime | None = None, allow_short: bool = False
     ) -> int:

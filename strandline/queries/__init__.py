@@ -3,26 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.queries import basics, files, layout, quality, streams, versions
-from strandline.tables import size_shuffles
 
 _MODULES = (basics, files, versions, layout, streams, quality)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _sized(run: Query) -> Query:
-    @wraps(run)
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        size_shuffles(spark, folder)
-        return run(spark, folder)
-
-    return query
-
-
-QUERIES = {name: _sized(run) for module in _MODULES for name, run in module.QUERIES.items()}
+QUERIES: dict[str, Query] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

@@ -10,7 +10,10 @@ from strandline.operators import checks
 from strandline.session import new_folder, new_table_name
 from strandline.tables import read_table
 
-PART_FIELDS = {"p_partkey": "bigint", "p_brand": "string", "p_name": "string", "p_size": "int"}
+PART_FIELDS = {
+    "p_partkey": "bigint", "p_brand": "string", "p_name": "string", "p_type": "string", "p_size": "int",
+    "p_retailprice": "double",
+}
 
 
 def _part(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,20 +34,20 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_strings(spark: SparkSession, folder: str) -> DataFrame:
-    keys = _part(spark, folder).select("p_partkey", "p_name", "p_size")
-    return sources.read_csv(spark, _write_csv(keys, "part-text"))
+    """All text; the price is cast back, as systems print doubles differently."""
+    rows = sources.read_csv(spark, _write_csv(_part(spark, folder), "part-text"))
+    return rows.withColumn("p_retailprice", F.col("p_retailprice").cast("double"))
 
 
 def csv_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = _write_csv(_part(spark, folder).select("p_partkey", "p_brand", "p_size"), "part-table")
-    return sources.csv_table(spark, new_table_name("part_csv"), path)
+    rows = sources.csv_table(spark, new_table_name("part_csv"), _write_csv(_part(spark, folder), "part-table"))
+    return rows.withColumn("p_retailprice", F.col("p_retailprice").cast("double"))
 
 
 def csv_schema(spark: SparkSession, folder: str) -> DataFrame:
-    lookup = read_table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("mrn"), F.col("c_name").alias("name")
-    )
-    return sources.read_csv(spark, _write_csv(lookup, "patients"), schema="mrn STRING, name STRING")
+    lookup = read_table(spark, folder, "customer").withColumnsRenamed({"c_custkey": "mrn", "c_name": "name"})
+    schema = "mrn STRING, name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    return sources.read_csv(spark, _write_csv(lookup, "patients"), schema=schema)
 
 
 def delimited(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,9 +82,11 @@ def schema_hints(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "readings-json")
     reading = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
     read_table(spark, folder, "events").select(
-        F.col("user_id").alias("mrn"), "event_type", reading.alias("value")
-    ).write.json(path)
-    return sources.read_hinted(spark, path, ["mrn", "event_type", "value"], {"value": "double"})
+        "event_id", "ts", F.col("user_id").alias("mrn"), "event_type", reading.alias("value"), "props"
+    ).write.options(**sinks.WHOLE_TIMES).json(path)
+    columns = ["event_id", "ts", "mrn", "event_type", "value", "props"]
+    rows = sources.read_hinted(spark, path, columns, {"value": "double"})
+    return rows.withColumn("ts", F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def external_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,9 +129,7 @@ def create_as(spark: SparkSession, folder: str) -> DataFrame:
 def copy(spark: SparkSession, folder: str) -> DataFrame:
     target = new_folder(spark, "lineitem-copy")
     sinks.copy_dataset(spark, f"{folder.rstrip('/')}/lineitem.parquet", target)
-    return spark.read.parquet(target).select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
-    )
+    return spark.read.parquet(target).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
 def all_null_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,15 +167,19 @@ QUERIES = {
 ORACLES = {
     "src_csv_inferred": "SELECT * FROM part",
     "src_csv_strings": """
-        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part""",
+        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
+               p_retailprice FROM part""",
     "src_csv_table": """
-        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part""",
-    "src_csv_schema": "SELECT CAST(c_custkey AS VARCHAR) AS mrn, c_name AS name FROM customer",
+        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
+               p_retailprice FROM part""",
+    "src_csv_schema": """
+        SELECT CAST(c_custkey AS VARCHAR) AS mrn, c_name AS name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "src_delimited": "SELECT * FROM part",
-    "src_fixed_width": "SELECT p_partkey, p_brand, p_name, p_size FROM part",
+    "src_fixed_width": "SELECT * FROM part",
     "src_json_path": "SELECT * FROM customer",
     "src_schema_hints": """
-        SELECT CAST(user_id AS VARCHAR) AS mrn, event_type,
+        SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+               CAST(user_id AS VARCHAR) AS mrn, event_type, props,
                TRY_CAST(CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value
         FROM events""",
     "src_external_table": "SELECT * FROM supplier",
@@ -186,7 +193,8 @@ ORACLES = {
         GROUP BY task""",
     "snk_ctas": "SELECT * FROM customer",
     "snk_copy": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem""",
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+               l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem""",
     "dq_all_null_rows": """
         SELECT 'with' AS null_rows, COUNT(*) + 3 AS row_count, CAST(3 AS BIGINT) AS null_keys FROM customer
         UNION ALL SELECT 'without', COUNT(*), CAST(0 AS BIGINT) FROM customer

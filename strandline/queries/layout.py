@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import layout
+from strandline.operators.versioned import VersionedTable
 from strandline.session import new_folder
-from strandline.tables import read_table
+from strandline.tables import dataset_bytes, read_table
 
 
 def _lineitem_path(folder: str) -> str:
@@ -30,10 +31,26 @@ def clustered(spark: SparkSession, folder: str) -> DataFrame:
 def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["l_orderkey", "l_partkey", "l_quantity"]
     stats = layout.file_stats(read_table(spark, folder, "lineitem"), columns)
-    return layout.folded_stats(stats, columns).drop("files", "bytes")
+    listed = dataset_bytes(spark, _lineitem_path(folder))
+    return layout.folded_stats(stats, columns).select(
+        "*", (F.col("bytes") == listed).alias("all_bytes"), (F.col("files") > 0).alias("any_files")
+    ).drop("files", "bytes")  # how many there are is not in the rows: the listing says
 
 
-QUERIES = {"lay_compact": compacted, "lay_cluster": clustered, "lay_file_stats": file_ranges}
+def keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyed table is changed, compacted, clustered by two columns and changed again."""
+    customer = read_table(spark, folder, "customer")
+    table = VersionedTable.create(spark, new_folder(spark, "customer-layout"), customer, ["c_custkey"])
+    table.update("c_name LIKE '%5'", {"c_acctbal": "c_acctbal + 1"})
+    table.delete("c_acctbal > 9000")
+    table.compact()
+    table.compact(cluster_by=["c_nationkey", "c_acctbal"])
+    table.update("c_mktsegment = 'BUILDING'", {"c_name": "'b'"})
+    opened = table.details().select(F.col("version").alias("at_version"), "keys", (F.col("files") > 0).alias("has_files"))
+    return table.read().crossJoin(opened)
+
+
+QUERIES = {"lay_compact": compacted, "lay_cluster": clustered, "lay_file_stats": file_ranges, "lay_keyed": keyed}
 
 _LINEITEM = """
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -45,5 +62,12 @@ ORACLES = {
     "lay_file_stats": """
         SELECT COUNT(*) AS rows, MIN(l_orderkey) AS min_l_orderkey, MAX(l_orderkey) AS max_l_orderkey,
                MIN(l_partkey) AS min_l_partkey, MAX(l_partkey) AS max_l_partkey,
-               MIN(l_quantity) AS min_l_quantity, MAX(l_quantity) AS max_l_quantity FROM lineitem""",
+               MIN(l_quantity) AS min_l_quantity, MAX(l_quantity) AS max_l_quantity,
+               true AS all_bytes, true AS any_files FROM lineitem""",
+    "lay_keyed": """
+        WITH t AS (SELECT * REPLACE (CASE WHEN c_name LIKE '%5' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal)
+                   FROM customer)
+        SELECT * REPLACE (CASE WHEN c_mktsegment = 'BUILDING' THEN 'b' ELSE c_name END AS c_name),
+               CAST(4 AS BIGINT) AS at_version, 'c_custkey' AS keys, true AS has_files
+        FROM t WHERE NOT coalesce(c_acctbal > 9000, false)""",
 }

@@ -16,7 +16,7 @@ from strandline.tables import read_table
 
 READING_COLUMNS = ["device_id", "mrn", "time", "heartrate"]
 READING_HINTS = {"time": "double"}
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 EVENT_HINTS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "value": "double"}
 
 
@@ -29,6 +29,8 @@ def _readings(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").alias("mrn"),
         time.alias("time"),
         (F.col("value") - 20).alias("heartrate"),
+        "event_id",
+        "props",
     )
 
 
@@ -49,7 +51,7 @@ def _landed(spark: SparkSession, folder: str) -> str:
 
 def _bronze_table(spark: SparkSession, landing: str) -> str:
     table, work = new_table_name("bronze"), new_folder(spark, "bronze")
-    rows = medallion.bronze(medallion.raw_files(spark, landing, READING_COLUMNS, READING_HINTS))
+    rows = medallion.bronze(medallion.raw_files(spark, landing, READING_COLUMNS, READING_HINTS, rest="others"))
     medallion.append_to_table(rows, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
     return table
 
@@ -61,9 +63,17 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
         "mrn",
         F.date_format(epoch_to_timestamp("time"), "yyyy-MM-dd HH:mm:ss").alias("read_at"),
         F.col("heartrate").try_cast("double").alias("heartrate"),
+        # fields that the load does not name are kept as one JSON object
+        F.get_json_object("others", "$.event_id").cast("bigint").alias("event_id"),
+        F.get_json_object("others", "$.props").alias("props"),
     )
 
 
+def _event_columns(rows: DataFrame) -> DataFrame:
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
+    return rows.select("event_id", ts, "user_id", "event_type", "value", "props")
+
+
 def _period() -> Column:
     """Ten-day periods, numbered from the first event day of the year."""
     return F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 10) + 1
@@ -75,10 +85,7 @@ def _replay(spark: SparkSession, folder: str) -> ArrivalReplay:
 
 
 def incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """The same load run after the first arrival and after all others; rows per delivered period.
-
-    Rows taken in twice would show up as higher counts.
-    """
+    """The same load run after the first arrival and after all others; each row with its arrival."""
     replay = _replay(spark, folder)
     table, work = new_table_name("incremental"), new_folder(spark, "incremental")
 
@@ -93,7 +100,9 @@ def incremental(spark: SparkSession, folder: str) -> DataFrame:
     replay.deliver_all()
     load()
     arrival = F.regexp_extract("source_file", r"/(\d+)\.json/[^/]*$", 1).cast("int")
-    return spark.table(table).groupBy(arrival.alias("arrival")).agg(F.count(F.lit(1)).alias("n"))
+    rows = spark.table(table).withColumn("arrival", arrival)
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
+    return rows.select("event_id", ts, "user_id", "event_type", "value", "props", "arrival")
 
 
 def _steps(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -148,20 +157,27 @@ def gold_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """One run after the first arrival, one with all others waiting: the newest arrival is left, whole."""
     replay = _replay(spark, folder)
     table, work = new_table_name("replaced"), new_folder(spark, "replaced")
-    while replay.deliver() is not None:
-        arrived = medallion.raw_files(spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS, bytes_per_batch=None)
-        raw = arrived.drop("source_file")
-        ingest.load_replacing(raw, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
-    return spark.table(table).select("event_id", "user_id", "event_type", "value")
+
+    def load() -> None:
+        ingest.load_replacing(
+            spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS, table, f"{work}/data", f"{work}/checkpoint"
+        ).awaitTermination()
+
+    replay.deliver()
+    load()
+    replay.deliver_all()
+    load()
+    return _event_columns(spark.table(table))
 
 
 def merged(spark: SparkSession, folder: str) -> DataFrame:
     """Newest event of each user, merged arrival by arrival."""
     replay = _replay(spark, folder)
     work = new_folder(spark, "merged")
-    columns = ["user_id", "event_id", "ts", "event_type", "value"]
+    columns = ["user_id", "event_id", "ts", "event_type", "value", "props"]
     empty = read_table(spark, folder, "events").select(*columns).where(F.lit(False))
     target = VersionedTable.create(spark, f"{work}/data", empty, ["user_id"])
     while replay.deliver() is not None:
@@ -169,7 +185,7 @@ def merged(spark: SparkSession, folder: str) -> DataFrame:
         ingest.load_merging(
             raw, target, ["ts", "event_id"], f"{work}/checkpoint", "events-by-user"
         ).awaitTermination()
-    return target.read().select("user_id", "event_id", "event_type", "value")
+    return _event_columns(target.read())
 
 
 def replayed(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,7 +196,7 @@ def replayed(spark: SparkSession, folder: str) -> DataFrame:
     raw = medallion.raw_files(spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS, files_per_batch=1)
     rows = raw.drop("source_file")
     medallion.append_to_table(rows, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
-    return spark.table(table).select("event_id", "user_id", "event_type", "value")
+    return _event_columns(spark.table(table))
 
 
 QUERIES = {
@@ -201,14 +217,16 @@ _SILVER = """
            value - 20 AS heartrate
     FROM events JOIN customer ON c_custkey = user_id WHERE value - 20 > 0"""
 
+_EVENT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props"
+
 _PERIOD = "(CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 10.0) AS INTEGER) + 1)"
 
 ORACLES = {
     "str_bronze": """
         SELECT event_type AS device_id, CAST(user_id AS VARCHAR) AS mrn,
                CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS read_at,
-               value - 20 AS heartrate FROM events""",
-    "str_incremental": f"SELECT {_PERIOD} AS arrival, COUNT(*) AS n FROM events GROUP BY 1",
+               value - 20 AS heartrate, event_id, props FROM events""",
+    "str_incremental": f"SELECT {_EVENT}, {_PERIOD} AS arrival FROM events",
     "str_silver": _SILVER,
     "str_silver_continuous": _SILVER,
     "str_gold": f"""
@@ -219,11 +237,11 @@ ORACLES = {
         FROM ({_SILVER}) AS s GROUP BY mrn, name, CAST(read_at AS DATE)
         HAVING CAST(read_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "ing_replace": f"""
-        SELECT event_id, user_id, event_type, value FROM events
+        SELECT {_EVENT} FROM events
         WHERE {_PERIOD} = (SELECT MAX({_PERIOD}) FROM events)""",
-    "ing_merge": """
-        SELECT user_id, event_id, event_type, value FROM (
+    "ing_merge": f"""
+        SELECT {_EVENT} FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
           FROM events) AS e WHERE place = 1""",
-    "ing_replay": "SELECT event_id, user_id, event_type, value FROM events",
+    "ing_replay": f"SELECT {_EVENT} FROM events",
 }

@@ -12,7 +12,7 @@ from strandline.operators.changelog import (
     when_matched_update,
     when_not_matched_insert,
 )
-from strandline.operators.versioned import VersionedTable
+from strandline.operators.versioned import KeyViolation, SchemaMismatch, VersionedTable
 from strandline.session import new_folder
 from strandline.tables import read_table
 
@@ -28,7 +28,7 @@ def _day(n: int) -> datetime:
 
 
 def _customer(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return read_table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
 
 
 def _feed(customer: DataFrame) -> DataFrame:
@@ -45,6 +45,7 @@ def _feed(customer: DataFrame) -> DataFrame:
         "c_name",
         (F.col("c_acctbal") * 2).alias("c_acctbal"),
         "c_mktsegment",
+        "c_nationkey",
         kind.alias("type"),
     )
 
@@ -88,13 +89,47 @@ def evolve(spark: SparkSession, folder: str) -> DataFrame:
     customer = _customer(spark, folder)
     table = _new_table(spark, customer)
     fresh = customer.where("c_mktsegment = 'FURNITURE'").select(
-        (-F.col("c_custkey") - 1).alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment",
+        (-F.col("c_custkey") - 1).alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment", "c_nationkey",
         F.lit("XYZ").alias("col4"),
     )
     table.insert(fresh, evolve=True, at=_day(2))
     return table.read()
 
 
+def enforce(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes that must be refused, each with the error it met, beside what the table holds after them."""
+    customer = _customer(spark, folder)
+    table = _new_table(spark, customer.where("c_mktsegment <> 'FURNITURE'"))
+    fresh = customer.where("c_mktsegment = 'FURNITURE'")
+    attempts = {
+        "unknown column": fresh.withColumn("col4", F.lit("XYZ")),
+        "wrong type": fresh.withColumn("c_acctbal", F.lit("much")),
+        "missing key": fresh.drop("c_custkey"),
+        "null key": fresh.withColumn("c_custkey", F.lit(None).cast("bigint")),
+        "key twice": fresh.unionAll(fresh),
+        "key in the table": customer,
+    }
+    errors = []
+    for name, rows in attempts.items():
+        try:
+            table.insert(rows, at=_day(2))
+            errors.append((name, "none"))
+        except (SchemaMismatch, KeyViolation) as e:
+            errors.append((name, type(e).__name__))
+    refused = spark.createDataFrame(errors, "attempt string, error string")
+    state = table.read().agg(F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys"))
+    return refused.crossJoin(state.withColumn("version", F.lit(table.snapshot().head).cast("bigint")))
+
+
+def merge_evolve(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with a column that the table lacks: it is added, the feed's control column is not."""
+    customer = _customer(spark, folder)
+    table = _new_table(spark, customer)
+    feed = _feed(customer).withColumn("rank", F.pmod("c_custkey", F.lit(7)))
+    table.merge(feed, CLAUSES, at=_day(2), evolve=True, control=["type"])
+    return table.read()
+
+
 def as_of(spark: SparkSession, folder: str) -> DataFrame:
     return _script(spark, folder).read(version=3)
 
@@ -139,6 +174,8 @@ QUERIES = {
     "dml_delete": delete,
     "dml_merge": merge,
     "dml_evolve": evolve,
+    "dml_enforce": enforce,
+    "dml_merge_evolve": merge_evolve,
     "ver_as_of": as_of,
     "ver_as_of_ts": as_of_time,
     "ver_history": history,
@@ -150,29 +187,46 @@ QUERIES = {
 
 _V2 = """
   SELECT c_custkey, c_name, CASE WHEN c_name LIKE '%5' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-         c_mktsegment FROM customer"""
+         c_mktsegment, c_nationkey FROM customer"""
 _V3 = f"SELECT * FROM ({_V2}) AS v2 WHERE NOT coalesce(c_acctbal > 9000, false)"
 
 
 def _after_merge(state: str) -> str:
     return f"""
   SELECT t.c_custkey, t.c_name,
-         CASE WHEN s.c_mktsegment = 'BUILDING' THEN s.c_acctbal * 2 ELSE t.c_acctbal END AS c_acctbal, t.c_mktsegment
+         CASE WHEN s.c_mktsegment = 'BUILDING' THEN s.c_acctbal * 2 ELSE t.c_acctbal END AS c_acctbal, t.c_mktsegment,
+         t.c_nationkey
   FROM ({state}) AS t JOIN customer AS s ON s.c_custkey = t.c_custkey
   WHERE NOT (s.c_mktsegment = 'HOUSEHOLD' AND s.c_acctbal < 0)
   UNION ALL
-  SELECT -c_custkey - 1, c_name, c_acctbal * 2, c_mktsegment FROM customer WHERE c_mktsegment = 'FURNITURE'"""
+  SELECT -c_custkey - 1, c_name, c_acctbal * 2, c_mktsegment, c_nationkey
+  FROM customer WHERE c_mktsegment = 'FURNITURE'"""
 
 
 ORACLES = {
     "dml_update": _V2,
     "dml_delete": """
-        SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE NOT coalesce(c_acctbal > 9000, false)""",
-    "dml_merge": _after_merge("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"),
+        SELECT * FROM customer WHERE NOT coalesce(c_acctbal > 9000, false)""",
+    "dml_merge": _after_merge("SELECT * FROM customer"),
     "dml_evolve": """
-        SELECT c_custkey, c_name, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS col4 FROM customer
-        UNION ALL SELECT -c_custkey - 1, c_name, c_acctbal, c_mktsegment, 'XYZ' FROM customer
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS col4 FROM customer
+        UNION ALL SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment, 'XYZ' FROM customer
         WHERE c_mktsegment = 'FURNITURE'""",
+    "dml_enforce": """
+        SELECT attempt, error, rows, keys, CAST(0 AS BIGINT) AS version
+        FROM (VALUES ('unknown column', 'SchemaMismatch'), ('wrong type', 'SchemaMismatch'),
+                     ('missing key', 'SchemaMismatch'), ('null key', 'KeyViolation'), ('key twice', 'KeyViolation'),
+                     ('key in the table', 'KeyViolation')) AS a(attempt, error),
+             (SELECT COUNT(*) AS rows, CAST(SUM(c_custkey) AS BIGINT) AS keys
+              FROM customer WHERE c_mktsegment <> 'FURNITURE') AS state""",
+    "dml_merge_evolve": """
+        SELECT t.c_custkey, t.c_name, t.c_mktsegment, t.c_nationkey,
+               CASE WHEN t.c_mktsegment = 'BUILDING' THEN t.c_acctbal * 2 ELSE t.c_acctbal END AS c_acctbal,
+               CASE WHEN t.c_mktsegment = 'BUILDING' THEN t.c_custkey % 7 END AS rank
+        FROM customer AS t WHERE NOT (t.c_mktsegment = 'HOUSEHOLD' AND t.c_acctbal < 0)
+        UNION ALL
+        SELECT -c_custkey - 1, c_name, c_mktsegment, c_nationkey, c_acctbal * 2, ((-c_custkey - 1) % 7 + 7) % 7
+        FROM customer WHERE c_mktsegment = 'FURNITURE'""",
     "ver_as_of": _V3,
     "ver_as_of_ts": _V3,
     "ver_history": f"""
@@ -193,12 +247,12 @@ ORACLES = {
                (SELECT COUNT(*) FROM m WHERE segment = 'HOUSEHOLD' AND feed_bal < 0 AND present)""",
     "ver_commit_rows": f"""
         WITH v3 AS ({_V3})
-        SELECT s.c_custkey, s.c_name, s.c_acctbal * 2 AS c_acctbal, s.c_mktsegment, 'U' AS _op
+        SELECT s.c_custkey, s.c_name, s.c_acctbal * 2 AS c_acctbal, s.c_mktsegment, s.c_nationkey, 'U' AS _op
         FROM customer AS s JOIN v3 AS t ON s.c_custkey = t.c_custkey WHERE s.c_mktsegment = 'BUILDING'
-        UNION ALL SELECT s.c_custkey, NULL, NULL, NULL, 'D'
+        UNION ALL SELECT s.c_custkey, NULL, NULL, NULL, NULL, 'D'
         FROM customer AS s JOIN v3 AS t ON s.c_custkey = t.c_custkey
         WHERE s.c_mktsegment = 'HOUSEHOLD' AND s.c_acctbal < 0
-        UNION ALL SELECT -c_custkey - 1, c_name, c_acctbal * 2, c_mktsegment, 'I'
+        UNION ALL SELECT -c_custkey - 1, c_name, c_acctbal * 2, c_mktsegment, c_nationkey, 'I'
         FROM customer WHERE c_mktsegment = 'FURNITURE'""",
     "ver_restore": _V3,
     "ver_retain": _after_merge(_V3),

@@ -1,6 +1,8 @@
 """Writers for catalog tables and datasets."""
 
 from strandline.sinks.tables import (
+    WHOLE_TIMES,
+    UnknownColumns,
     append_audit_row,
     append_null_rows,
     append_rows,
@@ -14,6 +16,8 @@ from strandline.sinks.tables import (
 )
 
 __all__ = [
+    "WHOLE_TIMES",
+    "UnknownColumns",
     "append_audit_row",
     "append_null_rows",
     "append_rows",

@@ -3,9 +3,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.operators.layout import partition_columns
 from strandline.sources.tables import sql_literal
 
 
+# For writers of text formats, which otherwise cut times to milliseconds.
+WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def reset_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Drop a database with all its tables and start an empty one."""
     spark.sql("DROP DATABASE IF EXISTS IDENTIFIER(:name) CASCADE", args={"name": name})
@@ -31,9 +39,16 @@ def insert_values(spark: SparkSession, name: str, values: str) -> None:
     spark.sql(f"INSERT INTO IDENTIFIER(:name) VALUES {values}", args={"name": name})
 
 
+class UnknownColumns(ValueError):
+    """The rows have columns that the table lacks."""
+
+
 def append_rows(df: DataFrame, name: str) -> None:
-    """Append by column name."""
+    """Append by column name. Columns that the table lacks are refused, not dropped."""
     columns = df.sparkSession.table(name).columns
+    unknown = [c for c in df.columns if c.lower() not in {k.lower() for k in columns}]
+    if unknown:
+        raise UnknownColumns(f"{name} has no columns {unknown}")
     df.select(*columns).write.mode("append").format("parquet").insertInto(name)
 
 
@@ -64,6 +79,9 @@ def append_null_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def copy_dataset(spark: SparkSession, source: str, target: str, fmt: str = "parquet", **options: str) -> int:
-    """Copy a dataset and count the copy."""
-    spark.read.format(fmt).options(**options).load(source).write.format(fmt).options(**options).save(target)
+    """Copy a dataset and count the copy. One whose folders are named after columns keeps them."""
+    rows = spark.read.format(fmt).options(**options).load(source)
+    partitions = partition_columns(spark, source) if fmt == "parquet" else []
+    writer = (rows.hint("rebalance", *partitions) if partitions else rows).write.format(fmt).options(**options)
+    (writer.partitionBy(*partitions) if partitions else writer).save(target)
     return spark.read.format(fmt).options(**options).load(target).count()

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strandline.operators.changelog import when_matched_update, when_not_matched_insert
 from strandline.operators.versioned import VersionedTable
 from strandline.streaming.control import with_trigger
-from strandline.streaming.publish import complete_publisher
+from strandline.sources import read_hinted
+from strandline.streaming.medallion import raw_files
+from strandline.streaming.publish import republish
 
 
 def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -21,14 +28,44 @@ def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return best.select(*keys, "_row.*").select(*rows.columns)
 
 
+def newest_arrival(spark: SparkSession, landing: str) -> str | None:
+    """The folder or file directly under ``landing`` with the highest leading number, then name; by a listing."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
+    name = F.regexp_extract("path", rf"{re.escape(landing.rstrip('/').rpartition('/')[2])}/([^/]+)", 1)
+    number = F.regexp_extract(name, r"^(\d+)", 1).try_cast("bigint")
+    newest = listing.agg(F.max(F.struct(number.alias("number"), name.alias("name")))).first()[0]
+    return newest and newest.name
+
+
 def load_replacing(
-    stream: DataFrame, table: str, path: str, checkpoint: str, every: str | None = None
+    spark: SparkSession,
+    landing: str,
+    columns: Sequence[str],
+    hints: dict[str, str],
+    table: str,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Each micro-batch becomes the whole table, so the stream must not limit its batches."""
+    """Whenever files arrive, ``table`` becomes the newest arrival, whole.
+
+    An arrival is a folder (or a file) of JSON lines directly under ``landing``, in the order of the
+    numbers that the names begin with. The stream only tells that something is new; the rows come
+    from the arrival itself. So batches may be limited, several arrivals may wait at once, and files
+    that are added to an arrival later, or to an older one, never leave part of it or the older one in the table.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        arrival = newest_arrival(session, landing)
+        if arrival:
+            republish(read_hinted(session, f"{landing.rstrip('/')}/{arrival}", columns, hints), table, path)
+
     writer = (
-        stream.writeStream.outputMode("append")
+        raw_files(spark, landing, columns, hints)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(complete_publisher(table, path))
+        .foreachBatch(replace)
     )
     return with_trigger(writer, every).start()
 
@@ -40,15 +77,17 @@ def load_merging(
     checkpoint: str,
     name: str,
     every: str | None = None,
-    fold_every: int = 32,
+    fold_share: float = 0.5,
 ) -> StreamingQuery:
     """Upsert each micro-batch by the table's keys; a row replaces one that is not newer.
 
     ``name`` identifies the stream: a batch that was committed under it is not applied
-    again. Every ``fold_every`` commits the table gets a new base, so reads stay cheap.
+    again. Once the changes since the base take up ``fold_share`` of its bytes, the table gets a
+    new base, so reads stay cheap and rewriting costs no more than in proportion to the changes.
 
     The newest rows of a batch are written down before the merge, which reads its source
-    twice and picks its joins by the source's size.
+    twice and picks its joins by the source's size. Rows with a NULL in a key, such as one that did not
+    fit its type, cannot be merged: they are set apart and do not stop the load (``rejected_rows``).
     """
     new = ", ".join(f"s.{c}" for c in order)
     old = ", ".join(f"t.{c}" for c in order)
@@ -60,12 +99,17 @@ def load_merging(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{table.path}/staged/slot={batch_id % 2}"
-        newest_per_key(batch, keys, order).write.mode("overwrite").parquet(staged)
-        source = spark.read.schema(batch.schema).parquet(staged)
+        keyless = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
+        good = newest_per_key(batch.where(~keyless), keys, order).withColumn(_KEYLESS, F.lit(False))
+        bad = batch.where(keyless).withColumn(_KEYLESS, F.lit(True))
+        good.unionByName(bad).write.mode("overwrite").partitionBy(_KEYLESS).parquet(staged)
+        both = spark.read.schema(good.schema).parquet(staged)
+        bad = both.where(_KEYLESS).drop(_KEYLESS)
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{_rejected(table, name)}/batch={batch_id}")
         target = VersionedTable(spark, table.path)
-        version = target.merge(source, clauses, stream=name, batch=batch_id)
-        if version and version % fold_every == 0:
-            target.fold(version)
+        target.merge(both.where(f"NOT {_KEYLESS}").drop(_KEYLESS), clauses, stream=name, batch=batch_id)
+        target.fold_if_changed(fold_share)
 
     writer = (
         stream.writeStream.outputMode("append")
@@ -73,3 +117,22 @@ def load_merging(
         .foreachBatch(apply)
     )
     return with_trigger(writer, every).start()
+
+
+_KEYLESS = "_keyless"
+
+
+def _rejected(table: VersionedTable, name: str) -> str:
+    return f"{table.path}/rejected/stream={quote(name, safe='')}"
+
+
+def rejected_rows(table: VersionedTable, name: str, schema: StructType) -> DataFrame:
+    """Rows that ``load_merging`` set apart under this name, with their batch."""
+    folder = _rejected(table, name)
+    kind = StructType([*schema.fields, StructField("batch", LongType())])
+    try:
+        return table.spark.read.schema(kind).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return table.spark.createDataFrame([], kind)

@@ -17,6 +17,9 @@ from strandline.streaming.publish import complete_publisher
 # One micro-batch takes in at most this much, so that a lost batch is cheap to repeat.
 BATCH_BYTES = 1 << 40
 
+# Spark forgets files after a week by default, and with them passes over late ones.
+FOREVER = "36500d"
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -28,22 +31,42 @@ def raw_files(
     fmt: str = "json",
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = BATCH_BYTES,
+    rest: str | None = None,
 ) -> DataFrame:
     """New files of a landing folder as a stream; columns are strings unless hinted.
 
-    Without either limit a run-once query takes in all that has arrived as one batch.
+    Without either limit a run-once query takes in all that has arrived as one batch. Files are known
+    by name, for good: one is taken in once, and whenever it arrives, whatever time it bears.
+    With ``rest`` (JSON only) a column of that name holds each record's other fields as JSON text.
     """
     reader = (
-        spark.readStream.format(fmt)
-        .schema(hinted_schema(columns))
+        spark.readStream.format("text" if rest else fmt)
         .option("recursiveFileLookup", True)
+        .option("maxFileAge", FOREVER)
     )
+    if not rest:
+        reader = reader.schema(hinted_schema(columns))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     elif bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    stream = reader.load(landing)
-    return apply_hints(stream.select("*", F.col("_metadata.file_path").alias("source_file")), hints)
+    stream = reader.load(landing).select("*", F.col("_metadata.file_path").alias("source_file"))
+    if rest:
+        if fmt != "json":
+            raise ValueError("only JSON records can have fields that are not listed")
+        stream = with_rest(stream, columns, rest)
+    return apply_hints(stream, hints)
+
+
+def with_rest(lines: DataFrame, columns: Sequence[str], rest: str) -> DataFrame:
+    """Records of JSON lines (``value``): the listed fields as text, all others as one JSON object."""
+    listed = F.from_json("value", hinted_schema(columns))
+    fields = F.from_json("value", "map<string,string>")
+    others = F.map_filter(fields, lambda name, _: ~name.isin(*columns))
+    parsed = lines.where(F.trim("value") != "").select(
+        listed.alias("_listed"), F.when(F.size(others) > 0, F.to_json(others)).alias(rest), "source_file"
+    )
+    return parsed.select("_listed.*", rest, "source_file")
 
 
 def table_stream(spark: SparkSession, table: str, bytes_per_batch: int | None = BATCH_BYTES) -> DataFrame:
@@ -101,12 +124,18 @@ def append_to_table(
 
 
 def rewrite_table(
-    aggregate: DataFrame, table: str, path: str, checkpoint: str, every: str | None = None
+    aggregate: DataFrame,
+    table: str,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep ``table`` equal to a streaming aggregate.
 
-    It is rewritten with every batch and cannot itself be read as a stream.
-    State is kept in RocksDB, so it may outgrow the executors' memory.
+    It is rewritten with every batch and cannot itself be read as a stream. State is kept in RocksDB,
+    so it may outgrow the executors' memory. ``state_partitions`` is how many parts it is kept in;
+    it counts at the first start and holds for the checkpoint's life, so size it for the table's.
     """
     spark = aggregate.sparkSession
     writer = (
@@ -114,7 +143,10 @@ def rewrite_table(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(complete_publisher(table, path))
     )
-    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+    state = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        state["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with settings(spark, state):
         return with_trigger(writer, every).start()
 
 
@@ -126,6 +158,7 @@ def run_once(
     lookup: DataFrame,
     tables: dict[str, str],
     folder: str,
+    state_partitions: int | None = None,
 ) -> None:
     """One incremental run through all three steps. A rerun takes up only what is new."""
     incoming = bronze(raw_files(spark, landing, columns, hints))
@@ -138,4 +171,6 @@ def run_once(
     ).awaitTermination()
     # one batch for all that is new, as each batch rewrites the result
     daily = gold(table_stream(spark, tables["silver"], bytes_per_batch=None))
-    rewrite_table(daily, tables["gold"], f"{folder}/gold", f"{folder}/_checkpoints/gold").awaitTermination()
+    rewrite_table(
+        daily, tables["gold"], f"{folder}/gold", f"{folder}/_checkpoints/gold", state_partitions=state_partitions
+    ).awaitTermination()

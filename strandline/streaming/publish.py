@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strandline.sources.tables import quoted
 
@@ -19,13 +19,29 @@ def publish(df: DataFrame, name: str, slot: str) -> None:
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS SELECT * FROM parquet.{quoted(slot, False)}")
 
 
-def complete_publisher(name: str, path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that replaces what ``name`` shows with each batch.
+def live_folder(spark: SparkSession, name: str) -> str | None:
+    """The folder that a published name shows now."""
+    if not spark.catalog.tableExists(name):
+        return None
+    details = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    text = details.where("col_name = 'View Text'").select("data_type").first()
+    return text and text[0].partition("`")[2].rpartition("`")[0].replace("``", "`")
+
+
+def republish(df: DataFrame, name: str, path: str) -> None:
+    """Replace what ``name`` shows, writing to the one of two folders that it does not show now.
 
-    Two folders take turns, so a repeated batch never writes where readers look.
+    Which folder that is follows from the name itself and not from a batch number, so a batch that
+    is repeated, or breaks off, after the switch does not touch what readers look at.
     """
+    slots = [f"{path}/slot=0", f"{path}/slot=1"]
+    publish(df, name, slots[1] if live_folder(df.sparkSession, name) == slots[0] else slots[0])
+
+
+def complete_publisher(name: str, path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that replaces what ``name`` shows with each batch."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, name, f"{path}/slot={batch_id % 2}")
+        republish(batch, name, path)
 
     return replace

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import next_file_number
+from strandline.sinks import WHOLE_TIMES
 
 
 class ArrivalReplay:
@@ -27,7 +28,7 @@ class ArrivalReplay:
         The rebalance hint lets Spark cut a period that holds much of the data into several files.
         """
         parts = df.withColumn("_period", period.cast("int")).hint("rebalance", "_period")
-        parts.write.partitionBy("_period").json(staged)
+        parts.write.options(**WHOLE_TIMES).partitionBy("_period").json(staged)
         return cls(df.sparkSession, staged, landing)
 
     def next_number(self) -> int:

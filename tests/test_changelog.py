@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+
 import random
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
 import pytest
 from conftest import as_set
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strandline.operators import changelog as cl
@@ -259,10 +262,52 @@ def test_plans_prune_and_do_not_shuffle_the_base(spark, folder):
     assert "BroadcastHashJoin [id" in plan and "SortMergeJoin" not in plan
 
 
-def test_long_ranges_are_read_through_the_partition_filter(spark, students, monkeypatch):
-    monkeypatch.setattr("strandline.operators.versioned.LISTED_VERSIONS", 0)
-    for version in (3, 6, 7):
-        assert rounded(students.read(version=version)) == GOLDEN[version]
+def test_a_missing_commit_is_an_error_however_long_the_range(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.createDataFrame([(1, 0)], "id int, n int"), ["id"])
+    for _ in range(4):
+        table.update("true", {"n": "n + 1"})
+    assert table.read().first().n == 4
+    shutil.move(f"{folder}/rows/_version=2", f"{folder}/elsewhere")
+    for version in (2, 3, 4):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            table.read(version=version).collect()
+    assert table.read(version=1).first().n == 1
+
+
+def test_inserts_refuse_keys_that_exist(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string"), ["id"])
+    with pytest.raises(KeyViolation, match="in the table"):
+        table.insert(spark.createDataFrame([(3, "c"), (1, "z")], "id int, s string"))
+    assert as_set(table.read()) == {(1, "a"), (2, "b")} and table.snapshot().head == 0
+    table.delete("id = 1")
+    table.insert(spark.createDataFrame([(1, "again")], "id int, s string"))
+    assert as_set(table.read()) == {(1, "again"), (2, "b")}
+
+
+def test_merge_can_add_columns(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string"), ["id"])
+    feed = spark.createDataFrame([(2, "x", 5, "u"), (3, "y", 6, "u")], "id int, s string, extra int, kind string")
+    table.merge(feed, [when_matched_update("s.kind = 'u'"), when_not_matched_insert()], evolve=True, control=["kind"])
+    assert as_set(table.read(), "id", "s", "extra") == {(1, "a", None), (2, "x", 5), (3, "y", 6)}
+    assert table.read().columns == ["id", "s", "extra"] and table.read(version=0).columns == ["id", "s"]
+    table.merge(feed.withColumn("other", F.lit(1)), [when_matched_update()])  # not asked for: not added
+    assert table.read().columns == ["id", "s", "extra"]
+
+
+def test_history_of_a_clone_that_is_replaced(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    copy = VersionedTable.create(spark, f"{folder}/t", rows, ["id"]).clone(f"{folder}/c")
+    copy.replace(spark.createDataFrame([(7, "z")], "id int, s string"))
+    assert as_set(copy.history(), "_version", "operation", "inserted") == {(0, "CLONE", 0), (1, "REPLACE", 1)}
+
+
+def test_folding_follows_the_share_of_changed_bytes(spark, folder):
+    table = VersionedTable.create(spark, folder, spark.range(50_000).select("id", F.rand(1).alias("r")), ["id"])
+    assert table.fold_if_changed(0.5) is None
+    table.update("id < 10", {"r": "0.0"})
+    assert table.fold_if_changed(0.5) is None and table.snapshot().base == 0
+    table.update("id % 10 < 8", {"r": "r + 1"})
+    assert table.fold_if_changed(0.5) == 2 and table.snapshot().base == 2
 
 
 def test_changes_are_gathered_into_few_files(spark, folder):

@@ -5,7 +5,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from strandline import sinks
 from strandline.operators import layout
+from strandline.operators.versioned import VersionedTable
 
 
 def multiset(df):
@@ -78,6 +80,57 @@ def test_clustering_on_text_times_and_nulls(spark, folder):
         layout.with_clustering_order(rows.withColumn("flag", F.lit(True)), ["flag"], 4)
 
 
+def test_one_text_column_is_clustered_by_its_whole_text(spark, folder):
+    rows = spark.range(8000).select(
+        F.concat(F.lit("Customer#"), F.lpad(((F.col("id") * 7919) % 8000).cast("string"), 9, "0")).alias("name"), "id"
+    )
+    rows.repartition(8).write.parquet(f"{folder}/names")
+    after = layout.cluster(spark, f"{folder}/names", f"{folder}/by", ["name"], files=16)
+    assert multiset(after) == multiset(rows) and layout.file_stats(after).count() == 16
+    assert max(touched(after, "name", f"Customer#{n:09}") for n in (0, 17, 4000, 7999)) <= 2
+    both = layout.cluster(spark, f"{folder}/names", f"{folder}/both", ["name", "id"], files=16)
+    assert max(touched(both, "name", f"Customer#{n:09}") for n in (17, 4000)) <= 8
+
+
+def test_many_files_are_told_apart(spark, folder):
+    spark.range(20_000).select(((F.col("id") * 7919) % 20_000).alias("a")).write.parquet(f"{folder}/n")
+    after = layout.cluster(spark, f"{folder}/n", f"{folder}/by", ["a"], files=256)
+    assert layout.file_stats(after).count() > 200
+    assert max(touched(after, "a", n) for n in (0, 1234, 9999, 19_999)) <= 2
+
+
+def test_partitioned_datasets_stay_partitioned(spark, folder):
+    rows = spark.range(3000).select("id", (F.col("id") % 7).alias("v"), F.concat(F.lit("p "), F.col("id") % 3).alias("p"))
+    rows.repartition(9).write.partitionBy("p").parquet(f"{folder}/parts")
+    assert layout.partition_columns(spark, f"{folder}/parts") == ["p"]
+    packed = layout.compact(spark, f"{folder}/parts", f"{folder}/packed")
+    by = layout.cluster(spark, f"{folder}/parts", f"{folder}/by", ["id"], files=6)
+    sinks.copy_dataset(spark, f"{folder}/parts", f"{folder}/copy")
+    copied = spark.read.parquet(f"{folder}/copy")
+    for df, name in ((packed, "packed"), (by, "by"), (copied, "copy")):
+        assert multiset(df.select("id", "v", "p")) == multiset(rows)
+        assert layout.partition_columns(spark, f"{folder}/{name}") == ["p"]
+    assert layout.file_stats(packed).count() == 3
+    assert touched(by.where("p = 'p 1'"), "id", 1000) <= 2
+
+
+def test_keyed_tables_are_compacted_and_clustered(spark, folder):
+    rows = spark.range(4000).select("id", ((F.col("id") * 7919) % 4000).alias("a"), F.lit("x").alias("s"))
+    table = VersionedTable.create(spark, folder, rows.repartition(20), ["id"])
+    table.update("id % 10 = 0", {"s": "'y'"})
+    before = multiset(table.read())
+    assert table.details().first().files > 20
+    table.compact()
+    found = table.details().first()
+    assert (found.files, found.version, found.keys) == (1, 1, "id") and found.bytes > 0 and "a:bigint" in found.columns
+    table.compact(target_bytes=found.bytes // 8, cluster_by=["a"])
+    assert table.details().first().files >= 8 and touched(table.read(), "a", 1234) <= 2
+    assert multiset(table.read()) == before == multiset(table.read(version=1))
+    assert multiset(table.read(version=0)) == multiset(rows)
+    table.delete("id = 1")
+    assert table.read().count() == 3999
+
+
 def test_interleaved_bits(spark):
     df = spark.createDataFrame([(5, 3)], "x int, y int")  # 101 and 011
     assert df.select(layout.interleave([F.col("x"), F.col("y")], 3)).first()[0] == 0b100111

@@ -83,6 +83,9 @@ def test_profile(spark):
     assert (rows["id"].rows, rows["id"].nulls, rows["id"].min_number, rows["id"].max_number, rows["id"].mean,
             rows["id"].approx_distinct) == (3, 1, 1.0, 3.0, 2.0, 2)
     assert (rows["s"].min_text, rows["s"].max_text, rows["s"].mean) == ("a", "b", None)
+    big = spark.createDataFrame([(9007199254740993,), (-1,)], "n long")
+    row = checks.profile(big).first()
+    assert (int(row.max_exact), int(row.min_exact), row.max_number) == (9007199254740993, -1, 9007199254740992.0)
     grouped = checks.profile(df, ["id"], by=F.col("s"), distinct=False)
     assert as_set(grouped, "grp", "rows", "nulls") == {("a", 1, 0), ("b", 2, 1)}
 

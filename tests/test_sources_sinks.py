@@ -150,16 +150,31 @@ def test_all_null_rows_are_added(spark):
     assert df.count() == 4 and df.where(F.col("i").isNull() & F.col("s").isNull()).count() == 3
 
 
-def test_shuffles_grow_with_the_data_and_never_shrink(spark, folder, monkeypatch):
-    spark.range(20000).write.parquet(folder)
-    total = tables.dataset_bytes(spark, folder)
-    assert total > 0
-    before = tables.size_shuffles(spark, folder)
-    assert before == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    monkeypatch.setattr(tables, "PARTITION_BYTES", total / 50)
-    try:
-        assert tables.size_shuffles(spark, folder) == 50
-        monkeypatch.setattr(tables, "PARTITION_BYTES", total)
-        assert tables.size_shuffles(spark, folder) == 50
-    finally:
-        spark.conf.unset(tables.INITIAL_PARTITIONS)
+def test_appending_refuses_columns_the_table_lacks(spark, folder):
+    name = new_table_name("narrow")
+    sinks.create_table(spark, name, "id INT, s STRING", folder)
+    sinks.append_rows(spark.createDataFrame([("a", 1)], "s string, id int"), name)
+    with pytest.raises(sinks.UnknownColumns, match="extra"):
+        sinks.append_rows(spark.createDataFrame([(2, "b", 3)], "id int, s string, extra int"), name)
+    assert as_set(spark.table(name)) == {(1, "a")}
+
+
+def test_shuffles_are_sized_by_what_a_plan_reads(spark, folder, monkeypatch):
+    spark.range(20000).write.parquet(f"{folder}/large")
+    spark.range(10).write.parquet(f"{folder}/small")
+    large, small = (spark.read.parquet(f"{folder}/{n}") for n in ("large", "small"))
+    total = tables.dataset_bytes(spark, f"{folder}/large")
+    assert total > tables.plan_bytes(small) > 0 and tables.plan_bytes(large) == pytest.approx(total, rel=0.01)
+    assert tables.plan_bytes(large.join(small, "id")) == tables.plan_bytes(large) + tables.plan_bytes(small)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(tables, "PARTITION_BYTES", total / 500_000)
+    with tables.sized_shuffles(large) as count:
+        assert count == pytest.approx(500_000, rel=0.01)  # no limit
+        assert spark.conf.get(tables.INITIAL_PARTITIONS) == str(count)
+    assert spark.conf.get(tables.INITIAL_PARTITIONS, None) is None
+    monkeypatch.setattr(tables, "PARTITION_BYTES", total)
+    with tables.sized_shuffles(small) as count:
+        assert count == configured
+    with pytest.raises(KeyError), tables.sized_shuffles(large):
+        raise KeyError
+    assert spark.conf.get(tables.INITIAL_PARTITIONS, None) is None

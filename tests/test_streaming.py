@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from strandline.operators.versioned import VersionedTable
 from strandline.session import new_table_name
 from strandline.streaming import control, ingest, medallion
-from strandline.streaming.publish import complete_publisher
+from strandline.streaming.publish import complete_publisher, live_folder
 from strandline.streaming.replay import ArrivalReplay
 
 COLUMNS = ["device_id", "mrn", "time", "heartrate"]
@@ -101,6 +103,92 @@ def test_publisher_never_writes_where_the_table_points(spark, folder):
     assert as_set(spark.table(table)) == {(3,), (4,)}
     publish(spark.range(1).toDF("id"), 2)  # a repeated batch
     assert as_set(spark.table(table)) == {(0,)}
+    broken = spark.range(8, 0, -1).select(F.when(F.col("id") > 1, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+    with pytest.raises(Exception, match="lost"):  # a batch repeated after the switch, which breaks off
+        publish(broken, 2)
+    assert as_set(spark.table(table)) == {(0,)}
+    assert live_folder(spark, table).startswith(folder)
+
+
+def test_the_newest_arrival_replaces_the_table_whole(spark, folder, monkeypatch):
+    """Several arrivals wait, each larger than a batch may be; later files of an arrival count as well."""
+    monkeypatch.setattr(medallion, "BATCH_BYTES", 1)
+    monkeypatch.setattr(medallion.raw_files, "__defaults__", tuple(1 if d == 1 << 40 else d for d in medallion.raw_files.__defaults__))
+    table = new_table_name("newest")
+
+    def run():
+        query = ingest.load_replacing(spark, f"{folder}/landing", COLUMNS, HINTS, table, f"{folder}/r", f"{folder}/c")
+        query.awaitTermination()
+        return len(query.recentProgress), as_set(spark.table(table), "device_id")
+
+    for part in range(3):
+        land(folder, f"9.json/{part}.json", (part, 1, 1, 1))
+        land(folder, f"10.json/{part}.json", (10 + part, 1, 1, 1))
+    batches, rows = run()
+    assert batches >= 6 and rows == {("10",), ("11",), ("12",)}
+    land(folder, "10.json/3.json", (13, 1, 1, 1))
+    land(folder, "9.json/3.json", (99, 1, 1, 1))
+    assert run()[1] == {("10",), ("11",), ("12",), ("13",)}
+    land(folder, "11.json", (20, 1, 1, 1))
+    assert run()[1] == {("20",)}
+
+
+def test_old_files_are_taken_in(spark, folder):
+    table = new_table_name("late")
+
+    def run():
+        raw = medallion.raw_files(spark, f"{folder}/landing", COLUMNS, HINTS)
+        medallion.append_to_table(raw, table, f"{folder}/b", f"{folder}/c").awaitTermination()
+        return as_set(spark.table(table), "device_id")
+
+    land(folder, "01.json", (1, 1, 1, 1))
+    assert run() == {("1",)}
+    land(folder, "00.json", (2, 1, 1, 1))
+    old = time.time() - 400 * DAY
+    os.utime(Path(folder) / "landing/00.json", (old, old))
+    assert run() == {("1",), ("2",)}
+
+
+def test_fields_that_are_not_listed_are_kept(spark, folder):
+    path = Path(folder) / "landing" / "x.json"
+    path.parent.mkdir(parents=True)
+    path.write_text('{"mrn": 1, "time": 2.5, "unit": "bpm", "more": {"a": [1]}}\n\n{"mrn": 2}\n')
+    table = new_table_name("whole")
+    raw = medallion.raw_files(spark, f"{folder}/landing", ["mrn", "time"], HINTS, rest="others")
+    medallion.append_to_table(medallion.bronze(raw), table, f"{folder}/b", f"{folder}/c").awaitTermination()
+    rows = {r.mrn: (r.time, r.others and json.loads(r.others)) for r in spark.table(table).collect()}
+    assert rows == {"1": (2.5, {"unit": "bpm", "more": '{"a":[1]}'}), "2": (None, None)}
+
+
+def test_rows_without_a_key_are_set_apart(spark, folder):
+    schema = "k int, ts int, v string"
+    target = VersionedTable.create(spark, f"{folder}/t", spark.createDataFrame([], schema), ["k"])
+    landing = Path(folder) / "landing"
+    landing.mkdir(parents=True)
+
+    def run(name, text):
+        (landing / name).write_text(text)
+        raw = medallion.raw_files(spark, str(landing), ["k", "ts", "v"], {"k": "int", "ts": "int"}).drop("source_file")
+        ingest.load_merging(raw, target, ["ts"], f"{folder}/c", "a/b").awaitTermination()
+        return as_set(target.read())
+
+    assert run("1.json", '{"k": 1, "ts": 1, "v": "a"}\n{"k": "one", "ts": 1, "v": "bad"}\n') == {(1, 1, "a")}
+    assert run("2.json", '{"k": 1, "ts": 2, "v": "b"}\n') == {(1, 2, "b")}
+    assert run("3.json", '{"ts": 3, "v": "worse"}\n') == {(1, 2, "b")}
+    bad = ingest.rejected_rows(target, "a/b", target.read().schema)
+    assert as_set(bad) == {(None, 1, "bad", 0), (None, 3, "worse", 2)}
+    assert ingest.rejected_rows(target, "other", target.read().schema).count() == 0
+
+
+def test_state_partitions_hold_from_the_first_start(spark, folder):
+    rows = spark.range(40).selectExpr("string(id) AS mrn", "'n' AS name", "timestamp_seconds(id) AS time", "double(id) AS heartrate")
+    table, gold = new_table_name("rows"), new_table_name("gold")
+    rows.write.option("path", f"{folder}/t").saveAsTable(table)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    daily = medallion.gold(medallion.table_stream(spark, table))
+    medallion.rewrite_table(daily, gold, f"{folder}/g", f"{folder}/c", state_partitions=3).awaitTermination()
+    assert {p.name for p in (Path(folder) / "c/state/0").iterdir() if p.name.isdigit()} == {"0", "1", "2"}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_a_repeated_micro_batch_changes_nothing(spark, folder):
@@ -129,8 +217,8 @@ def test_merge_and_replace_loads(spark, folder):
         delivered += 1
         raw = medallion.raw_files(spark, replay.landing, ["k", "ts", "v"], kinds, bytes_per_batch=None)
         raw = raw.drop("source_file")
-        ingest.load_merging(raw, target, ["ts"], f"{folder}/cm", "s", fold_every=2).awaitTermination()
-        ingest.load_replacing(raw, name, f"{folder}/r", f"{folder}/cr").awaitTermination()
+        ingest.load_merging(raw, target, ["ts"], f"{folder}/cm", "s", fold_share=1e9 if delivered > 2 else 0).awaitTermination()
+        ingest.load_replacing(spark, replay.landing, ["k", "ts", "v"], kinds, name, f"{folder}/r", f"{folder}/cr").awaitTermination()
         assert as_set(spark.table(name)) == set(periods[delivered - 1])
     assert delivered == 3 and replay.deliver() is None
     assert as_set(target.read()) == {(1, 3, "c"), (2, 1, "b"), (3, 5, "e")}
