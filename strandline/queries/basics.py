@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,8 +123,12 @@ def inline_join(spark: SparkSession, folder: str) -> DataFrame:
         spark,
         "nation_feed",
         ["id", "label", "amount", "kind"],
-        "(2, 'two', 15.2, 'update'), (3, '', null, 'delete'), (7, 'seven', 7.7, 'insert'), "
-        "(111, 'none', 8.8, 'update')",
+        [
+            (2, "two", Decimal("15.2"), "update"),
+            (3, "", None, "delete"),
+            (7, "seven", Decimal("7.7"), "insert"),
+            (111, "none", Decimal("8.8"), "update"),
+        ],
     )
     customer = read_table(spark, folder, "customer")
     return customer.join(feed, F.col("c_nationkey") == F.col("id")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +114,8 @@ def append(spark: SparkSession, folder: str) -> DataFrame:
     second = orders.select(F.col("o_orderstatus").alias("task"), F.current_timestamp().alias("run_time"))
     sinks.append_rows(first, table)
     sinks.append_rows(second, table)
-    sinks.insert_values(spark, table, "('literal', current_timestamp()), (NULL, current_timestamp())")
+    now = datetime.now()
+    sinks.insert_values(spark, table, [("literal", now), (None, now)])
     sinks.append_audit_row(spark, table, "Task #2")
     return spark.table(table).groupBy("task").agg(F.count(F.lit(1)).alias("n"))
 

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators.layout import partition_columns
-from strandline.sources.tables import sql_literal
+from strandline.sources.tables import sql_literal, value_rows
 
 
 # For writers of text formats, which otherwise cut times to milliseconds.
@@ -26,17 +28,16 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def create_table(spark: SparkSession, name: str, columns: str, path: str | None = None) -> None:
-    """A typed parquet table, if absent. ``path`` puts its files in the shared folder."""
-    at = f" LOCATION {sql_literal(path)}" if path else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet{at}",
-        args={"name": name},
-    )
+    """A typed parquet table, if absent. ``columns`` is a schema; ``path`` puts its files in the shared folder."""
+    if not spark.catalog.tableExists(name):
+        schema = spark.createDataFrame([], columns).schema
+        spark.catalog.createTable(name, path, source="parquet", schema=schema)
 
 
-def insert_values(spark: SparkSession, name: str, values: str) -> None:
-    """Insert literal rows: ``values`` is the text after VALUES."""
-    spark.sql(f"INSERT INTO IDENTIFIER(:name) VALUES {values}", args={"name": name})
+def insert_values(spark: SparkSession, name: str, rows: Sequence[Sequence[object]]) -> None:
+    """Insert literal rows; the values are parameters."""
+    text, args = value_rows(rows)
+    spark.sql(f"INSERT INTO IDENTIFIER(:name) VALUES {text}", args={"name": name, **args})
 
 
 class UnknownColumns(ValueError):

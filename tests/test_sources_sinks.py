@@ -56,7 +56,10 @@ def test_hints_turn_bad_values_into_null(spark, folder):
 
 
 def test_inline_rows(spark):
-    df = sources.inline_rows(spark, "u", ["id", "value"], "(1, 15.2), (2, null)")
+    df = sources.inline_rows(spark, "u", ["id", "value"], [(1, 15.2), (2, None)])
+    text = "x'), (9, 'y"
+    assert as_set(sources.inline_rows(spark, "u", ["id", "a `b"], [(1, text)])) == {(1, text)}
+    df = sources.inline_rows(spark, "u", ["id", "value"], [(1, 15.2), (2, None)])
     assert [(r.id, None if r.value is None else float(r.value)) for r in df.orderBy("id").collect()] == [
         (1, 15.2), (2, None)
     ]
@@ -66,11 +69,11 @@ def test_typed_table_appends_and_arity_error(spark, folder):
     name = new_table_name("students")
     sinks.create_table(spark, name, "id INT, name STRING", folder)
     sinks.create_table(spark, name, "id INT, name STRING", folder)  # already there
-    sinks.insert_values(spark, name, "(1, 'Yve'), (2, NULL)")
+    sinks.insert_values(spark, name, [(1, "Yve"), (2, None)])
     sinks.append_rows(spark.createDataFrame([("Ted", 4)], "name string, id int"), name)  # by name
     assert as_set(spark.table(name)) == {(1, "Yve"), (2, None), (4, "Ted")}
     with pytest.raises(AnalysisException):
-        sinks.insert_values(spark, name, "(11, 'Tom', 4.0)")
+        sinks.insert_values(spark, name, [(11, "Tom", 4.0)])
     assert spark.table(name).count() == 3
     sinks.drop_table(spark, name)
     assert not spark.catalog.tableExists(name)
