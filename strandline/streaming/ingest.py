@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from strandline.operators.changelog import when_matched_update, when_not_matched_insert
+from strandline.operators.changelog import first_per_key, when_matched_update, when_not_matched_insert
 from strandline.operators.versioned import VersionedTable
 from strandline.streaming.control import with_trigger
 from strandline.sources import read_hinted
@@ -23,9 +23,7 @@ from strandline.streaming.publish import republish
 
 def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the highest ``order`` for each key, reduced before the shuffle."""
-    rest = [c for c in rows.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(*keys, "_row.*").select(*rows.columns)
+    return first_per_key(rows, keys, order)
 
 
 def newest_arrival(spark: SparkSession, landing: str) -> str | None:
