@@ -26,9 +26,10 @@ from strandline.llm.shared import settle
 MOST_LABELLED = 30_000  # labelled documents the model is fitted on; those of the smallest hashes
 MOST_FEATURES = 50_000  # features in the model, the most certain ones
 STARTS = (4, 5, 6)  # lengths of the beginnings that stand in for rare tokens, in bytes
-SUPPORT, CERTAIN = 5, 4.0  # occurrences, and deviations from the prior, that make a feature count
-PRIOR = 500.0  # weight of the prior, in tokens
+SUPPORT, CERTAIN = 5, 3.5  # documents, and deviations from the prior, that make a feature count
+PRIOR, LEAST = 500.0, 0.5  # weight of the prior, in tokens, and what any feature has of it at least
 LOSS, MOST_GAIN = 0.1, 6.0  # of a token without log-odds; most that one token can add
+COUNTS = ("clean_0", "toxic_0", "clean_1", "toxic_1")  # by half of the sample
 SIGNIFICANT = 0.05  # of segments, as p
 REJECTED = 0.7  # score from which a document is predicted toxic
 
@@ -45,21 +46,19 @@ def features_of(token: bytes) -> list[bytes]:
 
 
 def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Feature counts in clean and toxic documents; a row per feature and task."""
-    counts = (Counter(), Counter())
+    """How many documents have a feature, by half of the sample and label; a row per feature and task.
+
+    Once per document: what one text repeats says no more about its label.
+    """
+    counts: dict[str, Counter] = {name: Counter() for name in COUNTS}
     for batch in batches:
-        for body, toxic in zip(batch.column("body").to_pylist(), batch.column("toxic").to_pylist()):
-            for token, n in Counter(tokens_of(body or b"")).items():
-                for f in features_of(token):
-                    counts[toxic][f] += n
-            counts[toxic][b""] += len(tokens_of(body or b""))
-    names = list(counts[0].keys() | counts[1].keys())
+        for body, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("body", "toxic", "half"))):
+            tokens, own = set(tokens_of(body or b"")), counts[COUNTS[2 * half + toxic]]
+            own.update({f for token in tokens for f in features_of(token)})
+            own[b""] += len(tokens)
+    names = list(set().union(*counts.values()))
     yield pa.RecordBatch.from_pydict(
-        {
-            "feature": pa.array(names, pa.binary()),
-            "clean": pa.array([counts[0][f] for f in names], pa.int64()),
-            "toxic": pa.array([counts[1][f] for f in names], pa.int64()),
-        }
+        {"feature": pa.array(names, pa.binary())} | {k: pa.array([c[f] for f in names], pa.int64()) for k, c in counts.items()}
     )
 
 
@@ -98,8 +97,8 @@ def segments(gains: list[tuple[int, float]], n: int) -> list[Segment]:
 
 class Model(NamedTuple):
     odds: dict[bytes, float]
-    extreme: tuple[float, float]  # L and log K
-    curve: tuple[float, float, float]
+    extreme: tuple[float, float] = (1.0, 0.0)  # L and log K
+    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     def gains(self, tokens: list[bytes], known: dict[bytes, float]) -> list[tuple[int, float]]:
         """Positions and log-odds of the tokens that have any; ``known`` remembers tokens."""
@@ -115,6 +114,11 @@ class Model(NamedTuple):
         expected = min(math.exp(min(self.extreme[1] + math.log(max(n, 1)) - self.extreme[0] * score, 50.0)), 1e20)
         return math.log(max(-math.expm1(-expected), 1e-300))
 
+    def best(self, body: bytes, known: dict[bytes, float]) -> tuple[float, int]:
+        """Score of the best segment, and how many tokens there are."""
+        tokens = tokens_of(body)
+        return max((s.score for s in segments(self.gains(tokens, known), len(tokens))), default=0.0), len(tokens)
+
     def read(self, body: bytes, known: dict[bytes, float]) -> tuple[list[tuple[Segment, float]], tuple[float, float]]:
         tokens = tokens_of(body)
         found = [(s, self.log_p(s.score, len(tokens))) for s in segments(self.gains(tokens, known), len(tokens))]
@@ -133,7 +137,7 @@ def log_odds(rows: list[tuple[bytes, int, int]]) -> dict[bytes, float]:
     out = {}
     for feature, clean, toxic in rows:
         if feature and clean + toxic >= SUPPORT:
-            prior = PRIOR * (clean + toxic) / max(n0 + n1, 1)
+            prior = LEAST + PRIOR * (clean + toxic) / max(n0 + n1, 1)
             rest1, rest0 = max(n1 + PRIOR - toxic - prior, 1.0), max(n0 + PRIOR - clean - prior, 1.0)
             value = math.log((toxic + prior) / rest1) - math.log((clean + prior) / rest0)
             if abs(value) >= CERTAIN * math.sqrt(1 / (toxic + prior) + 1 / (clean + prior)) and value > LOSS:
@@ -175,9 +179,9 @@ def in_training(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most MOST_LABELLED labelled documents whose remainder is not 1.
 
-    Half of them give the log-odds, the other half the extreme-value law and the curve, so that neither
-    is measured on what the log-odds were made from. Documents labelled more than once count as toxic
-    if any label says so.
+    The log-odds come from all of them. The extreme-value law and the curve come from scores that each
+    half gets with the log-odds of the other, so that nothing is measured on what it was made from.
+    Documents labelled more than once count as toxic if any label says so.
     """
     usable = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & in_training(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -186,49 +190,45 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     mark = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = usable.withColumn("mark", mark).filter(F.col("mark") < share)
     chosen = F.broadcast(chosen.limit(MOST_LABELLED).withColumnRenamed("doc_id", "id"))
-    half = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2))
+    half = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2)).cast("int")
     sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id"))
     sample = settle(sample.select(F.col("text").cast("binary").alias("body"), "toxic", half.alias("half")), "labelled")
 
-    counted = sample.filter("half = 0").select("body", "toxic").mapInArrow(count_features, "feature binary, clean long, toxic long")
-    counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = sample.mapInArrow(count_features, "feature binary, " + ", ".join(f"{c} long" for c in COUNTS))
+    counted = counted.groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    toxic = F.col("toxic_0") + F.col("toxic_1")
     # Only features that lean to toxic can score; the most frequent of them, a bounded number.
-    counted = counted.filter((F.col("toxic") + F.col("clean") >= SUPPORT) & (F.col("toxic") > 0))
-    rows = counted.orderBy(F.col("feature") != F.lit(b""), F.col("toxic").desc(), "feature").limit(MOST_FEATURES).collect()
-    model = Model(log_odds([(bytes(r.feature), r.clean, r.toxic) for r in rows]), (1.0, 0.0), (0.0, 0.0, 0.0))
+    counted = counted.filter((toxic > 0) & (toxic + F.col("clean_0") + F.col("clean_1") >= SUPPORT))
+    rows = counted.orderBy(F.col("feature") != F.lit(b""), toxic.desc(), "feature").limit(MOST_FEATURES).collect()
+    halves = [Model(log_odds([(bytes(r.feature), r[f"clean_{h}"], r[f"toxic_{h}"]) for r in rows])) for h in (0, 1)]
+    model = Model(log_odds([(bytes(r.feature), r.clean_0 + r.clean_1, r.toxic_0 + r.toxic_1) for r in rows]))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, float] = {}
-        for batch in batches:
-            best, size = [], []
-            for body in batch.column("body").to_pylist():
-                tokens = tokens_of(body or b"")
-                best.append(max((s.score for s in segments(model.gains(tokens, known), len(tokens))), default=0.0))
-                size.append(len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(best, pa.float64()), pa.array(size, pa.int64()), batch.column("toxic")], names=["best", "n", "toxic"]
-            )
+    best, n, toxic = _measured(sample, halves, lambda m, body, known: m.best(body, known))
+    extreme = fit_extreme(best[toxic == 0], n[toxic == 0])
+    halves = [m._replace(extreme=extreme) for m in halves]
+    a, b, toxic = _measured(sample, halves, lambda m, body, known: m.read(body, known)[1])
+    return model._replace(extreme=extreme, curve=fit_curve(np.column_stack([a, b]), toxic))
 
-    other = sample.filter("half = 1").select("body", "toxic")
-    measured = other.mapInArrow(measure, "best double, n long, toxic int").toArrow()  # two numbers for each of the sample
-    best, n, toxic = (measured.column(c).to_numpy() for c in ("best", "n", "toxic"))
-    order = np.lexsort((n, best, toxic))  # the fit does not depend on the order of rows
-    best, n, toxic = best[order], n[order], toxic[order].astype(float)
-    model = model._replace(extreme=fit_extreme(best[toxic == 0], n[toxic == 0]))
 
-    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, float] = {}
+def _measured(sample: DataFrame, halves: list[Model], two: Callable) -> tuple[np.ndarray, ...]:
+    """Two numbers and the label for each document of the sample, by the model of the half it is not in.
+
+    Sorted, so that what is fitted to them does not depend on the order of rows.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: tuple[dict, dict] = ({}, {})
         for batch in batches:
-            x = [model.read(body or b"", known)[1] for body in batch.column("body").to_pylist()]
+            pairs = zip(batch.column("body").to_pylist(), batch.column("half").to_pylist())
+            x = [two(halves[1 - half], body or b"", known[1 - half]) for body, half in pairs]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v[i] for v in x], pa.float64()) for i in (0, 1)] + [batch.column("toxic")], names=["a", "b", "toxic"]
+                [pa.array([float(v[i]) for v in x], pa.float64()) for i in (0, 1)] + [batch.column("toxic")], names=["a", "b", "toxic"]
             )
 
-    seen = other.mapInArrow(points, "a double, b double, toxic int").toArrow()
-    x = np.column_stack([seen.column(c).to_numpy() for c in ("a", "b")]).reshape(-1, 2)
-    y = seen.column("toxic").to_numpy().astype(float)
-    order = np.lexsort((x[:, 1], x[:, 0], y))
-    return model._replace(curve=fit_curve(x[order], y[order]))
+    found = sample.mapInArrow(measure, "a double, b double, toxic int").toArrow()
+    columns = [found.column(c).to_numpy().astype(float) for c in ("a", "b", "toxic")]
+    order = np.lexsort(columns)
+    return tuple(c[order] for c in columns)
 
 
 def scorer(model: Model) -> Callable[[Column], Column]:
