@@ -26,9 +26,11 @@ from strandline.llm.shared import settle
 MOST_LABELLED = 30_000  # labelled documents the model is fitted on; those of the smallest hashes
 MOST_FEATURES = 50_000  # features in the model, the most certain ones
 STARTS = (4, 5, 6)  # lengths of the beginnings that stand in for rare tokens, in bytes
-SUPPORT, CERTAIN = 5, 3.5  # documents, and deviations from the prior, that make a feature count
+SUPPORT, CERTAIN = 5, 4.0  # documents, and deviations from the prior, that make a feature count
 PRIOR, LEAST = 500.0, 0.5  # weight of the prior, in tokens, and what any feature has of it at least
-LOSS, MOST_GAIN = 0.1, 6.0  # of a token without log-odds; most that one token can add
+LOSS = 0.1  # of a token without log-odds
+LEAST_GAIN, MOST_GAIN = 1.0, 6.0  # log-odds from which a token counts, and most that it can add
+LEAST_LENGTH = 50  # shorter texts are judged as if they had so many tokens
 COUNTS = ("clean_0", "toxic_0", "clean_1", "toxic_1")  # by half of the sample
 SIGNIFICANT = 0.05  # of segments, as p
 REJECTED = 0.7  # score from which a document is predicted toxic
@@ -111,7 +113,7 @@ class Model(NamedTuple):
         """log of the chance that clean text of n tokens has a segment of this score."""
         if score <= 0:
             return 0.0
-        expected = min(math.exp(min(self.extreme[1] + math.log(max(n, 1)) - self.extreme[0] * score, 50.0)), 1e20)
+        expected = min(math.exp(min(self.extreme[1] + math.log(max(n, LEAST_LENGTH)) - self.extreme[0] * score, 50.0)), 1e20)
         return math.log(max(-math.expm1(-expected), 1e-300))
 
     def best(self, body: bytes, known: dict[bytes, float]) -> tuple[float, int]:
@@ -140,7 +142,7 @@ def log_odds(rows: list[tuple[bytes, int, int]]) -> dict[bytes, float]:
             prior = LEAST + PRIOR * (clean + toxic) / max(n0 + n1, 1)
             rest1, rest0 = max(n1 + PRIOR - toxic - prior, 1.0), max(n0 + PRIOR - clean - prior, 1.0)
             value = math.log((toxic + prior) / rest1) - math.log((clean + prior) / rest0)
-            if abs(value) >= CERTAIN * math.sqrt(1 / (toxic + prior) + 1 / (clean + prior)) and value > LOSS:
+            if value >= CERTAIN * math.sqrt(1 / (toxic + prior) + 1 / (clean + prior)) and value >= LEAST_GAIN:
                 out[feature] = min(value, MOST_GAIN)
     return out
 
@@ -152,7 +154,7 @@ def fit_extreme(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
         return 1.0, 0.0
     spread = max(float(best[some].std()), 0.5)
     rate = math.pi / (spread * math.sqrt(6))
-    shifted = best[some] - np.log(np.maximum(n[some], 1)) / rate
+    shifted = best[some] - np.log(np.maximum(n[some], LEAST_LENGTH)) / rate
     return rate, rate * float(shifted.mean()) - 0.5772156649
 
 
