@@ -3,10 +3,10 @@
 1. A document's distinct shingle hashes are its set; equal sets make one class. The 32 smallest hashes
    are the sketch.
 2. Inverted lists: of two sets with Jaccard similarity s, each of the smallest values of their union is
-   in both with chance s, so both lists of eight smallest values share one but for a chance of about
-   (1 - s)^8. Values in more than HOT sketches (lines that many texts share) are passed over, and a text
-   takes its eight smallest other values instead; texts made largely of such values go by all of their
-   smallest eight, in lists cut by set size and dealt in pairs of blocks.
+   in both with chance s, so both lists of twelve smallest values share one but for a chance of about
+   (1 - s)^12. Values in more than HOT sketches (lines that many texts share) are passed over, and a text
+   takes its twelve smallest other values instead; texts made largely of such values go by all of their
+   smallest twelve, in lists cut by set size and dealt in pairs of blocks.
 3. Within a list the sketch of the union, made of two sketches, estimates the similarity. Pairs far
    below the threshold are out; of the others a spanning forest goes on, not all pairs.
 4. The forest's components are brought together with their full sets, and exact Jaccard similarity
@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from strandline.llm.components import components
 from strandline.llm.shared import checked_broadcast, join_unique, keep_rows, settle, text_hash
 
-SKETCH, SHORT, LISTS = 32, 16, 8
+SKETCH, SHORT, LISTS = 32, 24, 12
 HOT = 256  # sketches with a value from which its list is not taken as it is
-SLACK = 0.35  # an estimate from 32 values is this far below the truth once in ten million
+SLACK = 0.42  # an estimate from 32 values is this far below 0.8 twice in ten million, below 0.85 once in a hundred
 BLOCK = 512  # entries of a list, or sets of a component, compared with each other at once
 BLOCK_SHINGLES = 4_000_000  # of a component in one task; larger ones are dealt in pairs of blocks
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -218,7 +218,7 @@ def full_sets(rule: Rule):
 def verify_groups(rule: Rule):
     """Links of each group of sets that hold exactly; links that follow from others are left out."""
     wide = 4 * SKETCH
-    floor = rule.per_cent / 100 - 0.2  # six deviations of an estimate from 128 values
+    floor = rule.per_cent / 100 - 0.2  # about six deviations of an estimate from 128 values
 
     def exact(group: pa.Table) -> Iterator[tuple[int, int]]:
         ids, sizes = (group.column(c).to_numpy() for c in ("class", "n"))
@@ -286,7 +286,7 @@ def candidate_links(classes: DataFrame, rule: Rule) -> DataFrame:
     values = settle(classes.select("class", "sketch").mapInArrow(short_values, "class long, rank int, value long"), "values")
     lists = values.groupBy(F.col("value").alias("of")).agg(F.count("*").alias("members")).filter("members > 1")
     met = values.join(lists, F.col("value") == F.col("of")).select("class", "rank", "value", "members")
-    ranked = met.groupBy("class").agg(F.collect_list(F.struct("rank", "value", "members")).alias("met"))  # at most 16
+    ranked = met.groupBy("class").agg(F.collect_list(F.struct("rank", "value", "members")).alias("met"))  # at most SHORT
     ranked = ranked.withColumn("hot", F.transform(F.filter("met", lambda m: m["members"] > HOT), lambda m: m["rank"]))
     ranked = ranked.select("class", "hot", F.explode("met").alias("m")).select("class", "hot", "m.*")
     ranked = settle(ranked, "ranked")
