@@ -66,6 +66,8 @@ class Snapshot:
     keys: list[str]
     source_path: str | None
     source_version: int | None
+    last_whole: int
+    batch: int | None = None
 
 
 class VersionedTable:
@@ -120,10 +122,13 @@ class VersionedTable:
     def log(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
 
-    def snapshot(self, version: int | None = None, as_of: datetime | None = None) -> Snapshot:
+    def snapshot(
+        self, version: int | None = None, as_of: datetime | None = None, stream: str | None = None
+    ) -> Snapshot:
         """Resolve a version number, a point in time, or (without either) the newest version.
 
-        Aggregates over the log; a single row reaches the driver.
+        Aggregates over the log; a single row reaches the driver. What a write needs to know besides comes
+        from the same pass: the last whole commit, and the last batch of a ``stream``.
         """
         log = self.log()
         is_commit = F.col("kind") == "commit"
@@ -142,6 +147,8 @@ class VersionedTable:
             F.max("keys").alias("key_names"),
             F.max("source_path").alias("source_path"),
             F.max("source_version").alias("source_version"),
+            F.max(F.when(is_commit & F.col("whole"), F.col("_version"))).alias("last_whole"),
+            F.max(F.when(F.col("stream") == F.lit(stream), F.col("batch"))).alias("batch"),
         ).first()
         wanted = found.head if version is None else version
         if not 0 <= wanted <= found.head:
@@ -156,6 +163,8 @@ class VersionedTable:
             found.key_names.split(","),
             found.source_path,
             found.source_version,
+            found.last_whole,
+            found.batch,
         )
 
     def changes(self, after: int, upto: int, schema: T.StructType) -> DataFrame:
@@ -389,8 +398,8 @@ class VersionedTable:
         With ``evolve`` source columns that the table lacks are added to it, but for the ``control``
         columns, which only conditions use; rows that the merge does not touch get NULL in them.
         """
-        head = self.snapshot()
-        if stream is not None and self._seen(stream, batch):
+        head = self.snapshot(stream=stream)
+        if head.batch is not None and batch <= head.batch:
             return head.head
         state, schema = self._state(head), head.schema
         if evolve:
@@ -400,10 +409,6 @@ class VersionedTable:
         rows = cl.merged(state, source, head.keys, clauses).hint("rebalance")
         return self._commit(head, rows, "MERGE", at, schema, check_keys=True, stream=stream, batch=batch)
 
-    def _seen(self, stream: str, batch: int) -> bool:
-        newest = self.log().where(F.col("stream") == stream).agg(F.max("batch")).first()[0]
-        return newest is not None and batch <= newest
-
     def restore(self, version: int, at: datetime | None = None) -> int:
         """Bring back a version as a new commit; the columns become that version's columns.
 
@@ -411,7 +416,7 @@ class VersionedTable:
         """
         then = self.snapshot(version)
         head = self.snapshot()
-        if self._whole_commits().where(F.col(cl.VERSION) > version).first() is not None:
+        if head.last_whole > version:
             return self._commit_whole(head, self._state(then), "RESTORE", at, check_keys=False)
         changes = self.changes(version, head.head, then.schema)
         rows = cl.restored(changes, self._state(then), head.keys, head.head - version)
