@@ -15,8 +15,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strandline.operators.changelog import first_per_key, when_matched_update, when_not_matched_insert
 from strandline.operators.versioned import VersionedTable
-from strandline.streaming.control import with_trigger
 from strandline.sources import read_hinted
+from strandline.streaming.control import with_trigger
 from strandline.streaming.medallion import raw_files
 from strandline.streaming.publish import republish
 
@@ -29,7 +29,8 @@ def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def newest_arrival(spark: SparkSession, landing: str) -> str | None:
     """The folder or file directly under ``landing`` with the highest leading number, then name; by a listing."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
-    name = F.regexp_extract("path", rf"{re.escape(landing.rstrip('/').rpartition('/')[2])}/([^/]+)", 1)
+    folder = re.sub(r"^[a-z0-9+.-]+:", "", landing).strip("/")  # listings have a scheme, whatever was given
+    name = F.regexp_extract("path", rf"/{re.escape(folder)}/([^/]+)", 1)
     number = F.regexp_extract(name, r"^(\d+)", 1).try_cast("bigint")
     newest = listing.agg(F.max(F.struct(number.alias("number"), name.alias("name")))).first()[0]
     return newest and newest.name
