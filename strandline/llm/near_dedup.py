@@ -175,7 +175,11 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def link_lists(rule: Rule):
-    """Candidate links of each list: a spanning forest of the pairs that may reach the threshold."""
+    """Candidate links of each list: a spanning forest of the pairs that may reach the threshold.
+
+    A dealt list comes in many groups. Links between entries of one size class and block are given by the
+    group that has these alone on its diagonal; the others only give what joins such entries to others.
+    """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -190,10 +194,18 @@ def link_lists(rule: Rule):
                     continue
             close = estimates(sketches, sizes, SKETCH) >= rule.per_cent / 100 - SLACK
             close &= 100 * np.minimum.outer(sizes, sizes) >= rule.per_cent * np.maximum.outer(sizes, sizes)
-            root = forest(close)
-            away = root != np.arange(len(root))
+            side, visits = (group.column(c).to_numpy() for c in ("side", "visits"))
+            home = 2 * side + visits
+            inner = forest(close & (home[:, None] == home[None, :]))
+            place = np.arange(len(inner))
+            if (side == side[0]).all():
+                away = (inner != place) & (visits == 0)
+                a += ids[away].tolist()
+                b += ids[inner[away]].tolist()
+            outer = forest(close)
+            away = (inner == place) & (outer != place)
             a += ids[away].tolist()
-            b += ids[root[away]].tolist()
+            b += ids[outer[away]].tolist()
             if len(a) > 50_000:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
                 a, b = [], []
@@ -274,7 +286,7 @@ def _dealt(rows: DataFrame, blocks: str, by: str) -> DataFrame:
     )
     rows = rows.withColumn("side", mine.cast("long")).withColumn("other", F.explode(others))
     pair = F.least("side", "other") * F.lit(1 << 31) + F.greatest("side", "other")
-    return rows.withColumn("pair", pair).drop("side", "other")
+    return rows.withColumn("pair", pair).drop("other")
 
 
 def _streamed(rows: DataFrame, keys: list[str], function, schema: str) -> DataFrame:
@@ -299,10 +311,10 @@ def candidate_links(classes: DataFrame, rule: Rule) -> DataFrame:
     # Lists of hot values are cut by size: a set meets those of its own size class and of the one above.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / rule.per_cent))).cast("int")
     parts = F.when(is_hot, F.array(size_class, size_class + 1)).otherwise(F.array(F.lit(-1)))
-    entries = entries.withColumn("part", F.explode(parts))
+    entries = entries.select("*", F.posexplode(parts).alias("visits", "part"))
     blocks = F.when(is_hot, F.ceil(F.col("members") / BLOCK)).otherwise(F.lit(1))
     entries = _dealt(entries.withColumn("blocks", blocks), "blocks", "class")
-    entries = entries.select("value", "part", "pair", "class", "n", "sketch")
+    entries = entries.select("value", "part", "pair", "side", F.col("visits").cast("long").alias("visits"), "class", "n", "sketch")
     return _streamed(entries, ["value", "part", "pair"], link_lists(rule), "a long, b long")
 
 
