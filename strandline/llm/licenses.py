@@ -46,17 +46,28 @@ _TABLE = bytes(
 )
 
 
+def _cut(words: list[bytes], first: int) -> Iterator[tuple[int, list[bytes]]]:
+    for at in range(0, max(len(words) - STEP, 1), STEP):
+        if words:
+            yield first + at, words[at : at + BLOCK]
+
+
 def blocks_of(body: bytes) -> Iterator[tuple[int, list[bytes]]]:
     """(first word's number, words) of each line, long lines in overlapping blocks."""
     first = 0
     for line in body.translate(_TABLE).split(b"\n"):
         line_words = line.split()
-        for at in range(0, max(len(line_words) - STEP, 1), STEP):
-            if line_words:
-                yield first + at, line_words[at : at + BLOCK]
+        yield from _cut(line_words, first)
         first += len(line_words)
 
 
+def windows_of(body: bytes) -> Iterator[tuple[int, list[bytes]]]:
+    """The same of all words in a row, line ends counting as blanks; none if one line holds all words."""
+    text = body.translate(_TABLE).strip()
+    if b"\n" in text:
+        yield from _cut(text.split(), 0)
+
+
 def _bodies(column: pa.Array) -> Iterator[bytes]:
     for x in column:
         yield x.as_buffer().to_pybytes() if x.is_valid else b""
@@ -108,23 +119,33 @@ class Join:
                 if common >= needed:
                     yield label, common / size
 
+    def found(self, first: int, block: list[bytes]) -> list[dict]:
+        last = first + len(block) - 1
+        return [
+            {"label": label, "first_word": first, "last_word": last, "containment": share} for label, share in self.matches(block)
+        ]
+
     def scan(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, base, found = [], [], []
+            n_words, base, found, wrapped = [], [], [], []
             for body in _bodies(batch.column("body")):
-                total, matched, text = 0, [], []
+                total, matched = 0, []
                 for first, block in blocks_of(body):
                     total = max(total, first + len(block))
-                    matched += [
-                        {"label": label, "first_word": first, "last_word": first + len(block) - 1, "containment": share}
-                        for label, share in self.matches(block)
-                    ]
+                    matched += self.found(first, block)
                 n_words.append(total)
                 base.append(places_of(body))
                 found.append(matched)
+                wrapped.append([x for first, block in windows_of(body) for x in self.found(first, block)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(base, _PLACES), pa.array(found, _FOUND)],
-                names=["doc_id", "n_words", "base", "matches"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(n_words, pa.int64()),
+                    pa.array(base, _PLACES),
+                    pa.array(found, _FOUND),
+                    pa.array(wrapped, _FOUND),
+                ],
+                names=["doc_id", "n_words", "base", "matches", "wrapped"],
             )
 
 
@@ -152,11 +173,13 @@ def places_of(body: bytes) -> list[dict]:
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, base, matches`` for documents (doc_id, text), row for row.
+    """``doc_id, n_words, base, matches, wrapped`` for documents (doc_id, text), row for row.
 
     ``base``: places of the phrases (label, word from 0). ``matches``: all blocks that hold at least 80 %
     of a template (label, first and last word of the block, containment). Blocks are lines; a line of
-    more than 64 words is cut into blocks of 64 that overlap by 32. Words are runs of letters and
+    more than 64 words is cut into blocks of 64 that overlap by 32. ``wrapped``: the same for blocks of 64
+    words over the whole text, line ends counting as blanks, so that a notice broken into lines is found;
+    empty where one line holds all words, as its blocks are in ``matches``. Words are runs of letters and
     digits (and anything outside ASCII), A-Z in lower case. NULL and empty texts have no words and no
     matches; an empty table gives no rows; further columns are not looked at.
     """
@@ -167,7 +190,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     return bodies.mapInArrow(
         join.scan,
         f"doc_id {kind}, n_words long, base array<struct<label:string,word:long>>, "
-        "matches array<struct<label:string,first_word:long,last_word:long,containment:double>>",
+        + ", ".join(f"{c} array<struct<label:string,first_word:long,last_word:long,containment:double>>" for c in ("matches", "wrapped")),
     )
 
 
@@ -177,7 +200,7 @@ def digest(scanned: DataFrame) -> DataFrame:
         return F.concat_ws(",", F.array_sort(F.array_distinct(found)))
 
     starts = F.transform("base", lambda x: x["word"])
-    best = F.coalesce(F.array_max(F.transform("matches", lambda x: x["containment"])), F.lit(0.0))
+    best = F.coalesce(F.array_max(F.transform(F.concat("matches", "wrapped"), lambda x: x["containment"])), F.lit(0.0))
     return scanned.select(
         "doc_id",
         "n_words",
@@ -185,6 +208,6 @@ def digest(scanned: DataFrame) -> DataFrame:
         F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"),
         labels("base").alias("base_labels"),
-        labels("base", "matches").alias("labels"),
+        labels("base", "matches", "wrapped").alias("labels"),
         F.when(F.size("base") > 0, 1.0).otherwise(best).alias("score"),
     )

@@ -70,6 +70,32 @@ def test_licenses_by_brute_force(spark):
     assert digest[21].labels == "apache-2,cc-by-nc" and digest[1].first_word is None
 
 
+def test_licenses_broken_into_lines(spark):
+    rng = random.Random(11)
+    rows, expected = [], {}
+    for i, (label, notice) in enumerate(licenses.TEMPLATES):
+        w = notice.split()
+        for k, (width, prefix) in enumerate([(1, ""), (2, " * "), (3, "# "), (len(w) // 2, "// "), (10, "")]):
+            lines = [prefix + " ".join(w[at : at + width]) for at in range(0, len(w), width)]
+            before, after = prose(rng, rng.randrange(90)), prose(rng, rng.randrange(90))
+            rows.append((100 * i + k, "\n".join([before, *lines, after])))
+            expected[100 * i + k] = label
+    scanned = licenses.scan_licenses(table(spark, rows))
+    digest = {r.doc_id: r for r in licenses.digest(scanned).collect()}
+    assert all(label in digest[i].labels.split(",") and digest[i].score == 1.0 for i, label in expected.items())
+    texts = dict(rows)
+    for r in scanned.collect():
+        w, found = words_of(texts[r.doc_id]), set()
+        for at in range(0, max(len(w) - licenses.STEP, 1), licenses.STEP):
+            block = w[at : at + licenses.BLOCK]
+            for label, t in licenses.TEMPLATES:
+                if 100 * len(set(t.split()) & set(block)) >= licenses.THRESHOLD * len(set(t.split())):
+                    found.add((label, at, at + len(block) - 1))
+        assert {(m.label, m.first_word, m.last_word) for m in r.wrapped} == found
+    one = licenses.scan_licenses(table(spark, [(1, "\n " + licenses.TEMPLATES[0][1] + "\n\n")])).first()
+    assert len(one.matches) == 1 and not one.wrapped
+
+
 def test_licenses_of_nothing(spark):
     assert licenses.digest(licenses.scan_licenses(table(spark, []))).count() == 0
 
