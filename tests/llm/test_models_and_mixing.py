@@ -13,7 +13,7 @@ import pytest
 
 import compare
 import corpus_pipeline
-from strandline.llm import licenses, recurrent, toxicity
+from strandline.llm import language_model, licenses, recurrent, toxicity
 from strandline.llm.language_model import score_documents
 from strandline.llm.mixing import mix, repeated
 from strandline.llm.queries import ORACLES, QUERIES
@@ -286,6 +286,21 @@ def test_language_model_without_rows_or_training(spark):
     assert len(out) == len(held) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in out)
 
 
+@pytest.mark.parametrize("words", [100, 2000, 70_000])
+def test_language_model_learns_more_words_from_more_text(spark, words):
+    """As many as occur sqrt(tokens) / 16 times; the others have the number of their class."""
+    n = 2 * math.ceil(math.sqrt(words * 400) / 16) + 100
+    rows = [(i, n, i % 8) for i in range(words)] + [(-1 - i, 2, i % 8) for i in range(50)] + [(10**9, 7, -1)]
+    counts = spark.createDataFrame(rows, "word long, c long, ending int")
+    v = language_model.vocabulary(counts)
+    frequent = words if words > 512 else words + 50
+    assert len(v.frequent) == frequent and v.weight.sum() == sum(c for _, c, _ in rows)
+    assert frequent <= v.shape.frequent and max(v.shape.classes, v.shape.width) <= 2 * max(16, math.isqrt(frequent))
+    numbers = v.numbers(*np.array(rows).T)
+    assert len(set(numbers[:words])) == words and (numbers.astype(v.shape.kind) == numbers).all()
+    assert (numbers[:words] < v.shape.frequent).all() and numbers[-1] == v.shape.inputs - 1
+
+
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, data, name):
     assert compare.difference(QUERIES[name](spark, data), compare.oracle(data), ORACLES[name]) is None
