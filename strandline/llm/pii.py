@@ -116,7 +116,9 @@ def spans_of(text: Column, kind: str) -> Column:
     def scored(s: Column) -> Column:
         first = F.greatest(F.lit(0), s["start"] - REACH)
         before = F.lower(F.substr(text, first + 1, s["start"] - first))
-        near = before.rlike(rf"(?:^|[^a-z])(?:{CONTEXT[kind]})")
+        after = F.lower(F.substr(text, s["end"] + 1, F.lit(REACH)))
+        word = rf"(?:^|[^a-z])(?:{CONTEXT[kind]})"
+        near = before.rlike(word) | after.rlike(word)
         return F.struct(
             s["start"].alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),

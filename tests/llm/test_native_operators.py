@@ -126,6 +126,12 @@ def test_personal_data_of_the_method(spark):
     assert [k for k, _ in found[5]].count("ssn") == 1 and [k for k, _ in found[5]].count("local_phone") == 2
 
 
+def test_words_behind_a_number_support_it(spark):
+    texts = ["123-45-6789 (SSN)", "555 123 4567 tel.", "123-45-6789 " + "x" * 40 + " ssn", "123-45-6789 classn", "555 123 4567"]
+    found = {r.doc_id: [s.kind for s in r.spans] for r in pii.find_pii(table(spark, list(enumerate(texts)))).collect()}
+    assert found == {0: ["ssn"], 1: ["local_phone"], 2: [], 3: [], 4: []}
+
+
 def test_redaction(spark):
     rows = pii.redact(pii.find_pii(table(spark, [(1, "to é@x.yz a@b.cd!"), (2, None), (3, "no")]))).collect()
     assert {r.doc_id: r.clean_text for r in rows} == {1: "to é@x.yz [email]!", 2: "", 3: "no"}
