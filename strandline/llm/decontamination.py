@@ -71,7 +71,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     One row per document and item: ``doc_id, text_hash, item_id, n_shingles`` (of the item)``, n_common,
     containment``. Words are runs of letters and digits in lower case; shingles are five words, and a
-    text of fewer words is one shingle. Texts without words, and NULL, hold nothing and are held by
+    text of fewer words is one shingle, so an item of fewer than five words is found only in a document
+    of exactly those words; it is not searched for in longer ones. Texts without words, and NULL, hold nothing and are held by
     nothing. Rows equal in doc_id and text count once, as do items equal in id and text; further columns
     are not looked at; either table may be empty.
     """
