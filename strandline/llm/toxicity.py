@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from strandline.llm.shared import settle
 
 MOST_LABELLED = 30_000  # labelled documents the model is fitted on; those of the smallest hashes
-MOST_FEATURES = 50_000  # features in the model, the most certain ones
+MOST_FEATURES = 50_000  # features in the model, of those that are certain the most frequent in toxic documents
 STARTS = (4, 5, 6)  # lengths of the beginnings that stand in for rare tokens, in bytes
 SUPPORT, CERTAIN = 5, 4.0  # documents, and deviations from the prior, that make a feature count
 PRIOR, LEAST = 500.0, 0.5  # weight of the prior, in tokens, and what any feature has of it at least
@@ -147,6 +147,16 @@ def log_odds(rows: list[tuple[bytes, int, int]]) -> dict[bytes, float]:
     return out
 
 
+def may_count(clean: Column, toxic: Column, n0: int, n1: int) -> Column:
+    """The test of ``log_odds`` on columns; a little wider, so that rounding drops nothing."""
+    seen = clean + toxic
+    prior = LEAST + PRIOR * seen / max(n0 + n1, 1)
+    rest1, rest0 = (F.greatest(n + PRIOR - x - prior, F.lit(1.0)) for n, x in ((n1, toxic), (n0, clean)))
+    value = F.log((toxic + prior) / rest1) - F.log((clean + prior) / rest0)
+    deviations = CERTAIN * F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    return (seen >= SUPPORT) & (value >= deviations - 1e-9) & (value >= LEAST_GAIN - 1e-9)
+
+
 def fit_extreme(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """L and log K by moments of the best segments' scores, less what their length explains."""
     some = best > 0
@@ -199,9 +209,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counted = sample.mapInArrow(count_features, "feature binary, " + ", ".join(f"{c} long" for c in COUNTS))
     counted = counted.groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
     toxic = F.col("toxic_0") + F.col("toxic_1")
-    # Only features that lean to toxic can score; the most frequent of them, a bounded number.
+    # Only features that lean to toxic can score. The bound is on those that are certain in a half or in both.
     counted = counted.filter((toxic > 0) & (toxic + F.col("clean_0") + F.col("clean_1") >= SUPPORT))
-    rows = counted.orderBy(F.col("feature") != F.lit(b""), toxic.desc(), "feature").limit(MOST_FEATURES).collect()
+    counted = settle(counted, "features")
+    every = F.col("feature") == F.lit(b"")
+    n = counted.filter(every).first() or dict.fromkeys(COUNTS, 0)
+    certain = may_count(F.col("clean_0") + F.col("clean_1"), toxic, n["clean_0"] + n["clean_1"], n["toxic_0"] + n["toxic_1"])
+    for h in (0, 1):
+        certain |= may_count(F.col(f"clean_{h}"), F.col(f"toxic_{h}"), n[f"clean_{h}"], n[f"toxic_{h}"])
+    rows = counted.filter(every | certain).orderBy(F.col("feature") != F.lit(b""), toxic.desc(), "feature").limit(MOST_FEATURES).collect()
     halves = [Model(log_odds([(bytes(r.feature), r[f"clean_{h}"], r[f"toxic_{h}"]) for r in rows])) for h in (0, 1)]
     model = Model(log_odds([(bytes(r.feature), r.clean_0 + r.clean_1, r.toxic_0 + r.toxic_1) for r in rows]))
 

@@ -204,6 +204,14 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in out)
 
 
+def test_toxicity_bounds_certain_features_only(spark, monkeypatch):
+    rows, labels = toxic_corpus(random.Random(4), 900)
+    docs, marks = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = toxicity.fit(docs, marks)
+    monkeypatch.setattr(toxicity, "MOST_FEATURES", 40)  # fewer than the neutral words
+    assert 0 < len(whole[0]) < 40 and toxicity.fit(docs, marks) == whole
+
+
 def test_toxicity_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.digest(toxicity.score_toxicity(table(spark, AWKWARD), none)).filter("predicted = 1").count() == 0
