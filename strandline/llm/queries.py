@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import licenses, pii, repeats, toxicity
+from strandline.llm import bpe, licenses, pii, repeats, toxicity
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
 from strandline.llm.language_model import score_documents
@@ -23,6 +23,14 @@ def mixed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenized(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    return bpe.digest(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text"), path))
+
+
 QUERIES = {
     "op1_pii": lambda spark, folder: pii.digest(pii.find_pii(read_documents(spark, folder))),
     "op2_decontamination": lambda spark, folder: find_leaks(
@@ -38,6 +46,7 @@ QUERIES = {
         toxicity.score_toxicity(read_documents(spark, folder), read_documents(spark, folder, "labels"))
     ),
     "op10_suffix_array_dedup": lambda spark, folder: repeats.digest(repeats.remove_repeats(read_documents(spark, folder))),
+    "op11_byte_bpe": tokenized,
 }
 
 ORACLES = {
