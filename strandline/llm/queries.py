@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandline.llm import bpe, licenses, pii, repeats, toxicity
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
+from strandline.llm.hard_negatives import hard_negatives
 from strandline.llm.language_model import score_documents
 from strandline.llm.mixing import mix
 from strandline.llm.near_dedup import Rule, near_duplicates
@@ -31,6 +33,12 @@ def tokenized(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text"), path))
 
 
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_documents(spark, folder, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("id") % 100 == 0).drop("anchor_row", "positive_row", "negative_row")
+
+
 QUERIES = {
     "op1_pii": lambda spark, folder: pii.digest(pii.find_pii(read_documents(spark, folder))),
     "op2_decontamination": lambda spark, folder: find_leaks(
@@ -47,9 +55,29 @@ QUERIES = {
     ),
     "op10_suffix_array_dedup": lambda spark, folder: repeats.digest(repeats.remove_repeats(read_documents(spark, folder))),
     "op11_byte_bpe": tokenized,
+    "op12_hard_negatives": mined_negatives,
 }
 
 ORACLES = {
+    "op12_hard_negatives": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.n AS a, a.vec_id AS anchor_id, a.label AS anchor_label, b.n AS b, b.vec_id, b.label,
+                   list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.n <> b.n AND len(a.q) = len(b.q)
+        ), p AS (
+            SELECT a, anchor_id, b AS p, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.a, p ORDER BY score DESC, vec_id)::INT AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.a = s.a AND s.label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
     "op2_decontamination": r"""
         WITH w AS (
             SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
