@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import bpe, licenses, pii, repeats, toxicity
+from strandline.llm.collocations import collocations
 from strandline.llm.decontamination import find_leaks
 from strandline.llm.exact_dedup import find_duplicates
 from strandline.llm.hard_negatives import hard_negatives
@@ -56,9 +57,41 @@ QUERIES = {
     "op10_suffix_array_dedup": lambda spark, folder: repeats.digest(repeats.remove_repeats(read_documents(spark, folder))),
     "op11_byte_bpe": tokenized,
     "op12_hard_negatives": mined_negatives,
+    "op13_collocations": lambda spark, folder: collocations(read_documents(spark, folder)),
 }
 
 ORACLES = {
+    "op13_collocations": r"""
+        WITH t AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), p AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM t
+        ), f AS (
+            SELECT lang, size, phrase, count(*) AS f FROM (
+                SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+                FROM p, range(1, 4) s(size))
+            GROUP BY ALL
+        ), n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM p GROUP BY 1), c AS (
+            SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10
+        ), cut AS (
+            SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail
+            FROM c, range(1, 3) s(k) WHERE k < size
+        ), scored AS (
+            SELECT cut.lang, cut.size, cut.phrase, a, h.f AS l, t.f AS r, (1000000::HUGEINT * a * a // (h.f::HUGEINT * t.f))::BIGINT AS score
+            FROM cut JOIN f h ON cut.lang = h.lang AND head = h.phrase JOIN f t ON cut.lang = t.lang AND tail = t.phrase
+            QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1
+        ), held AS (
+            SELECT lang, phrase, max(f) AS f FROM (
+                SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, a AS f FROM c, range(1, 3) s(i) WHERE size = 3)
+            GROUP BY 1, 2
+        )
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase)::INT AS rank, s.phrase, a, l, r, n, score
+        FROM scored s JOIN n ON s.lang = n.lang LEFT JOIN held ON size = 2 AND s.lang = held.lang AND s.phrase = held.phrase
+        WHERE held.f IS NULL OR 100 * held.f < 50 * a
+        QUALIFY rank <= 2000
+    """,
     "op12_hard_negatives": r"""
         WITH v AS (
             SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
