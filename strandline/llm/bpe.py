@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -43,19 +44,20 @@ ADDED = [
     (0x116D0, 0x116E3), (0x11BC0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x16139), (0x16D40, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5FA),
 ]
 
-SHORT_WORDS = """
-    WITH RECURSIVE t(word, pos, id, open) AS (
-        SELECT word, pos, id, true FROM start
+SHORT_WORDS = f"""
+    WITH RECURSIVE t(word, pos, id, after, open) AS (
+        SELECT word, pos, id, lead(id) OVER (PARTITION BY word ORDER BY pos), true FROM start
         UNION ALL
-        (WITH pairs AS (
-            SELECT word, pos, id, lag(pos) OVER w AS before, lead(id) OVER w AS after
-            FROM t WHERE open WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ), best AS (
-            SELECT word, min(struct_pack(made, pos)) AS m FROM pairs JOIN merges ON pairs.id = l AND after = r GROUP BY word
+        (WITH best AS (
+            SELECT word, min(made::BIGINT * {LONG} + pos) AS least FROM t JOIN merges ON id = l AND after = r WHERE open GROUP BY word
+        ), taken AS (
+            SELECT word, least % {LONG} AS place, (least // {LONG})::INT AS made FROM best
+        ), left_over AS (
+            SELECT t.word, CASE WHEN pos > place THEN pos - 1 ELSE pos END AS pos, CASE WHEN pos = place THEN made ELSE id END AS id,
+                   place IS NOT NULL AS open
+            FROM t LEFT JOIN taken ON t.word = taken.word WHERE t.open AND (place IS NULL OR pos <> place + 1)
         )
-        SELECT pairs.word, pos, CASE WHEN pos = m.pos THEN m.made ELSE id END, m IS NOT NULL
-        FROM pairs LEFT JOIN best ON pairs.word = best.word
-        WHERE m IS NULL OR before IS DISTINCT FROM m.pos)
+        SELECT word, pos, id, lead(id) OVER (PARTITION BY word ORDER BY pos), open FROM left_over)
     )
     SELECT word, pos, id FROM t WHERE NOT open ORDER BY word, pos
 """
@@ -92,8 +94,9 @@ LONG_WORDS = """
     SELECT word, pos, id FROM t WHERE id >= 0 ORDER BY word, pos
 """
 
+# A byte is a character here, of the same number, as texts can be aggregated in order and bytes can't.
 DECODED = """
-    SELECT text, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes FROM ids JOIN vocabulary USING (id) GROUP BY text ORDER BY text
+    SELECT text, string_agg(chars, '' ORDER BY pos) AS chars FROM ids JOIN vocabulary USING (id) GROUP BY text ORDER BY text
 """
 
 
@@ -116,6 +119,10 @@ def later_letters() -> str:
     return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in found) + "]" if found else r"(?!)"
 
 
+# Where such code points may be, found much faster.
+_HIGH = re.compile("[\u0500-\U0010ffff]")
+
+
 class Cutter:
     """Pieces of texts by a pattern whose classes are those of Unicode 16.0."""
 
@@ -124,7 +131,7 @@ class Cutter:
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pieces in order, in lists of PORTION at most."""
-        if text.isascii() or not self.later.search(text):
+        if not _HIGH.search(text) or not self.later.search(text):
             if len(text) <= PORTION:
                 yield self.pattern.findall(text)
                 return
@@ -271,7 +278,7 @@ class Decoder:
     """Bytes of lists of ids; one for each task."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        table = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]})
+        table = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1") for t in ranks]})
         self.duck = _duck()
         self.duck.register("table_of_tokens", table)
         self.duck.execute("CREATE TABLE vocabulary AS SELECT * FROM table_of_tokens")
@@ -285,8 +292,8 @@ class Decoder:
             ids = pa.table({"text": text, "pos": np.arange(len(text), dtype=np.int32), "id": np.concatenate(parts)})
             self.duck.register("ids", ids)
             found = self.duck.sql(DECODED).to_arrow_table()
-            for i, body in zip(found["text"].to_pylist(), found["bytes"].to_pylist()):
-                out[i] += body
+            for i, chars in zip(found["text"].to_pylist(), found["chars"].to_pylist()):
+                out[i] += chars.encode("latin-1")
         return out
 
 

@@ -37,6 +37,7 @@ SLOT_BITS, MAP_BITS = 16, 25
 SLOTS = 1 << SLOT_BITS
 PORTION = 1 << 20  # words of a scan counted at once
 BUDGET = 1 << 20  # suffixes of a group
+SHARES = 32  # of a language, ranked by themselves before all are
 NO_LANGUAGE = "und"
 # A-Z become lower case, what ends a piece a comma, a tab a blank.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 44 if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c for c in range(256))
@@ -265,6 +266,11 @@ def collocations(docs: DataFrame, words: int = 3, least: int = 10, inside: int =
     held = held.select("lang", joined(F.col("at"), F.col("n")).alias("phrase"), "longer").groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = best.join(held, ["lang", "phrase"], "left").filter(F.col("longer").isNull() | (100 * F.col("longer") < inside * F.col("a")))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # A language may hold most of the phrases: what is first in none of its shares is not brought together.
+    best_first = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    in_share = Window.partitionBy("lang", "share").orderBy(*best_first)
+    first = kept.withColumn("share", share).withColumn("rank", F.row_number().over(in_share)).filter(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*best_first)
+    ranked = first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
