@@ -76,30 +76,43 @@ def wide_sum(whole: Column | str) -> Column:
     return F.sum(_col(whole).cast("decimal(20,0)"))
 
 
+# A whole number is added in two halves, of the bits above and below this one.
+_HALF = 20
+
+
 class Total:
     """A sum of amounts, possibly made in steps, that is exact wherever it can be and never rounds a row.
 
     ``whole`` is the amount as a whole number of ``1 / unit``, NULL where it is none. As long as all amounts
     of a group are whole, whole numbers are added, so the sum does not depend on the order of the
     rows, hence not on partitioning. Otherwise, finer fractions or NaN among them, it is the plain sum.
+
+    The halves of the whole numbers are added as bigints, which stay inside generated code; the total may be a
+    million times what a bigint holds. A group beyond that, or of more than 8 * 10^12 rows, gets the plain sum.
     """
 
     def __init__(self, name: str):
-        self.whole, self.plain, self.odd = (f"_{name}_{part}" for part in ("whole", "plain", "odd"))
+        self.high, self.low, self.plain, self.odd = (f"_{name}_{part}" for part in ("high", "low", "plain", "odd"))
 
     def start(self, amount: Column | str, whole: Column) -> list[Column]:
         """Aggregates of the first step."""
         amount = _col(amount)
         return [
-            wide_sum(whole).alias(self.whole),
+            F.try_sum(F.shiftright(whole, _HALF)).alias(self.high),
+            F.try_sum(whole.bitwiseAND(F.lit((1 << _HALF) - 1))).alias(self.low),
             F.sum(amount).alias(self.plain),
             F.count_if(amount.isNotNull() & whole.isNull()).alias(self.odd),
         ]
 
     def again(self) -> list[Column]:
         """Aggregates of a further step over the outcome of the one before."""
-        return [F.sum(c).alias(c) for c in (self.whole, self.plain, self.odd)]
+        # A half that did not fit is NULL, which a sum would pass over: it makes the group an odd one instead.
+        lost = F.col(self.plain).isNotNull() & (F.col(self.odd) == 0) & (F.col(self.high).isNull() | F.col(self.low).isNull())
+        odd = F.sum(F.when(lost, 1).otherwise(F.col(self.odd))).alias(self.odd)
+        return [*(F.try_sum(c).alias(c) for c in (self.high, self.low)), F.sum(self.plain).alias(self.plain), odd]
 
     def value(self, unit: int = 100) -> Column:
         """The sum, from the columns of the last step."""
-        return F.when(F.col(self.odd) == 0, F.col(self.whole).cast("double") / unit).otherwise(F.col(self.plain))
+        whole = F.col(self.high).cast("decimal(20,0)") * (1 << _HALF) + F.col(self.low)
+        exact = (F.col(self.odd) == 0) & F.col(self.high).isNotNull() & F.col(self.low).isNotNull()
+        return F.when(exact, whole.cast("double") / unit).otherwise(F.col(self.plain))

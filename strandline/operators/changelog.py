@@ -46,13 +46,18 @@ def _changed_keys(changes: DataFrame, keys: Sequence[str], commits: int | None)
     return found if commits == 1 else found.distinct()
 
 
-def as_of(base: DataFrame, changes: DataFrame, keys: Sequence[str], commits: int | None = None) -> DataFrame:
+def as_of(
+    base: DataFrame, changes: DataFrame, keys: Sequence[str], commits: int | None = None, buckets: int | None = None
+) -> DataFrame:
     """The table after ``changes`` (made by so many ``commits``, where known).
 
     The base is only anti-joined with the changed keys: while these are few, Spark
-    broadcasts them and the base is read without a shuffle. Filters on any column
-    reach the scan of the base, filters on keys reach both scans.
+    broadcasts them and the base is read without a shuffle. If the base lies in hash ``buckets`` of its
+    keys, the changes are dealt into the same ones, so that it is not shuffled beyond a broadcast either.
+    Filters on any column reach the scan of the base, filters on keys reach both scans.
     """
+    if buckets:
+        changes = changes.repartition(buckets, *keys)
     untouched = base.join(_changed_keys(changes, keys, commits), list(keys), "left_anti")
     current = latest_changes(changes, keys, commits).where(F.col(OP) != DELETE)
     return untouched.select(*base.columns).unionByName(current.select(*base.columns))
@@ -164,6 +169,46 @@ def merged(state: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Se
     )
 
 
+GONE = "_gone"
+
+
+def marked(feed: DataFrame, deletes: Column | str | None, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A feed's rows as states of their keys, with ``_gone`` where a row deletes.
+
+    Such a row is a tombstone: it keeps its key and its place in ``order`` and nothing else. Kept in the
+    table like any row, it stands against older rows that arrive later. A NULL condition deletes nothing.
+    """
+    if deletes is None:
+        gone = F.lit(False)
+    else:
+        gone = F.coalesce(F.expr(deletes) if isinstance(deletes, str) else deletes, F.lit(False))
+    kept = {*keys, *order}
+    values = [F.col(c) if c in kept else F.when(~gone, F.col(c)).alias(c) for c in feed.columns]
+    return feed.select(*values, gone.alias(GONE))
+
+
+def live(state: DataFrame) -> DataFrame:
+    """The rows that exist: without tombstones and their mark."""
+    return state.where(~F.col(GONE)).drop(GONE)
+
+
+def overtaken(state: DataFrame, feed: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Changes by which a feed (one row per key) replaces what is not newer; equal ``order`` goes to the feed.
+
+    The state is cut down to the feed's keys and narrowed to keys, order and the columns that the feed lacks,
+    which stay as they are, so nothing else of the table is read. Columns that the table lacks are ignored.
+    A NULL in ``order`` counts as older than any value.
+    """
+    given = feed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name in feed.columns])
+    absent = [c for c in state.columns if c not in feed.columns]
+    known = state.join(given.select(*keys), list(keys), "left_semi")
+    known = known.select(*keys, F.struct(*order).alias("_held"), *absent)
+    pairs = given.join(known, list(keys), "left")
+    fresh = F.col("_held").isNull()
+    kept = pairs.where(fresh | (F.struct(*order) >= F.col("_held")))
+    return kept.select(*state.columns, F.when(fresh, INSERT).otherwise(UPDATE).alias(OP))
+
+
 def restored(
     changes_since: DataFrame, then: DataFrame, keys: Sequence[str], commits: int | None = None
 ) -> DataFrame:

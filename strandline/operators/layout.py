@@ -173,3 +173,148 @@ def cluster(
     )
     (writer.partitionBy(*partitions) if partitions else writer).parquet(target)
     return spark.read.schema(rows.schema).parquet(target)
+
+
+# -- layout of part of a dataset: files that are as they should be stay where they are ------------------------
+
+
+def list_files(spark: SparkSession, source: str) -> DataFrame:
+    """The data files of a dataset: path, bytes, the root that partition folders count from, and the URI rows know them by."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    found = found.select("path", F.col("length").alias("bytes"), F.lit(source).alias("root"), F.col("_metadata.file_path").alias("uri"))
+    return found.where(F.col("path").endswith(".parquet"))
+
+
+def read_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """The rows of the listed files; names of files reach the driver, as with any listing that Spark makes.
+
+    Without partition folders all files make one scan, which packs small ones together wherever they lie.
+    """
+    roots: dict[str, list[str]] = {}
+    for row in listing.select("root", "path").orderBy("root", "path").toLocalIterator():
+        roots.setdefault(row.root, []).append(row.path)
+    if not any(partition_columns(spark, root) for root in roots):
+        roots = {"": [p for paths in roots.values() for p in paths]} if roots else {}
+    out = None
+    for root, paths in roots.items():
+        reader = spark.read.option("basePath", root) if root else spark.read
+        rows = reader.parquet(*paths)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no files are listed")
+    return out
+
+
+def save_list(listing: DataFrame, folder: str) -> DataFrame:
+    """Write a listing down and go on from there."""
+    listing.coalesce(1).write.parquet(f"{folder}/files")
+    return open_list(listing.sparkSession, folder)
+
+
+def open_list(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("path string, bytes bigint, root string, uri string").parquet(f"{folder}/files")
+
+
+def _listed_partitions(spark: SparkSession, listing: DataFrame) -> list[str]:
+    roots = [r.root for r in listing.select("root").distinct().collect()]
+    return max((partition_columns(spark, r) for r in roots), key=len, default=[])
+
+
+def compact_small(
+    spark: SparkSession, listing: DataFrame, target: str, target_bytes: int = TARGET_BYTES, full: float = 0.75
+) -> DataFrame:
+    """Rewrite files of less than ``full`` of the wanted size into files of that size; returns the new listing.
+
+    Full files stay where they are and are not opened, so the cost grows with what has come in since the last time
+    and not with the dataset. Small files are packed by the scan, largest first, without a shuffle; those of a
+    partitioned dataset by partition. A single small file (per dataset) is left alone: rewriting it gains nothing.
+    The new files go to ``target/data``, the listing to ``target/files``; nothing is deleted.
+    """
+    small = listing.where(F.col("bytes") < int(full * target_bytes))
+    if small.count() < 2:
+        return save_list(listing, target)
+    packing = {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+    }
+    partitions = _listed_partitions(spark, listing)
+    with settings(spark, packing):
+        rows = read_files(spark, small)
+        with sized_shuffles(rows):
+            write_like(rows, f"{target}/data", partitions)
+    stay = listing.join(small.select("uri"), "uri", "left_anti").select(*listing.columns)
+    return save_list(stay.unionByName(list_files(spark, f"{target}/data")), target)
+
+
+def crowded(ranges: list[tuple], most_depth: int) -> list:
+    """Which of (name, low, high) overlap so that more than ``most_depth`` cover one point. A sweep over the ends.
+
+    Ranges of a single value can't become narrower and neither count nor are named; nor do empty ones (NULL).
+    """
+    wide = [r for r in ranges if r[1] is not None and r[1] != r[2]]
+    points = sorted({x for _, low, high in wide for x in (low, high)})
+    place = {x: i for i, x in enumerate(points)}
+    change = [0] * (len(points) + 1)
+    for _, low, high in wide:
+        change[place[low]] += 1
+        change[place[high] + 1] -= 1
+    depth, deep = 0, [0]  # deep[i]: how many of the first i points lie too deep
+    for i in range(len(points)):
+        depth += change[i]
+        deep.append(deep[-1] + (depth > most_depth))
+    return [name for name, low, high in wide if deep[place[high] + 1] > deep[place[low]]]
+
+
+def recluster(
+    spark: SparkSession,
+    listing: DataFrame,
+    target: str,
+    column: str,
+    target_bytes: int = TARGET_BYTES,
+    most_depth: int = 2,
+    files: int | None = None,
+) -> DataFrame:
+    """Sort by ``column`` only the files whose ranges overlap too deeply; returns the new listing.
+
+    Each file's range is read from the column alone; the ranges, a row per file, are swept on the driver. What is
+    sorted already, or was by an earlier call, stays where it is. A value that fills whole files is spread over as
+    many as it needs. Where new data falls everywhere, everything overlaps and all of it is rewritten.
+    """
+    stats = file_stats(read_files(spark, listing).select(column, "_metadata"), [column])
+    ranges = [(r.file, r[f"min_{column}"], r[f"max_{column}"]) for r in stats.drop("bytes", "rows").collect()]
+    deep = crowded(ranges, most_depth)
+    if not deep:
+        return save_list(listing, target)
+    mark = spark.createDataFrame([(u,) for u in deep], "uri string")
+    moved = listing.join(mark, "uri", "left_semi").select(*listing.columns)
+    rows = read_files(spark, moved)
+    partitions = _listed_partitions(spark, listing)
+    n = files or max(1, math.ceil(moved.agg(F.sum("bytes")).first()[0] / target_bytes))
+    order = [*partitions, column]
+    ordered = rows.withColumn("_spread", F.rand(7)).repartitionByRange(n, *order, "_spread")
+    writer = ordered.sortWithinPartitions(*order).drop("_spread").write
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{target}/data")
+    stay = listing.join(mark, "uri", "left_anti").select(*listing.columns)
+    return save_list(stay.unionByName(list_files(spark, f"{target}/data")), target)
+
+
+# Readers of this kind can answer counts and ranges from the footers of the files.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def dataset_ranges(spark: SparkSession, source: str, columns: Sequence[str] = ()) -> DataFrame:
+    """One row for a dataset: rows, and the range of each given column, from the footers of its files.
+
+    No row is read for numbers, booleans and dates; for other kinds, whose footers may hold cut-off values, Spark
+    scans the columns. The frame keeps its way of reading, whatever the session is set to afterwards.
+    """
+    ranges = []
+    for c in columns:
+        ranges += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    with settings(spark, FOOTERS):
+        rows = spark.read.parquet(source)
+        out = rows.agg(F.count(F.lit(1)).alias("rows"), *ranges)
+        out._jdf.queryExecution().optimizedPlan()  # decided here and now
+    return out

@@ -4,6 +4,9 @@
 ``base/_base=N``      the whole table at version N (first load, replacement, or a later fold)
 ``log/_version=N``    one row describing commit N or the base at N; written last
 
+A large base lies in hash buckets of its keys, so that joins with changes, feeds and other versions never
+shuffle it, however many keys have changed: only the other side is dealt out, into the same buckets.
+
 A commit is visible once its log row is written. What a lost job left behind belongs to no
 listed version, is ignored by readers and replaced by the next commit. There is one writer
 at a time; no isolation between writers is offered.
@@ -11,7 +14,9 @@ at a time; no isolation between writers is offered.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -25,12 +30,14 @@ from strandline.operators import changelog as cl
 from strandline.operators import layout
 from strandline.operators.layout import TARGET_BYTES
 from strandline.session import new_folder
-from strandline.tables import dataset_bytes, sized_shuffles
+from strandline.tables import PARTITION_BYTES, dataset_bytes, plan_bytes, sized_shuffles
 
 LOG_SCHEMA = (
     "_version bigint, kind string, operation string, committed timestamp, columns string, keys string, "
-    "whole boolean, floor boolean, source_path string, source_version bigint, stream string, batch bigint"
+    "whole boolean, floor boolean, source_path string, source_version bigint, stream string, batch bigint, buckets int"
 )
+# A base of more than this is kept in hash buckets of its keys, each of about as much.
+BUCKET_BYTES = PARTITION_BYTES
 MINIMUM_RETENTION = timedelta(days=7)
 
 
@@ -68,6 +75,7 @@ class Snapshot:
     source_version: int | None
     last_whole: int
     batch: int | None = None
+    buckets: int | None = None
 
 
 class VersionedTable:
@@ -90,8 +98,8 @@ class VersionedTable:
         """Version 0: the first load, possibly without rows."""
         table = cls(spark, path)
         table._refuse_existing()
-        table._write_base(0, rows, keys, check_keys)
-        table._log(0, "commit", "CREATE", at, rows.schema, keys, whole=True, floor=True)
+        buckets = table._write_base(0, rows, keys, check_keys)
+        table._log(0, "commit", "CREATE", at, rows.schema, keys, whole=True, floor=True, buckets=buckets)
         return table
 
     def _refuse_existing(self) -> None:
@@ -149,6 +157,7 @@ class VersionedTable:
             F.max("source_version").alias("source_version"),
             F.max(F.when(is_commit & F.col("whole"), F.col("_version"))).alias("last_whole"),
             F.max(F.when(F.col("stream") == F.lit(stream), F.col("batch"))).alias("batch"),
+            F.max_by("buckets", F.when(F.col("whole") & upto, F.col("_version"))).alias("buckets"),
         ).first()
         wanted = found.head if version is None else version
         if not 0 <= wanted <= found.head:
@@ -165,6 +174,7 @@ class VersionedTable:
             found.source_version,
             found.last_whole,
             found.batch,
+            found.buckets,
         )
 
     def changes(self, after: int, upto: int, schema: T.StructType) -> DataFrame:
@@ -190,17 +200,47 @@ class VersionedTable:
             return rows.select(
                 "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
             ).select(*schema.names)
-        return self.spark.read.schema(schema).parquet(self._base_path(snapshot.base))
+        path = self._base_path(snapshot.base)
+        if snapshot.buckets:
+            return self.spark.table(self._bucketed(path, schema, snapshot.keys, snapshot.buckets))
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _bucketed(self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int) -> str:
+        """The name under which the session's catalog knows the files of a base as buckets.
+
+        Files alone do not say that they are buckets, so each session enters them once, as an external table.
+        """
+        columns = self.spark.createDataFrame([], schema)._jdf.schema().toDDL()
+        name = "buckets_" + hashlib.sha256(f"{path}|{columns}|{keys}|{buckets}".encode()).hexdigest()[:32]
+        quoted, place = ", ".join(f"`{k}`" for k in keys), path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({quoted}) SORTED BY ({quoted}) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        return name
 
-    def _state(self, snapshot: Snapshot) -> DataFrame:
+    def _state(self, snapshot: Snapshot, only: DataFrame | None = None) -> DataFrame:
+        """The rows of a version; with ``only`` those whose key is among these, where that saves a shuffle of the base."""
         base = self._base(snapshot, snapshot.schema)
+        if only is not None and snapshot.buckets:
+            kinds = {k: snapshot.schema[k].dataType for k in snapshot.keys}  # another type would hash to another bucket
+            only = only.select(*(F.col(k).cast(t).alias(k) for k, t in kinds.items())).repartition(snapshot.buckets, *kinds)
+            base = base.join(only, list(snapshot.keys), "left_semi")
         if snapshot.version == snapshot.base:
             return base
         changes = self.changes(snapshot.base, snapshot.version, snapshot.schema)
-        return cl.as_of(base, changes, snapshot.keys, snapshot.version - snapshot.base)
-
-    def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
-        return self._state(self.snapshot(version, as_of))
+        if only is not None and snapshot.buckets:
+            changes = changes.join(only, list(snapshot.keys), "left_semi")
+        return cl.as_of(base, changes, snapshot.keys, snapshot.version - snapshot.base, snapshot.buckets)
+
+    def read(
+        self, version: int | None = None, as_of: datetime | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
+        """The rows of a version; with ``only`` those whose key is among the keys of that frame."""
+        snapshot = self.snapshot(version, as_of)
+        if only is None:
+            return self._state(snapshot)
+        return self._state(snapshot, only).join(only.select(*snapshot.keys).distinct(), list(snapshot.keys), "left_semi")
 
     def commit_rows(self, version: int) -> DataFrame:
         """The changes of one commit, as written."""
@@ -250,6 +290,7 @@ class VersionedTable:
         source_version: int | None = None,
         stream: str | None = None,
         batch: int | None = None,
+        buckets: int | None = None,
     ) -> None:
         when = F.current_timestamp() if at is None else _moment(at)
         row = self.spark.range(0, 1, 1, 1).select(
@@ -264,6 +305,7 @@ class VersionedTable:
             F.lit(source_version).cast("bigint").alias("source_version"),
             F.lit(stream).cast("string").alias("stream"),
             F.lit(batch).cast("bigint").alias("batch"),
+            F.lit(buckets).cast("int").alias("buckets"),
         )
         row.write.mode("overwrite").parquet(f"{self.path}/log/_version={version}/entry={kind}")
 
@@ -284,11 +326,26 @@ class VersionedTable:
         if worst.n is not None and worst.n > 1:
             raise KeyViolation(f"one commit changes a key of {list(keys)} {worst.n} times")
 
-    def _write_base(self, version: int, rows: DataFrame, keys: Sequence[str], check_keys: bool) -> None:
-        with sized_shuffles(rows):
-            rows.write.mode("overwrite").parquet(self._base_path(version))
+    def _write_base(
+        self, version: int, rows: DataFrame, keys: Sequence[str], check_keys: bool, dealt: int | None = None
+    ) -> int | None:
+        """Write a base and say in how many buckets, if any; ``dealt`` rows lie in so many already."""
+        path, size = self._base_path(version), plan_bytes(rows)
+        buckets = dealt or (math.ceil(size / BUCKET_BYTES) if size > BUCKET_BYTES else None)
+        if buckets:
+            # The write goes through the catalog, which is how Spark writes buckets; the entry is the one that reads use.
+            name = self._bucketed(path, rows.schema, keys, buckets)
+            rows = rows if dealt else rows.repartition(buckets, *keys)
+            writer = rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+            writer.option("path", path).saveAsTable(name)
+            written = self.spark.table(name)
+        else:
+            with sized_shuffles(rows):
+                rows.write.mode("overwrite").parquet(path)
+            written = self.spark.read.schema(rows.schema).parquet(path)
         if check_keys:
-            self._check_keys(self.spark.read.schema(rows.schema).parquet(self._base_path(version)), keys)
+            self._check_keys(written, keys)
+        return buckets
 
     def _commit(
         self,
@@ -392,22 +449,38 @@ class VersionedTable:
         batch: int | None = None,
         evolve: bool = False,
         control: Sequence[str] = (),
+        check_keys: bool = True,
     ) -> int:
         """All clauses in one commit. A micro-batch that was committed before changes nothing.
 
+        ``check_keys=False`` says that the source has one row per key.
+
         With ``evolve`` source columns that the table lacks are added to it, but for the ``control``
         columns, which only conditions use; rows that the merge does not touch get NULL in them.
         """
         head = self.snapshot(stream=stream)
         if head.batch is not None and batch <= head.batch:
             return head.head
-        state, schema = self._state(head), head.schema
+        state, schema = self._state(head, only=source), head.schema
         if evolve:
             schema = self._fitted(source.drop(*control), head, evolve)[1]
             added = schema.fields[len(head.schema.fields) :]
             state = state.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in added))
         rows = cl.merged(state, source, head.keys, clauses).hint("rebalance")
-        return self._commit(head, rows, "MERGE", at, schema, check_keys=True, stream=stream, batch=batch)
+        return self._commit(head, rows, "MERGE", at, schema, check_keys=check_keys, stream=stream, batch=batch)
+
+    def overtake(
+        self, feed: DataFrame, order: Sequence[str], stream: str | None = None, batch: int | None = None
+    ) -> int:
+        """Commit a feed of one row per key (the caller's word), each of which replaces a row that is not newer.
+
+        A micro-batch that was committed before changes nothing.
+        """
+        head = self.snapshot(stream=stream)
+        if head.batch is not None and batch <= head.batch:
+            return head.head
+        rows = cl.overtaken(self._state(head, only=feed), feed, head.keys, order).hint("rebalance")
+        return self._commit(head, rows, "MERGE", None, stream=stream, batch=batch)
 
     def restore(self, version: int, at: datetime | None = None) -> int:
         """Bring back a version as a new commit; the columns become that version's columns.
@@ -419,7 +492,7 @@ class VersionedTable:
         if head.last_whole > version:
             return self._commit_whole(head, self._state(then), "RESTORE", at, check_keys=False)
         changes = self.changes(version, head.head, then.schema)
-        rows = cl.restored(changes, self._state(then), head.keys, head.head - version)
+        rows = cl.restored(changes, self._state(then, only=changes), head.keys, head.head - version)
         return self._commit(head, rows.hint("rebalance"), "RESTORE", at, then.schema)
 
     def replace(self, rows: DataFrame, at: datetime | None = None, check_keys: bool = True) -> int:
@@ -434,10 +507,10 @@ class VersionedTable:
         self, head: Snapshot, rows: DataFrame, operation: str, at: datetime | None, check_keys: bool
     ) -> int:
         version = head.head + 1
-        self._write_base(version, rows, head.keys, check_keys)
+        buckets = self._write_base(version, rows, head.keys, check_keys)
         no_changes = cl.inserted(rows).where(F.lit(False))
         no_changes.write.mode("overwrite").parquet(f"{self.path}/rows/_version={version}")
-        self._log(version, "commit", operation, at, rows.schema, head.keys, whole=True)
+        self._log(version, "commit", operation, at, rows.schema, head.keys, whole=True, buckets=buckets)
         return version
 
     def fold(self, version: int | None = None, floor: bool = False) -> int:
@@ -445,13 +518,17 @@ class VersionedTable:
         snapshot = self.snapshot(version)
         if snapshot.version == 0:  # already a base, and already the floor
             return 0
+        buckets = snapshot.buckets
         if snapshot.version != snapshot.base:
             state = self._state(snapshot)
-            with sized_shuffles(state):
-                state.write.mode("overwrite").parquet(self._base_path(snapshot.version))
+            # While about as many buckets will do, what each holds stays together and the base is not shuffled.
+            fits = buckets and buckets / 2 <= plan_bytes(state) / BUCKET_BYTES <= buckets * 2
+            buckets = self._write_base(snapshot.version, state, snapshot.keys, False, buckets if fits else None)
         elif not floor:
             return snapshot.version
-        self._log(snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, whole=True, floor=floor)
+        self._log(
+            snapshot.version, "fold", "FOLD", None, snapshot.schema, snapshot.keys, whole=True, floor=floor, buckets=buckets
+        )
         return snapshot.version
 
     def fold_if_changed(self, share: float = 0.5) -> int | None:

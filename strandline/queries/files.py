@@ -135,6 +135,22 @@ def copy(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
+def copy_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """A right copy has no differences; one with rows changed, lost and doubled in one stretch of orders has just these."""
+    source = read_table(spark, folder, "lineitem")
+    target, spoilt = new_folder(spark, "lineitem-copy"), new_folder(spark, "lineitem-spoilt")
+    sinks.copy_dataset(spark, f"{folder.rstrip('/')}/lineitem.parquet", target)
+    right = spark.read.parquet(target)
+    stretch = F.col("l_orderkey").between(100, 300)
+    changed = F.when(stretch & (F.col("l_orderkey") % 7 == 0), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    rows = right.where(~(stretch & (F.col("l_orderkey") % 11 == 0))).withColumn("l_quantity", changed)
+    rows.unionAll(rows.where(stretch & (F.col("l_orderkey") % 13 == 0))).write.parquet(spoilt)
+    found = sinks.differences(source, spark.read.parquet(spoilt), "l_orderkey")
+    none = sinks.differences(source, right, "l_orderkey").select(F.lit("right").alias("of"), "*")
+    both = none.unionAll(found.select(F.lit("spoilt").alias("of"), "*"))
+    return both.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
 def all_null_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Three dirty rows added to a table: how many there are, and what is left without them."""
     dirty = sinks.append_null_rows(read_table(spark, folder, "customer"), 3)
@@ -164,9 +180,15 @@ QUERIES = {
     "snk_append": append,
     "snk_ctas": create_as,
     "snk_copy": copy,
+    "snk_copy_diff": copy_diff,
     "dq_all_null_rows": all_null_rows,
 }
 
+_LINE = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate"
+)
+
 ORACLES = {
     "src_csv_inferred": "SELECT * FROM part",
     "src_csv_strings": """
@@ -198,6 +220,14 @@ ORACLES = {
     "snk_copy": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
                l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem""",
+    "snk_copy_diff": f"""
+        WITH s AS (SELECT {_LINE}, l_orderkey BETWEEN 100 AND 300 AS stretch FROM lineitem),
+        k AS (SELECT * REPLACE (CASE WHEN stretch AND l_orderkey % 7 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+              FROM s WHERE NOT (stretch AND l_orderkey % 11 = 0)),
+        b AS (SELECT *, 1 AS i, 0 AS o FROM s UNION ALL SELECT *, 0, 1 FROM k
+              UNION ALL SELECT *, 0, 1 FROM k WHERE stretch AND l_orderkey % 13 = 0)
+        SELECT 'spoilt' AS of, {_LINE}, CAST(SUM(i) AS BIGINT) AS n_source, CAST(SUM(o) AS BIGINT) AS n_copy
+        FROM b GROUP BY ALL HAVING SUM(i) <> SUM(o)""",
     "dq_all_null_rows": """
         SELECT 'with' AS null_rows, COUNT(*) + 3 AS row_count, CAST(3 AS BIGINT) AS null_keys FROM customer
         UNION ALL SELECT 'without', COUNT(*), CAST(0 AS BIGINT) FROM customer

@@ -29,12 +29,42 @@ def clustered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["l_orderkey", "l_partkey", "l_quantity"]
-    stats = layout.file_stats(read_table(spark, folder, "lineitem"), columns)
-    listed = dataset_bytes(spark, _lineitem_path(folder))
-    return layout.folded_stats(stats, columns).select(
-        "*", (F.col("bytes") == listed).alias("all_bytes"), (F.col("files") > 0).alias("any_files")
-    ).drop("files", "bytes")  # how many there are is not in the rows: the listing says
+    """Rows and ranges from the footers; files and bytes from a listing, against those that rows are read from."""
+    path = _lineitem_path(folder)
+    files = layout.list_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
+    ranges = layout.dataset_ranges(spark, path, ["l_orderkey", "l_partkey", "l_quantity"])
+    all_bytes = F.lit(files.bytes == dataset_bytes(spark, path))
+    return ranges.select("*", all_bytes.alias("all_bytes"), F.lit(files.files > 0).alias("any_files"))
+
+
+def compacted_small(spark: SparkSession, folder: str) -> DataFrame:
+    """Many small files beside a full one: only the small ones are written anew, in fewer files."""
+    line, source = read_table(spark, folder, "lineitem"), new_folder(spark, "lineitem-mixed")
+    late = F.col("l_orderkey") % 4 == 0
+    line.where(~late).coalesce(1).write.parquet(source)
+    line.where(late).repartition(24).write.mode("append").parquet(source)
+    before = layout.list_files(spark, source)
+    size = before.agg(F.max("bytes")).first()[0]
+    after = layout.compact_small(spark, before, new_folder(spark, "lineitem-packed"), target_bytes=size)
+    stayed = before.join(after, ["path"], "left_semi").count()
+    rows = _dated(layout.read_files(spark, after))
+    return rows.select("*", F.lit(stayed).cast("bigint").alias("files_left"), F.lit(after.count() < 6).alias("few_files"))
+
+
+def reclustered(spark: SparkSession, folder: str) -> DataFrame:
+    """Files sorted by order, and one more that falls into the lower part of them: the upper ones stay where they are."""
+    line, source = read_table(spark, folder, "lineitem"), new_folder(spark, "lineitem-sorted")
+    low = line.agg(F.percentile_approx("l_orderkey", 0.3)).first()[0]
+    late = (F.col("l_orderkey") <= low) & (F.col("l_linenumber") == 1)
+    line.where(~late).repartitionByRange(10, "l_orderkey").sortWithinPartitions("l_orderkey").write.parquet(source)
+    line.where(late).coalesce(1).write.mode("append").parquet(source)
+    before = layout.list_files(spark, source)
+    after = layout.recluster(spark, before, new_folder(spark, "lineitem-reclustered"), "l_orderkey", most_depth=1, files=4)
+    stayed = before.join(after, ["path"], "left_semi").count()
+    left = layout.file_stats(layout.read_files(spark, after), ["l_orderkey"]).select("file", "min_l_orderkey", "max_l_orderkey")
+    crowded = layout.crowded([tuple(r) for r in left.collect()], 2)
+    rows = _dated(layout.read_files(spark, after))
+    return rows.select("*", F.lit(5 <= stayed <= 7).alias("upper_stayed"), F.lit(not crowded).alias("sorted"))
 
 
 def keyed(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,7 +80,8 @@ def keyed(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().crossJoin(opened)
 
 
-QUERIES = {"lay_compact": compacted, "lay_cluster": clustered, "lay_file_stats": file_ranges, "lay_keyed": keyed}
+QUERIES = {"lay_compact": compacted, "lay_cluster": clustered, "lay_file_stats": file_ranges, "lay_keyed": keyed,
+           "lay_compact_small": compacted_small, "lay_recluster": reclustered}
 
 _LINEITEM = """
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -59,6 +90,8 @@ _LINEITEM = """
 ORACLES = {
     "lay_compact": _LINEITEM,
     "lay_cluster": _LINEITEM,
+    "lay_compact_small": f"SELECT *, CAST(1 AS BIGINT) AS files_left, true AS few_files FROM ({_LINEITEM})",
+    "lay_recluster": f"SELECT *, true AS upper_stayed, true AS sorted FROM ({_LINEITEM})",
     "lay_file_stats": """
         SELECT COUNT(*) AS rows, MIN(l_orderkey) AS min_l_orderkey, MAX(l_orderkey) AS max_l_orderkey,
                MIN(l_partkey) AS min_l_partkey, MAX(l_partkey) AS max_l_partkey,

@@ -51,21 +51,22 @@ def _landed(spark: SparkSession, folder: str) -> str:
 
 def _bronze_table(spark: SparkSession, landing: str) -> str:
     table, work = new_table_name("bronze"), new_folder(spark, "bronze")
-    rows = medallion.bronze(medallion.raw_files(spark, landing, READING_COLUMNS, READING_HINTS, rest="others"))
+    rows = medallion.bronze(medallion.raw_files(spark, landing, READING_COLUMNS, READING_HINTS, rest="others", typed=True))
     medallion.append_to_table(rows, table, f"{work}/data", f"{work}/checkpoint").awaitTermination()
     return table
 
 
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.table(_bronze_table(spark, _landed(spark, folder)))
+    # fields that the load does not name are kept, and get the types that their values have
+    rows = medallion.with_fields(rows, "others", medallion.found_fields(rows, "others"))
     return rows.where(F.col("receipt_time").isNotNull() & F.col("source_file").isNotNull()).select(
         "device_id",
         "mrn",
         F.date_format(epoch_to_timestamp("time"), "yyyy-MM-dd HH:mm:ss").alias("read_at"),
         F.col("heartrate").try_cast("double").alias("heartrate"),
-        # fields that the load does not name are kept as one JSON object
-        F.get_json_object("others", "$.event_id").cast("bigint").alias("event_id"),
-        F.get_json_object("others", "$.props").alias("props"),
+        "event_id",
+        "props",
     )
 
 
@@ -105,11 +106,11 @@ def incremental(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", ts, "user_id", "event_type", "value", "props", "arrival")
 
 
-def _steps(spark: SparkSession, folder: str) -> dict[str, str]:
+def _steps(spark: SparkSession, folder: str, complete: bool = False) -> dict[str, str]:
     tables = {step: new_table_name(step) for step in ("bronze", "silver", "gold")}
     medallion.run_once(
         spark, _landed(spark, folder), READING_COLUMNS, READING_HINTS, _lookup(spark, folder), tables,
-        new_folder(spark, "steps"),
+        new_folder(spark, "steps"), complete=complete,
     )
     return tables
 
@@ -149,8 +150,8 @@ def gold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_range(spark: SparkSession, folder: str) -> DataFrame:
-    """A plain read of the published means, limited to a span of days given as text."""
-    daily = spark.table(_steps(spark, folder)["gold"])
+    """A plain read of means published as a whole, limited to a span of days given as text."""
+    daily = spark.table(_steps(spark, folder, complete=True)["gold"])
     return daily.where(F.col("date").between("2024-01-10", "2024-01-20")).select(
         "mrn", F.col("date").cast("date").alias("day"), F.round("avg_heartrate", 6).alias("avg_heartrate")
     )
@@ -188,6 +189,23 @@ def merged(spark: SparkSession, folder: str) -> DataFrame:
     return _event_columns(target.read())
 
 
+def merged_with_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest event of each user, where errors delete the user; a third of all events arrives last, whatever its time."""
+    columns = ["user_id", "event_id", "ts", "event_type", "value", "props"]
+    events = read_table(spark, folder, "events").select(*columns)
+    late = F.when(F.col("event_id") % 3 == 0, F.lit(3)).otherwise(F.least(_period(), F.lit(2)))
+    replay = ArrivalReplay.stage(events, late, new_folder(spark, "staged"), new_folder(spark, "landing"))
+    work = new_folder(spark, "merged")
+    empty = ingest.with_tombstones(events.where(F.lit(False)))
+    target = VersionedTable.create(spark, f"{work}/data", empty, ["user_id"])
+    while replay.deliver() is not None:
+        raw = medallion.raw_files(spark, replay.landing, EVENT_COLUMNS, EVENT_HINTS).select(*columns)
+        ingest.load_merging(
+            raw, target, ["ts", "event_id"], f"{work}/checkpoint", "events-by-user", deletes="event_type = 'error'"
+        ).awaitTermination()
+    return _event_columns(ingest.live(target.read()))
+
+
 def replayed(spark: SparkSession, folder: str) -> DataFrame:
     """All periods delivered at once, then streamed a file at a time."""
     replay = _replay(spark, folder)
@@ -208,6 +226,7 @@ QUERIES = {
     "str_gold_range": gold_range,
     "ing_replace": replaced,
     "ing_merge": merged,
+    "ing_merge_deletes": merged_with_deletes,
     "ing_replay": replayed,
 }
 
@@ -243,5 +262,9 @@ ORACLES = {
         SELECT {_EVENT} FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
           FROM events) AS e WHERE place = 1""",
+    "ing_merge_deletes": f"""
+        SELECT {_EVENT} FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+          FROM events) AS e WHERE place = 1 AND event_type <> 'error'""",
     "ing_replay": f"SELECT {_EVENT} FROM events",
 }

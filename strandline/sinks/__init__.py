@@ -1,5 +1,6 @@
 """Writers for catalog tables and datasets."""
 
+from strandline.sinks.proof import differences, differing_ranges
 from strandline.sinks.tables import (
     WHOLE_TIMES,
     UnknownColumns,
@@ -23,6 +24,8 @@ __all__ = [
     "append_rows",
     "copy_dataset",
     "create_table",
+    "differences",
+    "differing_ranges",
     "drop_table",
     "insert_values",
     "replace_table",

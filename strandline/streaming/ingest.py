@@ -8,12 +8,19 @@ from functools import reduce
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from strandline.operators.changelog import first_per_key, when_matched_update, when_not_matched_insert
+from strandline.operators.changelog import (  # noqa: F401  (clauses for callers that merge by themselves)
+    GONE,
+    first_per_key,
+    live,
+    marked,
+    when_matched_update,
+    when_not_matched_insert,
+)
 from strandline.operators.versioned import VersionedTable
 from strandline.sources import read_hinted
 from strandline.streaming.control import with_trigger
@@ -77,6 +84,7 @@ def load_merging(
     name: str,
     every: str | None = None,
     fold_share: float = 0.5,
+    deletes: Column | str | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch by the table's keys; a row replaces one that is not newer.
 
@@ -84,30 +92,32 @@ def load_merging(
     again. Once the changes since the base take up ``fold_share`` of its bytes, the table gets a
     new base, so reads stay cheap and rewriting costs no more than in proportion to the changes.
 
-    The newest rows of a batch are written down before the merge, which reads its source
-    twice and picks its joins by the source's size. Rows with a NULL in a key, such as one that did not
-    fit its type, cannot be merged: they are set apart and do not stop the load (``rejected_rows``).
-    """
-    new = ", ".join(f"s.{c}" for c in order)
-    old = ", ".join(f"t.{c}" for c in order)
-    later = f"struct({new}) >= struct({old})"
-    clauses = [when_matched_update(later), when_not_matched_insert()]
+    Rows that meet ``deletes`` delete their key. Their tombstones stay in the table, which needs a boolean
+    column ``_gone`` (``with_tombstones``), so an older row that arrives later does not bring its key
+    back, whichever batch it comes in. Read such a table through ``live``; ``forget`` drops old tombstones.
 
+    A batch is parsed once: the newest row of each key is written down, and the merge reads these. Rows with
+    a NULL in a key, such as one that did not fit its type, cannot be merged: they are set apart, each of
+    them, and do not stop the load (``rejected_rows``).
+    """
     keys = table.snapshot().keys
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{table.path}/staged/slot={batch_id % 2}"
         keyless = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
-        good = newest_per_key(batch.where(~keyless), keys, order).withColumn(_KEYLESS, F.lit(False))
-        bad = batch.where(keyless).withColumn(_KEYLESS, F.lit(True))
-        good.unionByName(bad).write.mode("overwrite").partitionBy(_KEYLESS).parquet(staged)
-        both = spark.read.schema(good.schema).parquet(staged)
-        bad = both.where(_KEYLESS).drop(_KEYLESS)
-        if not bad.isEmpty():
+        feed = batch if deletes is None else marked(batch, deletes, keys, order)
+        # A row without a key is a group of its own, so one pass over the batch serves both kinds.
+        told = feed.withColumns({_KEYLESS: keyless, _LONE: F.when(keyless, F.monotonically_increasing_id())})
+        newest = first_per_key(told, [*keys, _LONE], order).drop(_LONE)
+        met = Observation()
+        newest.observe(met, F.count_if(_KEYLESS).alias("keyless")).write.mode("overwrite").partitionBy(_KEYLESS).parquet(staged)
+        both = spark.read.schema(newest.schema).parquet(staged)
+        if met.get["keyless"]:
+            bad = both.where(_KEYLESS).drop(_KEYLESS, GONE)
             bad.write.mode("overwrite").parquet(f"{_rejected(table, name)}/batch={batch_id}")
         target = VersionedTable(spark, table.path)
-        target.merge(both.where(f"NOT {_KEYLESS}").drop(_KEYLESS), clauses, stream=name, batch=batch_id)
+        target.overtake(both.where(f"NOT {_KEYLESS}").drop(_KEYLESS), order, stream=name, batch=batch_id)
         target.fold_if_changed(fold_share)
 
     writer = (
@@ -118,7 +128,21 @@ def load_merging(
     return with_trigger(writer, every).start()
 
 
-_KEYLESS = "_keyless"
+_KEYLESS, _LONE = "_keyless", "_lone"
+
+
+def with_tombstones(rows: DataFrame) -> DataFrame:
+    """Rows for the first load of a table whose merge load deletes."""
+    return rows.withColumn(GONE, F.lit(False))
+
+
+def forget(table: VersionedTable, old: Column | str) -> int:
+    """Drop the tombstones that meet a condition, such as a time before which nothing is expected any more.
+
+    A row older than a forgotten tombstone would bring its key back, so the condition should be as
+    wide as the latest arrival is late.
+    """
+    return table.delete(F.col(GONE) & (F.expr(old) if isinstance(old, str) else old))
 
 
 def _rejected(table: VersionedTable, name: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strandline.operators import changelog as cl
+from strandline.operators import versioned
 from strandline.operators.changelog import Clause, when_matched_update, when_not_matched_insert
 from strandline.operators.versioned import (
     KeyViolation,
@@ -262,6 +263,77 @@ def test_plans_prune_and_do_not_shuffle_the_base(spark, folder):
     assert "BroadcastHashJoin [id" in plan and "SortMergeJoin" not in plan
 
 
+def exchanges_over_the_base(df):
+    """How many exchanges lie between the scan of the base and the first join above it."""
+    found = []
+    path = []  # (indent, line) from the top to the current line
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        path = [(i, text) for i, text in path if i < indent] + [(indent, line)]
+        if "FileScan" in line and "/base/" in line:
+            joins = [i for i, (_, text) in enumerate(path) if "Join" in text]
+            found.append(sum("Exchange" in text for _, text in path[joins[-1] :]))
+    assert found
+    return found
+
+
+@pytest.mark.parametrize("buckets", [False, True])
+def test_large_bases_are_not_shuffled_beyond_a_broadcast(spark, folder, monkeypatch, buckets):
+    if buckets:
+        monkeypatch.setattr(versioned, "BUCKET_BYTES", 1500)
+    rows = spark.range(0, 3000, 1, 5).select((F.col("id") % 3).cast("int").alias("g"), "id", F.col("id").cast("double").alias("v"))
+    rows.write.parquet(f"{folder}/rows")
+    table = VersionedTable.create(spark, f"{folder}/t", spark.read.parquet(f"{folder}/rows"), ["id", "g"])
+    assert bool(table.snapshot().buckets) == buckets and (not buckets or table.snapshot().buckets > 4)
+    model = {i: float(i) for i in range(3000)}
+    no_broadcasts = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.maxMetadataStringLength": "2000"}
+    with settings(spark, {**no_broadcasts, "spark.sql.shuffle.partitions": "64"}):
+        table.update("id % 2 = 0", {"v": "v + 1"})
+        table.delete("id % 5 = 0")
+        for version in (1, 2):
+            over = exchanges_over_the_base(table.read(version=version))
+            assert over == [0] if buckets else over[0] > 0
+        feed = spark.range(0, 4000, 2).select("id", (F.col("id") % 3).alias("g"), F.lit(-1.0).alias("v"), F.lit("u").alias("kind"))
+        clauses = [when_matched_update("s.id < 100"), when_not_matched_insert("s.id >= 3000")]
+        table.merge(feed, clauses)
+        table.restore(1)
+        table.restore(3)
+        then, head = table.snapshot(1), table.snapshot()
+        changes = table.changes(1, head.head, then.schema)
+        over = exchanges_over_the_base(cl.restored(changes, table._state(then, only=changes), head.keys, head.head - 1))
+        assert set(over) == {0} if buckets else min(over) > 0
+    one = {i: v + 1 if i % 2 == 0 else v for i, v in model.items()}
+    two = {i: v for i, v in one.items() if i % 5}
+    three = {i: -1.0 if i < 100 and i % 2 == 0 else v for i, v in two.items()} | {i: -1.0 for i in range(3000, 4000, 2)}
+    wanted = [model, one, two, three, one, three]
+    for version, state in enumerate(wanted):
+        assert {r.id: r.v for r in table.read(version=version).collect()} == state
+    table.fold()
+    assert {r.id: r.v for r in table.read().collect()} == three
+    assert bool(table.snapshot().buckets) == buckets
+    table.insert(spark.createDataFrame([(1, 9999, 0.5, "n")], "g int, id long, v double, extra string"), evolve=True)
+    assert table.read().where("extra IS NULL").count() == len(three) and table.read().where("extra = 'n'").count() == 1
+
+
+def test_other_sessions_read_buckets_by_path(spark, folder, monkeypatch):
+    monkeypatch.setattr(versioned, "BUCKET_BYTES", 1000)
+    spark.range(0, 2000, 1, 3).write.parquet(f"{folder}/rows")
+    table = VersionedTable.create(spark, f"{folder}/it's", spark.read.parquet(f"{folder}/rows"), ["id"])
+    table.delete("id < 10")
+    for t in spark.catalog.listTables():
+        if t.name.startswith("buckets_"):
+            spark.sql(f"DROP TABLE {t.name}")
+    again = VersionedTable(spark.newSession(), f"{folder}/it's")
+    assert again.snapshot().buckets and again.read().count() == 1990 and again.read(version=0).count() == 2000
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_random_commits_against_a_dictionary_in_buckets(spark, monkeypatch, seed):
+    monkeypatch.setattr(versioned, "BUCKET_BYTES", 10)
+    monkeypatch.setattr(versioned, "plan_bytes", lambda df: 35)
+    test_random_commits_against_a_dictionary(spark, seed)
+
+
 def test_a_missing_commit_is_an_error_however_long_the_range(spark, folder):
     table = VersionedTable.create(spark, folder, spark.createDataFrame([(1, 0)], "id int, n int"), ["id"])
     for _ in range(4):

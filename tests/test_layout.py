@@ -131,6 +131,78 @@ def test_keyed_tables_are_compacted_and_clustered(spark, folder):
     assert table.read().count() == 3999
 
 
+def test_only_small_files_are_packed(spark, folder):
+    spark.range(100_000).coalesce(1).write.parquet(f"{folder}/d")
+    for i in range(9):
+        spark.range(100_000 + i * 100, 100_100 + i * 100).coalesce(1).write.mode("append").parquet(f"{folder}/d")
+    before = layout.list_files(spark, f"{folder}/d")
+    full = before.orderBy(F.desc("bytes")).first()
+    after = layout.compact_small(spark, before, f"{folder}/1", target_bytes=full.bytes)
+    assert after.count() == 2 and full.path in {r.path for r in after.collect()}
+    assert multiset(layout.read_files(spark, after)) == multiset(spark.range(100_900))
+    assert layout.open_list(spark, f"{folder}/1").count() == 2
+    # one small file alone stays; with a further one it is packed again, and the full one still stays
+    again = layout.compact_small(spark, after, f"{folder}/2", target_bytes=full.bytes)
+    assert multiset(again.drop("root")) == multiset(after.drop("root"))
+    spark.range(100_900, 101_000).coalesce(1).write.parquet(f"{folder}/new")
+    more = again.unionByName(layout.list_files(spark, f"{folder}/new"))
+    third = layout.compact_small(spark, more, f"{folder}/3", target_bytes=full.bytes)
+    assert third.count() == 2 and full.path in {r.path for r in third.collect()}
+    assert multiset(layout.read_files(spark, third)) == multiset(spark.range(101_000))
+
+
+def test_small_files_are_packed_by_partition(spark, folder):
+    rows = spark.range(3000).select("id", (F.col("id") % 3).alias("p"))
+    rows.repartition(8).write.partitionBy("p").parquet(f"{folder}/my parts")
+    after = layout.compact_small(spark, layout.list_files(spark, f"{folder}/my parts"), f"{folder}/packed")
+    assert after.count() == 3 and multiset(layout.read_files(spark, after).select("id", "p")) == multiset(rows)
+
+
+def test_crowded_ranges():
+    ranges = [("a", 0, 10), ("b", 5, 15), ("c", 15, 20), ("d", 7, 8), ("e", 30, 40), ("same", 6, 6), ("empty", None, None)]
+    assert layout.crowded(ranges, 2) == ["a", "b", "d"]
+    assert layout.crowded(ranges, 1) == ["a", "b", "c", "d"]
+    assert layout.crowded(ranges, 3) == [] == layout.crowded([], 0)
+    assert set(layout.crowded([("x", "a", "m"), ("y", "k", "z"), ("z", "zz", "zzz")], 1)) == {"x", "y"}
+
+
+def test_only_files_that_overlap_are_sorted_again(spark, folder):
+    def add(low, high, step=1, files=1):
+        spark.range(low, high, step).repartitionByRange(files, "id").sortWithinPartitions("id").write.mode("append").parquet(f"{folder}/d")
+
+    add(0, 8000, 1, 8)
+    add(100, 900, 5)
+    add(50, 1500, 7)
+    before = layout.list_files(spark, f"{folder}/d")
+    after = layout.recluster(spark, before, f"{folder}/1", "id", files=2)
+    stayed = before.join(after, ["path"], "left_semi")
+    assert stayed.count() == 7  # of the eight sorted ones, all that two late files do not both reach
+    rows = layout.read_files(spark, after)
+    assert multiset(rows) == multiset(spark.read.parquet(f"{folder}/d")) and touched(rows, "id", 700) <= 2
+    again = layout.recluster(spark, after, f"{folder}/2", "id", files=2)
+    assert multiset(again.select("path")) == multiset(after.select("path"))
+
+
+def test_a_value_that_fills_files_is_not_sorted_again(spark, folder):
+    rows = spark.range(4000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("v"), "id")
+    rows.repartition(6).write.parquet(f"{folder}/d")
+    after = layout.recluster(spark, layout.list_files(spark, f"{folder}/d"), f"{folder}/1", "v", files=6)
+    again = layout.recluster(spark, after, f"{folder}/2", "v", files=6)
+    assert multiset(again.select("path")) == multiset(after.select("path"))
+    assert multiset(layout.read_files(spark, again)) == multiset(rows)
+
+
+def test_ranges_come_from_footers(spark, folder, small_files):
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    found = layout.dataset_ranges(spark, small_files, ["a", "b"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(a), MAX(a), MIN(b), MAX(b)]" in plan or "PushedAggregation: [COUNT(*)" in plan
+    assert tuple(found.first()) == (6000, 0, 5999, 0, 5999)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    text = layout.dataset_ranges(spark, small_files, ["name"])  # scanned
+    assert tuple(text.first()) == (6000, "n0", "n999")
+
+
 def test_interleaved_bits(spark):
     df = spark.createDataFrame([(5, 3)], "x int, y int")  # 101 and 011
     assert df.select(layout.interleave([F.col("x"), F.col("y")], 3)).first()[0] == 0b100111

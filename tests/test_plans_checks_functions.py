@@ -67,6 +67,14 @@ def test_amounts_are_added_exactly_and_never_rounded(spark):
     assert sums(spark.createDataFrame([(i, 9e12) for i in range(20_000)], "k int, x double"), True) == 1.8e17
 
 
+def test_totals_beyond_the_halves_are_plain_sums(spark):
+    total = Total("x")
+    df = spark.range(0, 4_000_000, 1, 4).select((F.col("id") % 3).alias("k"), F.lit(1.0).alias("x"), F.lit(2**63 - 1).alias("whole"))
+    first = df.groupBy("k").agg(*total.start("x", F.col("whole")))
+    assert {r[0] for r in first.select(total.value()).collect()} == {1333333.0, 1333334.0}
+    assert first.agg(*total.again()).select(total.value()).first()[0] == 4_000_000.0
+
+
 def test_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, None), (None, None), (2, None)], "id int, s string")
     assert as_set(checks.not_unique(df, "id")) == {(1, 2)}

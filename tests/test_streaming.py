@@ -67,6 +67,38 @@ def test_three_steps_and_incremental_rerun(spark, folder, lookup):
     assert spark.table(tables["gold"]).count() == 3
 
 
+def test_a_batch_of_one_day_writes_only_that_day(spark, folder, lookup):
+    tables, work = names(), f"{folder}/work"
+
+    def run(name, *records):
+        land(folder, name, *records)
+        medallion.run_once(spark, f"{folder}/landing", COLUMNS, HINTS, lookup, tables, work)
+        return {(r.mrn, r.date and r.date.day): r.avg_heartrate for r in spark.table(tables["gold"]).collect()}
+
+    every_day = [(5, 1 + i % 2, i * DAY + 5, 60 + i) for i in range(20)]
+    first = run("01.json", *every_day, (5, 2, "broken", 50))
+    assert len(first) == 21
+    second = run("02.json", (5, 1, 2 * DAY + 9, 100), (5, 1, 2 * DAY + 10, 110))  # an earlier day, late
+    days = medallion.daily_table(spark, f"{work}/days")
+    assert days.snapshot().head == 2
+    assert as_set(days.commit_rows(2), "mrn", "total", "n", "_op") == {("1", 62.0 + 210, 3, "U")}
+    assert second == {**first, ("1", 3): 272 / 3}
+    third = run("03.json", (5, 2, "broken", 70), (5, 2, 40 * DAY, 80))
+    assert as_set(days.commit_rows(3), "mrn", "total", "n", "_op") == {("2", 120.0, 2, "U"), ("2", 80.0, 1, "I")}
+    assert third == {**second, ("2", None): 60.0, ("2", 10): 80.0}
+    assert not list(Path(f"{work}/_checkpoints/days").glob("state/*"))  # no state beside the table
+
+
+def test_a_repeated_batch_is_not_added_twice(spark, folder):
+    rows = spark.createDataFrame([("1", "Ann", 5, 60.0), ("1", "Ann", 6, 80.0), (None, None, None, None)], "mrn string, name string, s int, heartrate double")
+    rows = rows.select("mrn", "name", F.timestamp_seconds("s").alias("time"), "heartrate")
+    days = medallion.daily_table(spark, f"{folder}/days")
+    clauses = [ingest.when_matched_update(values={"total": "t.total + s.total", "n": "t.n + s.n"}), ingest.when_not_matched_insert()]
+    for batch in (0, 0, 1):
+        days.merge(medallion.daily_sums(rows), clauses, stream="days", batch=batch, check_keys=False)
+    assert as_set(days.read(), "mrn", "total", "n") == {("1", 280.0, 4), (None, None, 0)}
+
+
 def test_stream_equals_batch(spark, folder, lookup):
     land(folder, "01.json", *[(i % 3, i % 4, i * 5000 + 0.5, i % 7 - 1) for i in range(300)])
     tables = names()
@@ -160,6 +192,25 @@ def test_fields_that_are_not_listed_are_kept(spark, folder):
     assert rows == {"1": (2.5, {"unit": "bpm", "more": '{"a":[1]}'}), "2": (None, None)}
 
 
+def test_fields_that_are_not_listed_get_types(spark, folder):
+    path = Path(folder) / "landing" / "x.json"
+    path.parent.mkdir(parents=True)
+    lines = ['{"mrn": 1, "count": 2, "unit": "bpm", "more": {"a": [1]}, "odd \'name": true}', "", '{"mrn": 2, "count": 2.5, "unit": 7}', '{"mrn": 3}']
+    path.write_text("\n".join(lines) + "\n")
+    table = new_table_name("typed")
+    raw = medallion.raw_files(spark, f"{folder}/landing", ["mrn"], {}, rest="others", typed=True)
+    medallion.append_to_table(medallion.bronze(raw), table, f"{folder}/b", f"{folder}/c").awaitTermination()
+    rows = spark.table(table)
+    fields = medallion.found_fields(rows, "others")
+    assert fields["count"].startswith("decimal(") and fields["unit"] == "variant"  # whole and broken numbers, numbers and text
+    assert (fields["more"], fields["odd 'name"], len(fields)) == ("struct<a:array<bigint>>", "boolean", 4)
+    got = medallion.with_fields(rows, "others", fields)
+    found = {r.mrn: (r["count"] and float(r["count"]), r.more and r.more.a, r["odd 'name"]) for r in got.collect()}
+    assert found == {"1": (2.0, [1], True), "2": (2.5, None, None), "3": (None, None, None)}
+    assert as_set(medallion.with_fields(rows, "others", {"unit": "string"}), "mrn", "unit") == {("1", "bpm"), ("2", "7"), ("3", None)}
+    assert medallion.found_fields(rows.where("mrn = '3'"), "others") == {}
+
+
 def test_rows_without_a_key_are_set_apart(spark, folder):
     schema = "k int, ts int, v string"
     target = VersionedTable.create(spark, f"{folder}/t", spark.createDataFrame([], schema), ["k"])
@@ -180,6 +231,53 @@ def test_rows_without_a_key_are_set_apart(spark, folder):
     assert ingest.rejected_rows(target, "other", target.read().schema).count() == 0
 
 
+def test_deletes_stand_against_rows_that_arrive_late(spark, folder):
+    schema = "k int, ts int, v string, kind string"
+    target = VersionedTable.create(spark, f"{folder}/t", ingest.with_tombstones(spark.createDataFrame([], schema)), ["k"])
+    landing = Path(folder) / "landing"
+    landing.mkdir(parents=True)
+
+    def run(name, *rows, fold=0.5):
+        (landing / name).write_text("".join(json.dumps(dict(zip(["k", "ts", "v", "kind"], r))) + "\n" for r in rows))
+        raw = medallion.raw_files(spark, str(landing), ["k", "ts", "v", "kind"], {"k": "int", "ts": "int"}).drop("source_file")
+        load = ingest.load_merging(raw, target, ["ts"], f"{folder}/c", "s", fold_share=fold, deletes="kind = 'gone'")
+        load.awaitTermination()
+        return as_set(ingest.live(target.read()), "k", "ts", "v")
+
+    assert run("1.json", (1, 5, "a", "row"), (2, 5, "b", "row"), (3, 9, "c", None)) == {(1, 5, "a"), (2, 5, "b"), (3, 9, "c")}
+    # a delete, one that is itself too old, one of a key not seen yet, one overtaken in its own batch, one without a key
+    rows = (1, 7, "x", "gone"), (3, 8, "x", "gone"), (4, 6, "x", "gone"), (2, 6, "x", "gone"), (2, 7, "new", "row"), (None, 1, "x", "gone")
+    assert run("2.json", *rows, fold=0) == {(2, 7, "new"), (3, 9, "c")}
+    assert target.snapshot().base == 2  # the tombstones have gone through a fold
+    assert as_set(target.read().where("_gone"), "k", "ts", "v", "kind") == {(1, 7, None, None), (4, 6, None, None)}
+    assert run("3.json", (1, 6, "late", "row"), (4, 1, "late", "row"), (4, 5, "late", "row")) == {(2, 7, "new"), (3, 9, "c")}
+    assert run("4.json", (1, 8, "back", "row")) == {(1, 8, "back"), (2, 7, "new"), (3, 9, "c")}
+    assert ingest.rejected_rows(target, "s", spark.createDataFrame([], schema).schema).count() == 1
+    assert ingest.forget(target, "ts < 7") and target.read().where("_gone").isEmpty()
+    assert run("5.json", (4, 2, "too late", "row")) == {(1, 8, "back"), (2, 7, "new"), (3, 9, "c"), (4, 2, "too late")}
+
+
+def test_a_batch_is_parsed_once(spark, folder):
+    """Each record is looked at by one pass, however many keys miss; columns a feed lacks stay as they are."""
+    start = spark.createDataFrame([(1, 5, "a", 1.5), (2, 5, "b", 2.5)], "k int, ts int, v string, w double")
+    target = VersionedTable.create(spark, f"{folder}/t", start, ["k"])
+    seen = spark.sparkContext.accumulator(0)
+    landing = Path(folder) / "landing"
+    landing.mkdir(parents=True)
+    (landing / "1.json").write_text('{"k": 1, "ts": 6, "v": "n"}\n{"k": 2, "ts": 4, "v": "old"}\n{"k": 3, "ts": 1, "v": "new"}\n{"ts": 1}\n')
+
+    @F.udf("string")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    raw = medallion.raw_files(spark, str(landing), ["k", "ts", "v"], {"k": "int", "ts": "int"}).drop("source_file")
+    raw = raw.withColumn("v", counted("v"))
+    ingest.load_merging(raw, target, ["ts"], f"{folder}/c", "s").awaitTermination()
+    assert seen.value == 4
+    assert as_set(target.read()) == {(1, 6, "n", 1.5), (2, 5, "b", 2.5), (3, 1, "new", None)}
+
+
 def test_state_partitions_hold_from_the_first_start(spark, folder):
     rows = spark.range(40).selectExpr("string(id) AS mrn", "'n' AS name", "timestamp_seconds(id) AS time", "double(id) AS heartrate")
     table, gold = new_table_name("rows"), new_table_name("gold")
