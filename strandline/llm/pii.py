@@ -7,6 +7,7 @@ Everything is built from SQL functions. The patterns give the matches that the p
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,25 +54,72 @@ CONTEXT = {
 }
 RAISED, REACH, ENOUGH = 0.4, 40, 0.6
 
-_FOUND = "array<struct<start:int,end:int,value:string>>"
+# Matches, or spans, that are folded over or compared at once: time stays in proportion to the text.
+BLOCK = 256
+# Matches and the gaps before them that reach back, or on, REACH characters: each pair has three at least.
+NEAR = -(-REACH // 3)
 
 
-def located(text: Column, pattern: str) -> Column:
-    """All matches with their places in code points: the text between matches gives the distances."""
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def matches_of(text: Column, pattern: str) -> Column:
+    """Each match ``m`` with the text since the last one, as far as it is looked at; the last has no match.
+
+    ``head`` and ``tail`` are the first and last characters of gap and match together, ``near`` the last of the gap.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.filter(
-        F.zip_with(found, F.split(text, pattern, -1), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))),
-        lambda p: p["m"].isNotNull(),
-    )
+
+    def pair(m: Column, gap: Column) -> Column:
+        both = F.concat(gap, F.coalesce(m, F.lit("")))
+        return F.struct(
+            m.alias("m"),
+            F.length(gap).alias("gap"),
+            F.length(m).alias("length"),
+            F.left(both, F.lit(REACH)).alias("head"),
+            F.right(both, F.lit(REACH)).alias("tail"),
+            F.right(gap, F.lit(REACH)).alias("near"),
+        )
+
+    return F.zip_with(found, F.split(text, pattern, -1), pair)
+
+
+def blocks_of(items: Column, count: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of each run of BLOCK items; for a count of 1 or more."""
+
+    def block(b: Column) -> Column:
+        return body(F.slice(items, b * BLOCK + 1, F.least(F.lit(BLOCK), count - b * BLOCK)))
+
+    return F.transform(F.sequence(F.lit(0), F.floor((count - 1) / BLOCK).cast("int")), block)
+
+
+def places_of(matches: Column) -> Column:
+    """(start, end) of each match in code points: inside blocks of matches first, then of the blocks."""
 
     def onward(s: Column, p: Column) -> Column:
-        start = s["at"] + F.length(p["gap"])
-        end = start + F.length(p["m"])
-        here = F.struct(start.alias("start"), end.alias("end"), p["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(here)).alias("out"))
+        start = s["at"] + p["gap"]
+        end = start + p["length"]
+        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("out"))
+
+    def next_block(s: Column, b: Column) -> Column:
+        return F.struct((s["at"] + b["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+
+    def moved(b: Column, by: Column) -> Column:
+        return F.transform(b["out"], lambda x: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end")))
+
+    def start(kind: str) -> Column:
+        return F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("out"))
-    return F.aggregate(pairs, first, onward, lambda s: s["out"])
+    def joined(blocks: Column) -> Column:
+        offsets = F.aggregate(blocks, start("array<int>"), next_block, lambda s: s["out"])
+        return F.flatten(F.zip_with(blocks, offsets, moved))
+
+    places = "array<struct<start:int,end:int>>"
+    count = F.size(matches) - 1
+    blocks = blocks_of(matches, count, lambda part: F.aggregate(part, start(places), onward))
+    return F.when(count > 0, once(blocks, joined)).otherwise(F.array().cast(places))
 
 
 def luhn(digits: Column) -> Column:
@@ -112,13 +160,14 @@ def confirmed(kind: str, value: Column) -> Column:
 
 def spans_of(text: Column, kind: str) -> Column:
     """Confirmed spans of a kind, scored."""
-
-    def scored(s: Column) -> Column:
-        first = F.greatest(F.lit(0), s["start"] - REACH)
-        before = F.lower(F.substr(text, first + 1, s["start"] - first))
-        after = F.lower(F.substr(text, s["end"] + 1, F.lit(REACH)))
-        word = rf"(?:^|[^a-z])(?:{CONTEXT[kind]})"
-        near = before.rlike(word) | after.rlike(word)
+    word = rf"(?:^|[^a-z])(?:{CONTEXT[kind]})"
+
+    def scored(s: Column, matches: Column) -> Column:
+        i = s["i"]
+        back = F.transform(F.slice(matches, F.greatest(F.lit(1), i - NEAR + 1), F.least(i, F.lit(NEAR))), lambda p: p["tail"])
+        before = F.right(F.concat(F.array_join(back, ""), F.get(matches, i)["near"]), F.lit(REACH))
+        after = F.left(F.array_join(F.transform(F.slice(matches, i + 2, F.lit(NEAR + 1)), lambda p: p["head"]), ""), F.lit(REACH))
+        near = F.lower(before).rlike(word) | F.lower(after).rlike(word)
         return F.struct(
             s["start"].alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
@@ -128,9 +177,15 @@ def spans_of(text: Column, kind: str) -> Column:
             F.least(F.lit(1.0), F.lit(ALONE[kind]) + F.when(near, RAISED).otherwise(0.0)).alias("score"),
         )
 
-    spans = F.transform(F.filter(located(text, LINEAR[kind]), lambda s: confirmed(kind, s["value"])), scored)
+    def spans(matches: Column) -> Column:
+        placed = F.transform(
+            places_of(matches),
+            lambda x, i: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.get(matches, i)["m"].alias("value"), i.alias("i")),
+        )
+        return F.transform(F.filter(placed, lambda s: confirmed(kind, s["value"])), lambda s: scored(s, matches))
+
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string,score:double>>")
-    return F.when(text.rlike(NEEDED[kind]), spans).otherwise(empty)
+    return F.when(text.rlike(NEEDED[kind]), once(matches_of(text, LINEAR[kind]), spans)).otherwise(empty)
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -146,12 +201,23 @@ def find_pii(docs: DataFrame) -> DataFrame:
     found = found.select("*", *(spans_of(F.col("text"), kind).alias(kind) for kind in KINDS))
     base = F.sort_array(reduce(F.concat, (F.col(k) for k in BASE)))
     found = found.withColumn("base", base)
+
+    def reach(part: Column) -> Column:
+        ends = F.transform(part, lambda b: b["end"])
+        return F.struct(F.get(part, F.lit(0))["start"].alias("start"), F.array_max(ends).alias("end"), part.alias("spans"))
+
+    def meets(a: Column, b: Column) -> Column:
+        return (b["start"] < a["end"]) & (a["start"] < b["end"])
+
+    count = F.size("base")
+    blocks = F.when(count > 0, blocks_of(F.col("base"), count, reach)).otherwise(F.array())
     added = reduce(F.concat, (F.col(k) for k in KINDS if k not in BASE))
-    added = F.filter(
-        added,
-        lambda s: (s["score"] >= ENOUGH)
-        & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    added = F.filter(added, lambda s: s["score"] >= ENOUGH)
+
+    def apart(blocks: Column) -> Column:
+        return F.filter(added, lambda s: ~F.exists(blocks, lambda b: meets(s, b) & F.exists(b["spans"], lambda x: meets(s, x))))
+
+    added = F.when(F.size(added) == 0, added).otherwise(once(blocks, apart))
     return found.select("doc_id", "text", "base", F.sort_array(F.concat("base", added)).alias("spans"))
 
 
