@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from strandline.llm.shared import settle
 
 MOST_LABELLED = 30_000  # labelled documents the model is fitted on; those of the smallest hashes
-MOST_FEATURES = 50_000  # features in the model, of those that are certain the most frequent in toxic documents
 STARTS = (4, 5, 6)  # lengths of the beginnings that stand in for rare tokens, in bytes
 SUPPORT, CERTAIN = 5, 4.0  # documents, and deviations from the prior, that make a feature count
 PRIOR, LEAST = 500.0, 0.5  # weight of the prior, in tokens, and what any feature has of it at least
@@ -75,26 +74,27 @@ def segments(gains: list[tuple[int, float]], n: int) -> list[Segment]:
 
     ``gains`` has (position, log-odds) of the tokens that count; every other token costs LOSS. A stack
     holds candidates with the running totals before and after them; a new one joins the last candidate
-    that began lower, if it ends higher.
+    that began lower, if it ends higher. Each candidate knows the last one that began lower than itself, so those
+    between are never passed again.
     """
-    stack: list[list[float]] = []  # first, last, total before, total after
+    stack: list[list[float]] = []  # first, last, total before, total after, the last that began lower
     total, at = 0.0, 0
     for place, gain in gains:
         total -= LOSS * (place - at)
         before, total, at = total, total + gain, place + 1
         if gain <= 0:
             continue
-        new = [place, place, before, total]
+        first, low = place, before
         while True:
             lower = len(stack) - 1
-            while lower >= 0 and stack[lower][2] >= new[2]:
-                lower -= 1
-            if lower < 0 or stack[lower][3] >= new[3]:
-                stack.append(new)
+            while lower >= 0 and stack[lower][2] >= low:
+                lower = stack[lower][4]
+            if lower < 0 or stack[lower][3] >= total:
+                stack.append([first, place, low, total, lower])
                 break
-            new = [stack[lower][0], new[1], stack[lower][2], new[3]]
+            first, _, low, *_ = stack[lower]
             del stack[lower:]
-    return [Segment(int(a), int(b), after - before) for a, b, before, after in stack]
+    return [Segment(a, b, after - before) for a, b, before, after, _ in stack]
 
 
 class Model(NamedTuple):
@@ -209,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counted = sample.mapInArrow(count_features, "feature binary, " + ", ".join(f"{c} long" for c in COUNTS))
     counted = counted.groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
     toxic = F.col("toxic_0") + F.col("toxic_1")
-    # Only features that lean to toxic can score. The bound is on those that are certain in a half or in both.
+    # Only features that lean to toxic can score, and of them those that are certain in a half or in both.
     counted = counted.filter((toxic > 0) & (toxic + F.col("clean_0") + F.col("clean_1") >= SUPPORT))
     counted = settle(counted, "features")
     every = F.col("feature") == F.lit(b"")
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     certain = may_count(F.col("clean_0") + F.col("clean_1"), toxic, n["clean_0"] + n["clean_1"], n["toxic_0"] + n["toxic_1"])
     for h in (0, 1):
         certain |= may_count(F.col(f"clean_{h}"), F.col(f"toxic_{h}"), n[f"clean_{h}"], n[f"toxic_{h}"])
-    rows = counted.filter(every | certain).orderBy(F.col("feature") != F.lit(b""), toxic.desc(), "feature").limit(MOST_FEATURES).collect()
+    rows = counted.filter(every | certain).collect()  # of the words of MOST_LABELLED documents, the few that are certain
     halves = [Model(log_odds([(bytes(r.feature), r[f"clean_{h}"], r[f"toxic_{h}"]) for r in rows])) for h in (0, 1)]
     model = Model(log_odds([(bytes(r.feature), r.clean_0 + r.clean_1, r.toxic_0 + r.toxic_1) for r in rows]))
 
