@@ -10,6 +10,8 @@ the shingles themselves.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,25 +26,34 @@ def normal_words(text: Column) -> Column:
     return words(F.lower(text), NO_WORD)
 
 
-def with_shingles(texts: DataFrame, *, hashed: bool) -> DataFrame:
+def with_shingles(texts: DataFrame, *, hashed: bool, short: Sequence[int] | None = None) -> DataFrame:
     """Replace ``text`` by ``shingles``, the distinct runs of five words, as text or as hashes.
 
-    A shorter text is one shingle, an empty one has none. Words and their hashes are columns of their
+    An item of fewer words is one shingle, an empty one has none. A document has the runs of each length in ``short``
+    besides, so that such items are found wherever they stand in it. Words and their hashes are columns of their
     own first: inside the function over positions they would be made again for each position.
     """
     others = [c for c in texts.columns if c != "text"]
     texts = texts.select(*others, normal_words(F.col("text")).alias("words"))
     if hashed:
         texts = texts.withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
-        starts = F.sequence(F.lit(0), F.size("words") - WORDS)
-        runs = F.transform(starts, lambda i: F.xxhash64(*(F.get("words", i + j) for j in range(WORDS))))
-        whole = F.xxhash64("words")
+    none = F.array().cast(f"array<{'bigint' if hashed else 'string'}>")
+
+    def runs(length: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size("words") - length)
+        if hashed:
+            found = F.transform(starts, lambda i: F.xxhash64(*(F.get("words", i + j) for j in range(length))))
+        else:
+            found = F.transform(starts, lambda i: F.concat_ws(" ", F.slice("words", i + 1, length)))
+        return F.when(F.size("words") >= length, found).otherwise(none)
+
+    if short is None:
+        found = none
+        for n in range(1, WORDS + 1):
+            found = F.when(F.size("words") >= n, runs(n)).otherwise(found)
     else:
-        starts = F.sequence(F.lit(1), F.size("words") - WORDS + 1)
-        runs = F.transform(starts, lambda i: F.concat_ws(" ", F.slice("words", i, WORDS)))
-        whole = F.concat_ws(" ", "words")
-    found = F.when(F.size("words") >= WORDS, runs).when(F.size("words") > 0, F.array(whole))
-    return texts.select(*others, F.array_distinct(F.coalesce(found, F.array().cast(f"array<{'bigint' if hashed else 'string'}>"))).alias("shingles"))
+        found = F.concat(runs(WORDS), *(runs(n) for n in short))
+    return texts.select(*others, F.array_distinct(found).alias("shingles"))
 
 
 def _missing(n: Column) -> Column:
@@ -70,16 +81,17 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Items (item_id, text) of which a document (doc_id, text) holds at least 80 % of the shingles.
 
     One row per document and item: ``doc_id, text_hash, item_id, n_shingles`` (of the item)``, n_common,
-    containment``. Words are runs of letters and digits in lower case; shingles are five words, and a
-    text of fewer words is one shingle, so an item of fewer than five words is found only in a document
-    of exactly those words; it is not searched for in longer ones. Texts without words, and NULL, hold nothing and are held by
-    nothing. Rows equal in doc_id and text count once, as do items equal in id and text; further columns
+    containment``. Words are runs of letters and digits in lower case; shingles are five words. An item of
+    fewer words is one shingle, and held by every document in which its words stand in a row. Texts without words, and
+    NULL, hold nothing and are held by nothing. Rows equal in doc_id and text count once, as do items equal in id and text; further columns
     are not looked at; either table may be empty.
     """
     docs = docs.select("doc_id", "text").withColumn("text_hash", text_hash(F.col("text")))
     items = settle(items.select("item_id", "text").filter(F.col("text").isNotNull()).distinct(), "items")
     sketch = settle(sketches(items), "item-sketches")
-    hashed = with_shingles(docs, hashed=True)
+    lengths = items.select(F.size(normal_words(F.col("text"))).alias("n")).filter(F.col("n").between(1, WORDS - 1))
+    short = sorted(r.n for r in lengths.distinct().collect())  # four at most, none where all items are longer
+    hashed = with_shingles(docs, hashed=True, short=short)
     hashed = hashed.select("doc_id", "text_hash", F.size("shingles").alias("size"), F.explode_outer("shingles").alias("hash"))
     met = hashed.join(checked_broadcast(sketch), "hash").filter(F.col("size") >= _present(F.col("q")))
     # Each (document, item) meets at most k sketch values, and they are added up before the exchange.
@@ -90,7 +102,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     suspects = docs.join(
         checked_broadcast(wanted), docs["doc_id"].eqNullSafe(wanted["id"]) & (docs["text_hash"] == wanted["h"]), "left_semi"
     )
-    in_docs = with_shingles(suspects, hashed=False).select(
+    in_docs = with_shingles(suspects, hashed=False, short=short).select(
         F.col("doc_id").alias("id"), F.col("text_hash").alias("h"), F.explode_outer("shingles").alias("shingle")
     )
     item_shingles = with_shingles(items, hashed=False).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,7 +14,8 @@ import pytest
 
 import compare
 import corpus_pipeline
-from strandline.llm import language_model, licenses, recurrent, toxicity
+from pyspark.sql import functions as F
+from strandline.llm import language_model, licenses, mixing, recurrent, toxicity
 from strandline.llm.language_model import score_documents
 from strandline.llm.mixing import mix, repeated
 from strandline.llm.queries import ORACLES, QUERIES
@@ -142,6 +144,34 @@ def test_mixing_meets_an_entropy_and_a_budget(spark):
     assert {t[3] for t in totals(mix(sources(spark, [50]), entropy_share=1.0)).values()} == {1.0}
 
 
+def test_mixing_selects_what_a_plain_selection_does(spark, monkeypatch):
+    """Whole epochs, and the rest of each budget along blocks in their order and documents in theirs."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 16)
+    docs = sources(spark, [500, 200, 60, 9, 1])
+    out = {r.doc_id: r for r in mix(docs, repetition=3.0, seed=5).collect()}
+    hashed = docs.select("doc_id", "source", F.xxhash64(F.lit(5), "doc_id", "text").alias("order")).collect()
+    sizes = Counter(r.source for r in hashed)
+    blocks = {s: -(-n // 16) for s, n in sizes.items()}
+    numbers = spark.createDataFrame([(s, n) for s, k in blocks.items() for n in range(k)], "s string, n long")
+    place = {(r.s, r.n): r.h for r in numbers.select("s", "n", F.xxhash64(F.lit(6), "s", "n").alias("h")).collect()}
+    tokens = {s: sum(out[r.doc_id]["__tokens"] for r in hashed if r.source == s) for s in sizes}
+    share = {s: t / sum(tokens.values()) for s, t in tokens.items()}
+    power = math.log(out[0]["__weight"] / out[10_000]["__weight"]) / math.log(share["s0"] / share["s1"])
+    raw = {s: x**power for s, x in share.items()}
+    assert max(tokens[s] / raw[s] for s in raw) / min(tokens[s] / raw[s] for s in raw) == pytest.approx(3.0, abs=1e-5)
+    copies = {}
+    for s in sizes:
+        epochs = out[next(r.doc_id for r in hashed if r.source == s)]["__epochs"]
+        left = (epochs - math.floor(epochs)) * tokens[s]
+        rows = sorted((place[s, r.order % blocks[s]], r.order, r.doc_id) for r in hashed if r.source == s)
+        open_ = epochs > math.floor(epochs)
+        for _, _, i in rows:
+            left -= out[i]["__tokens"]
+            open_ = open_ and left >= 0
+            copies[i] = math.floor(epochs) + open_
+    assert copies == {i: r["__copies"] for i, r in out.items()}
+
+
 def test_mixing_awkward_rows(spark):
     docs = table(spark, AWKWARD)
     out = mix(docs, repetition=2.0)
@@ -204,12 +234,22 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in out)
 
 
-def test_toxicity_bounds_certain_features_only(spark, monkeypatch):
+def test_toxicity_keeps_certain_features_only(spark):
     rows, labels = toxic_corpus(random.Random(4), 900)
     docs, marks = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     whole = toxicity.fit(docs, marks)
-    monkeypatch.setattr(toxicity, "MOST_FEATURES", 40)  # fewer than the neutral words
-    assert 0 < len(whole[0]) < 40 and toxicity.fit(docs, marks) == whole
+    assert 0 < len(whole[0]) < 40 and toxicity.fit(docs.repartition(5), marks) == whole
+
+
+def test_segments_of_a_very_long_text():
+    """Spaced hits stay apart, and each is passed once."""
+    gains = [(i * 40, 1.0 + i % 3) for i in range(100_000)]
+    start = time.perf_counter()
+    found = toxicity.segments(gains, 4_000_000)
+    assert time.perf_counter() - start < 4 and len(found) == 100_000
+    assert [s.first for s in found] == [p for p, _ in gains]
+    rising = [(i, 0.5) for i in range(100_000)]
+    assert toxicity.segments(rising, 100_000)[0].last == 99_999
 
 
 def test_toxicity_without_labels_or_documents(spark):

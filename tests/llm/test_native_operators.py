@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from strandline.llm import pii
 from strandline.llm.decontamination import find_leaks
@@ -58,6 +60,40 @@ def test_shards_are_even_and_reproducible(spark, n):
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == expected
 
 
+def plain_hash(*values):
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), seed)
+    return seed - (seed >> 63 << 64)
+
+
+def plain_place(number, rows, seed):
+    a, b = grid(rows)
+    while True:
+        left, right = divmod(number, b)
+        for r in range(6):
+            key = seed * 6 + r
+            if r % 2 == 0:
+                left = (left + plain_hash(right, key) % a) % a
+            else:
+                right = (right + plain_hash(left, key) % b) % b
+        number = left * b + right
+        if number < rows:
+            return number
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 990])
+def test_places_are_those_of_a_plain_permutation(spark, n):
+    rows = [(None, "x"), *((i * 37 % 1009, f"text {i % 7}") for i in range(n - 1))]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    wanted = {}
+    for number, (i, _) in enumerate(order):
+        p = plain_place(number, n, 20_240_601)
+        wanted[i] = (p % 40, p // 40)
+    assert len(set(wanted.values())) == n
+    assert {r.doc_id: (r.shard, r.slot) for r in shard(table(spark, rows), shards=40).collect()} == wanted
+
+
 def test_shuffle_does_not_keep_neighbours_together(spark):
     got = {r.doc_id: r.shard for r in shard(table(spark, [(i, "t") for i in range(2000)]), shards=10).collect()}
     same = sum(got[i] == got[i + 1] for i in range(1999))
@@ -132,6 +168,26 @@ def test_words_behind_a_number_support_it(spark):
     assert found == {0: ["ssn"], 1: ["local_phone"], 2: [], 3: [], 4: []}
 
 
+def test_many_spans_in_one_text(spark):
+    """Time in proportion to the text: 100,000 addresses, and as many numbers among which some are base spans."""
+    mails = " ".join(f"u{i}@ex.org" for i in range(100_000))
+    numbers = " ".join(f"ssn 123-45-{i:04}" if i % 2 else f"a{i}@b.cc 10.0.{i % 256}.1" for i in range(1, 10_000))
+    docs = table(spark, [(1, mails), (2, numbers)]).repartition(2).cache()
+    docs.count()
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in pii.digest(pii.find_pii(docs)).collect()}
+    assert time.perf_counter() - start < 30
+    assert got[1].n_email == 100_000 and got[1].spans.endswith(f"email:{len(mails) - 13}:{len(mails)}")
+    assert (got[2].n_email, got[2].n_ip, got[2].spans.count("ssn:")) == (4999, 4999, 5000)
+    docs.unpersist()
+
+
+def test_context_reaches_over_other_spans(spark):
+    texts = ["tel 1: 555 123 4567, 555 123 4568", "12,34,56,78 ssn 12,34,56 123-45-6789", "555 123 4567 / 555 123 4568 / phone", "phone " + "12," * 12 + " 555 123 4567"]
+    found = {r.doc_id: [s.kind for s in r.spans] for r in pii.find_pii(table(spark, list(enumerate(texts)))).collect()}
+    assert found == {0: ["local_phone"] * 2, 1: ["ssn"], 2: ["local_phone"] * 2, 3: []}
+
+
 def test_redaction(spark):
     rows = pii.redact(pii.find_pii(table(spark, [(1, "to é@x.yz a@b.cd!"), (2, None), (3, "no")]))).collect()
     assert {r.doc_id: r.clean_text for r in rows} == {1: "to é@x.yz [email]!", 2: "", 3: "no"}
@@ -147,6 +203,21 @@ def word_shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def held_shingles(text, item):
+    """A document's runs of five words, or of as many as a shorter item has."""
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower()) if x]
+    n = min(5, max(map(len, item), default=5))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def test_short_items_are_found_inside_long_documents(spark):
+    rng = random.Random(5)
+    items = [(1, "zulu"), (2, "Yankee Zulu"), (3, "x-ray, yankee zulu!"), (4, "whiskey x ray yankee"), (5, "a b c d e"), (6, "zulu zulu")]
+    rows = AWKWARD + [(100, prose(rng, 30_000) + " whiskey x ray yankee zulu " + prose(rng, 500)), (101, "yankee zulu"), (102, "ZULU"), (103, "zu lu")]
+    got = find_leaks(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(100, 1), (100, 2), (100, 3), (100, 4), (101, 1), (101, 2), (102, 1)}
+
+
 def test_leaks_by_brute_force(spark):
     rng = random.Random(3)
     items = [(i, prose(rng, rng.randrange(1, 70), 3000)) for i in range(40)] + [(40, None), (41, ""), (42, "one two three four five six"), (0, "again")]
@@ -162,6 +233,7 @@ def test_leaks_by_brute_force(spark):
         held = word_shingles(t)
         for i, x in items:
             q = word_shingles(x)
+            held = held_shingles(t, q)
             if q and 100 * len(q & held) >= 80 * len(q):
                 expected.add((d, i, len(q), len(q & held)))
     assert Counter((r.doc_id, r.item_id, r.n_shingles, r.n_common) for r in got) == Counter(expected)
