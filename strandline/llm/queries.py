@@ -118,10 +118,12 @@ ORACLES = {
             SELECT kind, id, text, list_filter(
                 string_split_regex(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
             FROM w WHERE text IS NOT NULL
+        ), l AS (
+            SELECT DISTINCT least(len(words), 5) AS n FROM s WHERE kind = 'i' AND len(words) > 0
         ), g AS (
             SELECT DISTINCT kind, id, unnest(
                 list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))) AS shingle
-            FROM s JOIN (SELECT unnest(range(1, 6)) AS n) ON CASE WHEN kind = 'd' THEN n <= len(words) ELSE n = least(len(words), 5) END
+            FROM s JOIN l ON CASE WHEN kind = 'd' THEN n <= len(words) ELSE n = least(len(words), 5) END
         ), q AS (SELECT id AS item_id, count(*) AS n_shingles FROM g WHERE kind = 'i' GROUP BY 1)
         SELECT d.id AS doc_id, item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles AS containment
         FROM g d JOIN g i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle JOIN q ON i.id = q.item_id
