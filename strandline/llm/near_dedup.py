@@ -12,7 +12,8 @@
 4. The forest's components are brought together with their full sets, and exact Jaccard similarity
    decides, in order of the estimates and until what is left is known to be linked or not.
 
-Only rows in proportion to the documents are exchanged, whatever the size of a group of copies.
+Rows stay in proportion to the documents, but for lists of a very common value and components of more than
+``BLOCK_SHINGLES``: these are dealt in pairs of blocks, so what is exchanged for them grows with their square.
 """
 
 from __future__ import annotations
