@@ -10,7 +10,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import xxhash
 
 import compare
 import corpus_pipeline
@@ -327,6 +330,42 @@ def test_language_model(spark):
     assert all(r.score < 0 for r in out)
 
 
+def test_language_model_chunks_keep_places_and_words_together(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(language_model, "TaskContext", Task)
+    monkeypatch.setattr(language_model, "CHUNK", 40)
+    rng = random.Random(13)
+    texts = [None, "", "A a\tb"] + [" ".join(rng.choice("abcdefghij") * 3 for _ in range(rng.randrange(30))) for _ in range(60)]
+    held = [rng.random() < 0.3 for _ in texts]
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(range(at, min(at + 7, len(texts))), pa.int64()),
+                "held_out": pa.array(held[at : at + 7]),
+                "body": pa.array([t if t is None else t.encode() for t in texts[at : at + 7]], pa.binary()),
+            }
+        )
+        for at in range(0, len(texts), 7)
+    ]
+    rows = pa.Table.from_batches(list(language_model.chunked(iter(batches))))
+    packed = rows.filter(pc.is_valid(rows["words"])).select(["chunk", "words"])
+    words = pa.Table.from_batches(list(language_model.words_of(iter(packed.to_batches())))).to_pylist()
+    at = {(r["chunk"], r["place"]): r["word"] for r in words}
+    assert len(at) == len(words) and len(packed) == len(set(packed["chunk"].to_pylist())) > 10
+    docs = [r for r in rows.to_pylist() if r["words"] is None]
+    assert [r["doc_id"] for r in docs] == list(range(len(texts))) and {r["chunk"] >> 33 for r in docs} == {3}
+    counts, signed = Counter(), lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64))
+    for r, text in zip(docs, texts):
+        expected = [signed(w) for w in (text or "").lower().encode().split()] + [signed(b"")]
+        assert [at[r["chunk"], p] for p in np.frombuffer(r["places"], np.int32).tolist()] == expected
+        for w in expected:
+            counts[r["chunk"], w] += not r["held_out"]
+    assert {(r["chunk"], r["word"]): r["n"] for r in words} == counts
+
+
 def test_language_model_without_rows_or_training(spark):
     assert score_documents(table(spark, [])).count() == 0
     held = [(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
