@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ def _lineitem_path(folder: str) -> str:
     return f"{folder.rstrip('/')}/lineitem.parquet"
 
 
+def _shares(spark: SparkSession, folder: str, size: int) -> int:
+    """How many times ``size`` the table has; numbers of files go with it, so files and tasks don't grow."""
+    return max(1, math.ceil(dataset_bytes(spark, _lineitem_path(folder)) / size))
+
+
 def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
@@ -52,19 +59,23 @@ def compacted_small(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reclustered(spark: SparkSession, folder: str) -> DataFrame:
-    """Files sorted by order, and one more that falls into the lower part of them: the upper ones stay where they are."""
+    """Files sorted by order, and others, one for each share of the table, that fall into the lower part of them: the
+    upper ones stay where they are."""
     line, source = read_table(spark, folder, "lineitem"), new_folder(spark, "lineitem-sorted")
+    shares = _shares(spark, folder, layout.TARGET_BYTES)
     low = line.agg(F.percentile_approx("l_orderkey", 0.3)).first()[0]
     late = (F.col("l_orderkey") <= low) & (F.col("l_linenumber") == 1)
-    line.where(~late).repartitionByRange(10, "l_orderkey").sortWithinPartitions("l_orderkey").write.parquet(source)
-    line.where(late).coalesce(1).write.mode("append").parquet(source)
+    line.where(~late).repartitionByRange(10 * shares, "l_orderkey").sortWithinPartitions("l_orderkey").write.parquet(source)
+    line.where(late).repartition(shares).write.mode("append").parquet(source)
     before = layout.list_files(spark, source)
-    after = layout.recluster(spark, before, new_folder(spark, "lineitem-reclustered"), "l_orderkey", most_depth=1, files=4)
+    target = new_folder(spark, "lineitem-reclustered")
+    after = layout.recluster(spark, before, target, "l_orderkey", most_depth=1, files=4 * shares)
     stayed = before.join(after, ["path"], "left_semi").count()
     left = layout.file_stats(layout.read_files(spark, after), ["l_orderkey"]).select("file", "min_l_orderkey", "max_l_orderkey")
     crowded = layout.crowded([tuple(r) for r in left.collect()], 2)
     rows = _dated(layout.read_files(spark, after))
-    return rows.select("*", F.lit(5 <= stayed <= 7).alias("upper_stayed"), F.lit(not crowded).alias("sorted"))
+    upper = 5 * shares <= stayed < 8 * shares
+    return rows.select("*", F.lit(upper).alias("upper_stayed"), F.lit(not crowded).alias("sorted"))
 
 
 def keyed(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline import sinks
 from strandline.operators import layout
 from strandline.operators.versioned import VersionedTable
+from strandline.queries import layout as queries
 
 
 def multiset(df):
@@ -213,3 +214,33 @@ def test_statistics_of_the_whole_dataset(spark, small_files):
     row = layout.folded_stats(layout.file_stats(df, ["a"]), ["a"]).first()
     assert (row.files, row.rows, row.min_a, row.max_a) == (60, 6000, 0, 5999)
     assert row.bytes == layout.dataset_bytes(spark, small_files)
+
+
+@pytest.fixture
+def lineitem(spark, folder, monkeypatch):
+    """A table of about three times the size of a file, and a way to the folders a query makes."""
+    columns = "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus".split()
+    rows = spark.range(40_000).select(
+        (F.col("id") / 4).cast("long").alias("l_orderkey"),
+        (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"),
+        *(F.xxhash64("id", F.lit(c)).alias(c) for c in columns),
+        F.lit("1995-01-01").alias("l_shipdate"),
+    )
+    rows.repartition(8).write.parquet(f"{folder}/lineitem.parquet")
+    made = {}
+    monkeypatch.setattr(queries, "new_folder", lambda spark, label: made.setdefault(label, f"{folder}/{label}"))
+    monkeypatch.setattr(layout, "TARGET_BYTES", layout.dataset_bytes(spark, f"{folder}/lineitem.parquet") // 3 + 1)
+    return folder, made
+
+
+def test_a_large_table_is_sorted_in_files_of_bounded_size(spark, lineitem):
+    folder, made = lineitem
+    out = queries.reclustered(spark, folder)
+    written = layout.file_stats(spark.read.parquet(made["lineitem-sorted"])).collect()
+    anew = layout.file_stats(spark.read.parquet(made["lineitem-reclustered"] + "/data")).collect()
+    assert len(written) == 3 * 11 and len(anew) == 3 * 4
+    assert max(f.rows for f in written + anew) < 2 * 40_000 / (3 * 10)
+    assert out.select("upper_stayed", "sorted").distinct().collect() == [(True, True)]
+    assert multiset(out.drop("upper_stayed", "sorted", "l_shipdate")) == multiset(
+        spark.read.parquet(f"{folder}/lineitem.parquet").select(*out.drop("upper_stayed", "sorted", "l_shipdate").columns)
+    )
