@@ -45,17 +45,24 @@ def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compacted_small(spark: SparkSession, folder: str) -> DataFrame:
-    """Many small files beside a full one: only the small ones are written anew, in fewer files."""
+    """Many small files beside a full one: only the small ones are written anew, in fewer files.
+
+    The full file holds three quarters of a share of the table; each further share adds eight small ones. A share
+    is a quarter of the wanted size, as one task writes the full file from rows that take several times its bytes.
+    """
     line, source = read_table(spark, folder, "lineitem"), new_folder(spark, "lineitem-mixed")
+    shares = _shares(spark, folder, layout.TARGET_BYTES // 4)
     late = F.col("l_orderkey") % 4 == 0
-    line.where(~late).coalesce(1).write.parquet(source)
-    line.where(late).repartition(24).write.mode("append").parquet(source)
+    first = F.pmod(F.xxhash64(*line.columns), F.lit(shares)) == 0
+    line.where(~late & first).repartition(1).write.parquet(source)
+    line.where(late | (~late & ~first)).repartition(16 + 8 * shares).write.mode("append").parquet(source)
     before = layout.list_files(spark, source)
     size = before.agg(F.max("bytes")).first()[0]
     after = layout.compact_small(spark, before, new_folder(spark, "lineitem-packed"), target_bytes=size)
     stayed = before.join(after, ["path"], "left_semi").count()
     rows = _dated(layout.read_files(spark, after))
-    return rows.select("*", F.lit(stayed).cast("bigint").alias("files_left"), F.lit(after.count() < 6).alias("few_files"))
+    few = after.count() < 6 * shares
+    return rows.select("*", F.lit(stayed).cast("bigint").alias("files_left"), F.lit(few).alias("few_files"))
 
 
 def reclustered(spark: SparkSession, folder: str) -> DataFrame:

@@ -233,6 +233,20 @@ def lineitem(spark, folder, monkeypatch):
     return folder, made
 
 
+def test_a_large_table_has_one_full_file_of_bounded_size(spark, lineitem, monkeypatch):
+    folder, made = lineitem
+    monkeypatch.setattr(layout, "TARGET_BYTES", 4 * layout.TARGET_BYTES)
+    out = queries.compacted_small(spark, folder)
+    written = layout.file_stats(spark.read.parquet(made["lineitem-mixed"])).collect()
+    packed = layout.file_stats(spark.read.parquet(made["lineitem-packed"] + "/data")).collect()
+    assert len(written) == 1 + 16 + 8 * 3
+    assert max(f.rows for f in written) < 40_000 / 3 and max(f.rows for f in packed) < 40_000 / 3
+    assert out.select("files_left", "few_files").distinct().collect() == [(1, True)]
+    assert multiset(out.drop("files_left", "few_files", "l_shipdate")) == multiset(
+        spark.read.parquet(f"{folder}/lineitem.parquet").select(*out.drop("files_left", "few_files", "l_shipdate").columns)
+    )
+
+
 def test_a_large_table_is_sorted_in_files_of_bounded_size(spark, lineitem):
     folder, made = lineitem
     out = queries.reclustered(spark, folder)
