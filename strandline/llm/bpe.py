@@ -3,12 +3,12 @@
 A text is cut into pieces by the tokenizer's pattern. Each different piece of a task is encoded once: its bytes
 are rows (word, pos, id), which a recursive query joins with the table of merges and contracts at the word's
 leftmost pair of minimum rank, until no pair is left. Any two tokens whose bytes make a third one are a pair, as
-ranks say, not only those that a training once merged. Decoding joins ids with the vocabulary and
-concatenates their bytes by an ordered aggregate.
+ranks say, not only those that a training once merged. Decoding looks ids up in the vocabulary and
+joins their bytes.
 
 Memory in a task is bounded: pieces, words and ids go through in portions (``PORTION``), a very long text or piece
-included, and the memory of encoded words starts anew once it holds ``WORDS``. The vocabulary, whose size does not
-depend on the corpus, is read by the driver and broadcast.
+included, and the memory of encoded words starts anew once it holds ``WORDS``. The vocabulary and its merges, whose
+size does not depend on the corpus, are made by the driver and broadcast.
 
 NULL and empty texts have no ids and decode to no bytes. Repeated rows and further columns stay as they are; the
 columns added begin with ``__``. An empty table gives an empty one.
@@ -94,12 +94,6 @@ LONG_WORDS = """
     SELECT word, pos, id FROM t WHERE id >= 0 ORDER BY word, pos
 """
 
-# A byte is a character here, of the same number, as texts can be aggregated in order and bytes can't.
-DECODED = """
-    SELECT text, string_agg(chars, '' ORDER BY pos) AS chars FROM ids JOIN vocabulary USING (id) GROUP BY text ORDER BY text
-"""
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and their ranks, from lines of base64 and number."""
     with open(path, "rb") as lines:
@@ -123,6 +117,17 @@ def later_letters() -> str:
 _HIGH = re.compile("[\u0500-\U0010ffff]")
 
 
+def merges_of(ranks: dict[bytes, int]) -> pa.Table:
+    """(l, r, made): every two tokens whose bytes make a third one."""
+    found = [
+        (a, b, made)
+        for token, made in ranks.items()
+        for cut in range(1, len(token))
+        if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None
+    ]
+    return pa.table([pa.array(c, pa.int32()) for c in zip(*found)], ["l", "r", "made"])
+
+
 class Cutter:
     """Pieces of texts by a pattern whose classes are those of Unicode 16.0."""
 
@@ -146,16 +151,10 @@ class Cutter:
 class Encoder:
     """Encodes pieces; one for each task."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], merges: pa.Table | None = None):
         self.ranks = ranks
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        merges = [
-            (a, b, made)
-            for token, made in ranks.items()
-            for cut in range(1, len(token))
-            if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None
-        ]
-        table = pa.table([pa.array(c, pa.int32()) for c in zip(*merges)], ["l", "r", "made"])
+        table = merges_of(ranks) if merges is None else merges
         self.duck = _duck()
         self.duck.register("table_of_merges", table)
         self.duck.execute("CREATE TABLE merges AS SELECT * FROM table_of_merges")
@@ -251,18 +250,19 @@ def _portions(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBat
         yield batch.slice(at)
 
 
-def _shared(df: DataFrame, path: str) -> Broadcast:
-    return df.sparkSession.sparkContext.broadcast(read_ranks(path))
+def _shared(df: DataFrame, value: object) -> Broadcast:
+    return df.sparkSession.sparkContext.broadcast(value)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """All rows and columns, with ``__ids`` array<int> of the whole text, without special tokens."""
-    ranks, later = _shared(df, path), later_letters()
+    known, later = read_ranks(path), later_letters()
+    shared = _shared(df, (known, merges_of(known)))  # once; in every task it would cost as much as megabytes of text
     schema = StructType([*df.schema]).add("__ids", ArrayType(IntegerType()), False)
     column = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, encoder = Cutter(pattern, later), Encoder(ranks.value)
+        cutter, encoder = Cutter(pattern, later), Encoder(*shared.value)
         for batch in batches:
             sizes = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(column)])
             for part in _portions(batch, sizes):
@@ -278,29 +278,19 @@ class Decoder:
     """Bytes of lists of ids; one for each task."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        table = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1") for t in ranks]})
-        self.duck = _duck()
-        self.duck.register("table_of_tokens", table)
-        self.duck.execute("CREATE TABLE vocabulary AS SELECT * FROM table_of_tokens")
+        self.tokens = {rank: token for token, rank in ranks.items()}
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:
-        out = [b""] * len(lists)
-        for at in range(0, max(map(len, lists), default=0), PORTION):  # more than once only for a list by itself
-            parts = [x[at : at + PORTION] for x in lists]
-            sizes = [len(x) for x in parts]
-            text = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
-            ids = pa.table({"text": text, "pos": np.arange(len(text), dtype=np.int32), "id": np.concatenate(parts)})
-            self.duck.register("ids", ids)
-            found = self.duck.sql(DECODED).to_arrow_table()
-            for i, chars in zip(found["text"].to_pylist(), found["chars"].to_pylist()):
-                out[i] += chars.encode("latin-1")
-        return out
+        def joined(ids: np.ndarray) -> bytes:
+            return b"".join(filter(None, map(self.tokens.get, ids.tolist())))  # no token, no bytes
+
+        return [b"".join([joined(x[at : at + PORTION]) for at in range(0, len(x), PORTION)]) for x in lists]
 
 
 def decode(df: DataFrame, path: str, ids: str = "__ids") -> DataFrame:
     """All rows and columns, with ``__decoded``, the bytes that the ids stand for, and ``__ids_sha256`` of the ids
     as little-endian unsigned 32-bit integers. NULL lists count as empty; an id that is no token has no bytes."""
-    ranks = _shared(df, path)
+    ranks = _shared(df, read_ranks(path))
     schema = StructType([*df.schema]).add("__decoded", BinaryType(), False).add("__ids_sha256", StringType(), False)
     column = df.columns.index(ids)
 

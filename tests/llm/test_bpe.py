@@ -91,3 +91,14 @@ def test_empty_table_and_unknown_ids(spark):
     got = {r.doc_id: bytes(r["__decoded"]) for r in bpe.decode(lists, PATH).collect()}
     by_rank = {v: k for k, v in RANKS.items()}
     assert got == {1: b"", 2: b"", 3: by_rank[7]}
+
+
+def test_merges_are_made_once_and_unknown_ids_have_no_bytes():
+    merges = bpe.merges_of(RANKS)
+    words = ["running", "straßenbahn", "xyzzyxyzzy", "日本語"]
+    ids, counts = bpe.Encoder(RANKS, merges).encode(words)
+    assert ids.tolist() == [i for w in words for i in LIBRARY.encode_ordinary(w)] and len(counts) == len(words)
+    decoder = bpe.Decoder(RANKS)
+    unknown = max(RANKS.values()) + 1
+    assert decoder.decode([ids, ids[:0], ids[:1] * 0 + unknown]) == ["".join(words).encode(), b"", b""]
+    assert not hasattr(decoder, "duck")
