@@ -366,6 +366,49 @@ def test_language_model_chunks_keep_places_and_words_together(monkeypatch):
     assert {(r["chunk"], r["word"]): r["n"] for r in words} == counts
 
 
+def test_language_model_chunks_take_little_room_and_words_are_added_up_over_them(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(language_model, "TaskContext", Task)
+    monkeypatch.setattr(language_model, "CHUNK", 1 << 19)
+    texts = ["", " ".join(f"w{i}" for i in range(70_000)) + " w69999 w0 End", "W0 w1\tw0 " * 60_000, None, "w5 never\x0bseen"]
+    held = [False] * 4 + [True]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array(range(5), pa.int64()), "held_out": held, "body": pa.array([x if x is None else x.encode() for x in texts], pa.binary())}
+    )
+    rows = list(language_model.halved(iter([batch])))
+    docs = [r for b in rows for r in b.to_pylist() if r["words"] is None]
+    own = [b.select(["chunk", "words"]) for b in rows if b.column("words")[0].is_valid]
+    assert [r["doc_id"] for r in docs] == list(range(5)) and len({r["chunk"] for r in docs}) == len(own) == 2
+    # Most places have no upper half, and a word's entry is no longer than its hash, its count and its ending.
+    assert sum(len(r["low"]) for r in docs) == 2 * sum(len((t or "").split()) + 1 for t in texts)
+    assert all(len(b.column("words")[0].as_py()) == 17 * len(list(language_model.words_of(iter([b])))[0]) for b in own)
+
+    buckets, totals, every = 5, {}, Counter()
+    pieces = pa.Table.from_batches(list(language_model.deal(buckets)(iter(own))))
+    for bucket in set(pieces["bucket"].to_pylist()):
+        for r in language_model.add_up(pieces.filter(pc.equal(pieces["bucket"], bucket))).to_pylist():
+            if r["chunk"] == -1:
+                every.update({w["word"]: w["n"] for w in pa.Table.from_batches(list(language_model.words_of(iter([pa.RecordBatch.from_pylist([r])])))).to_pylist()})
+            else:
+                totals[r["chunk"], bucket] = np.frombuffer(r["counts"], np.int64)
+    signed = lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64))
+    tokens = [[signed(w) for w in (t or "").lower().encode().split()] + [signed(b"")] for t in texts]
+    expected = Counter(w for of, out in zip(tokens, held) for w in of if not out)
+    assert +every == expected and every.keys() == {w for of in tokens for w in of}
+    for b in own:
+        chunk, table = b.column("chunk")[0].as_py(), language_model.unpacked(b.column("words")[0].as_py())
+        count = np.empty(len(table), np.int64)
+        count[language_model.dealt(table["word"], buckets)[0]] = np.concatenate([totals[k] for k in sorted(totals) if k[0] == chunk])
+        assert count.tolist() == [expected[w] for w in table["word"].tolist()]
+        for r, of in zip(docs, tokens):
+            if r["chunk"] == chunk:
+                at = np.frombuffer(r["low"], "<u2") + (np.frombuffer(r["high"], "<u2").astype(np.int64) << 16)
+                assert table["word"][at].tolist() == of
+
+
 def test_language_model_without_rows_or_training(spark):
     assert score_documents(table(spark, [])).count() == 0
     held = [(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
