@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strandline.llm import near_dedup, repeats
@@ -146,5 +147,26 @@ def test_repeats_by_brute_force(spark, monkeypatch, many):
     assert got == brute_removal(rows)
 
 
+def test_shards_of_a_task_are_bounded(monkeypatch):
+    rng = random.Random(10)
+    rows = []
+    for gram in range(60):  # some dealt, each part of those by itself
+        text = prose(rng, 90, 10**6).encode()
+        dealt = gram % 20 == 0
+        for k in range(40 if dealt else rng.randrange(2, 9)):
+            rows.append((gram, k % 4 if dealt else 0, 100 * gram + k, 1, 4 if dealt else 1, text[:500] + b" %d" % k))
+    rows.sort(key=lambda r: r[:2])
+    columns = dict(zip(("gram", "salt", "context", "copies", "parts", "bytes"), zip(*rows)))
+    batch = pa.RecordBatch.from_pydict(columns).append_column("shard", pa.array([0] * len(rows)))
+    sizes = []
+    monkeypatch.setattr(repeats, "Suffixes", lambda texts: sizes.append(sum(map(len, texts))) or Suffixes(texts))
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 8000)
+    out = pa.Table.from_batches(repeats.search_shards(iter([batch.slice(0, 50), batch.slice(50)])))
+    assert sum(sizes) == sum(len(r[-1]) for r in rows)
+    assert 4000 < max(sizes) <= 8000
+    found = {(r["gram"], r["context"]) for r in out.select(["gram", "context", "runs"]).to_pylist() if r["runs"]}
+    assert found == {(r[0], r[2]) for r in rows}
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
